@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.rates import confidence_band
 from ..functions.names import norm_name
 from ..functions.text import lenient_int, parse_money_range, year_of
+from ..session import save
 from .names import cluster_names, most_frequent
 from .order_stats import order_points, value_levels
 from .sessions import OVERALL
@@ -95,9 +96,11 @@ def evidence(
 
 def profit_compare(rows: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """Evidence with the cluster of its spawn, and the clusters' members (bracket, spawn, cluster)."""
+    rows = save(rows, "evidence")
     members = cluster_names(rows.select("bracket", "spawn"), "spawn", scope="bracket", threshold=threshold)
-    stamped = rows.join(members, ["bracket", "spawn"]).withColumn("norm", norm_name(F.col("spawn")))
-    return stamped, members
+    members = save(members.withColumn("norm", norm_name(F.col("spawn"))), "clusters")
+    stamped = rows.join(members, ["bracket", "spawn"])
+    return stamped, members.drop("norm")
 
 
 def consensus(compared: DataFrame) -> DataFrame:
@@ -106,6 +109,7 @@ def consensus(compared: DataFrame) -> DataFrame:
     Middles are kept doubled, so that they stay whole numbers.
     """
     keys = ["bracket", "cluster"]
+    compared = save(compared.select(*keys, "spawn", "kind", "source", "lo", "hi"), "compared")
     weights = F.create_map(*[F.lit(x) for pair in KIND_WEIGHTS.items() for x in pair])
     weight = F.coalesce(F.try_element_at(weights, F.col("kind")), F.lit(1)).cast("bigint")
     levels = value_levels(compared, keys, F.col("lo") + F.col("hi"), weight)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rates import per_hour
+from ..session import save
 from .names import resolve_names
 from .order_stats import exact_median, half_of_shares, order_points, share_weight, value_levels
 from .topk import first_values, joined, top_per_group
@@ -39,13 +40,16 @@ def bracket_kills(kills: DataFrame, sessions: DataFrame) -> DataFrame:
     return kills.join(ids, "hunt_id", "left_semi").select(*kills.columns)
 
 
+def _session_total() -> Column:
+    """Kills of the row's session. With one row per session and creature, a session is never longer than
+    the list of creatures."""
+    return F.sum("killed").over(Window.partitionBy("hunt_id"))
+
+
 def kill_share(kills: DataFrame) -> DataFrame:
     """Each creature's share of its session's kills."""
-    totals = kills.filter(F.col("killed") > 0).groupBy("hunt_id").agg(F.sum("killed").alias("total"))
-    return (
-        kills.filter(F.col("killed") > 0)
-        .join(totals, "hunt_id")
-        .select("hunt_id", "creature", "killed", (F.col("killed") / F.col("total")).alias("share"))
+    return kills.filter(F.col("killed") > 0).select(
+        "hunt_id", "creature", "killed", (F.col("killed") / _session_total()).alias("share")
     )
 
 
@@ -63,9 +67,8 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
     its creatures: loot_h * minutes / (60 * all kills).
     """
     s = calibration.filter(F.col("loot_h") > 0).select(F.col("id").alias("hunt_id"), "loot_h", "minutes", "url")
-    shares = kills.filter(F.col("killed") > 0).join(s, "hunt_id")
-    totals = shares.groupBy("hunt_id").agg(F.sum("killed").alias("total"))
-    seen = shares.join(totals, "hunt_id").select(
+    shares = kills.filter(F.col("killed") > 0).join(s, "hunt_id").withColumn("total", _session_total())
+    seen = shares.select(
         "creature",
         "hunt_id",
         "url",
@@ -73,22 +76,20 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
         share_weight(F.col("killed") / F.col("total")).alias("w"),
     )
     levels = value_levels(seen, ["creature"], F.col("v"), F.col("w"))
-    middle = order_points(levels, ["creature"], lambda total, rows: {"half": half_of_shares(total, rows)})
-    basics = seen.groupBy("creature").agg(
-        F.count(F.lit(1)).alias("n_sessions"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    middle = order_points(
+        levels, ["creature"], lambda total, rows: {"half": half_of_shares(total, rows)}, extremes=True
     )
     samples = joined(
         top_per_group(seen.select("creature", "hunt_id", "url"), ["creature"], [F.col("hunt_id")], 5),
         ["creature"], "url", "|", "sample_urls",
     )
     return (
-        basics.join(middle.select("creature", "half"), "creature")
-        .join(samples, "creature")
+        middle.join(samples, "creature")
         .select(
-            "creature", "n_sessions",
+            "creature", F.col("total_rows").alias("n_sessions"),
             F.col("half.value").cast("bigint").alias("value_per_kill"),
-            F.col("lo").cast("bigint").alias("min_v"),
-            F.col("hi").cast("bigint").alias("max_v"),
+            F.col("least").cast("bigint").alias("min_v"),
+            F.col("greatest").cast("bigint").alias("max_v"),
             "sample_urls",
         )
     )
@@ -125,7 +126,9 @@ def spawn_profit(
     """
     keys = list(keys)
     rates = _rates(kills, sessions, keys)
-    per = _mean_rates(rates, keys).join(values.select("creature", "value_per_kill"), "creature", "left")
+    per = save(
+        _mean_rates(rates, keys).join(values.select("creature", "value_per_kill"), "creature", "left"), "spawn-rates"
+    )
     valued = F.col("value_per_kill").isNotNull()
     amount = F.col("avg_rate").cast("decimal(19,0)") * F.col("value_per_kill").cast("decimal(18,0)")
     totals = per.groupBy(*keys).agg(
@@ -133,20 +136,26 @@ def spawn_profit(
         F.coalesce(F.sum(F.when(valued, F.col("avg_rate"))), F.lit(0)).alias("valued_rate"),
         F.sum("avg_rate").alias("all_rate"),
     )
-    text = F.format_string(
+    valued_text = F.format_string(
         "%s %d/h×%d", "creature", F.round(F.col("avg_rate") / float(_BILLION), 0).cast("bigint"), "value_per_kill"
     )
-    per = per.withColumn("text", text)
-    valued_list = first_values(per.filter(valued), keys, "text", 10, ";", "valued")
-    missing_list = first_values(per.filter(~valued), keys, "creature", 10, "|", "missing")
-    hunts = rates.select(*keys, "hunt_id", "loot_h").distinct()
+    listed = top_per_group(
+        per.select(*keys, valued.alias("known"), F.when(valued, valued_text).otherwise(F.col("creature")).alias("text")),
+        [*keys, "known"], [F.col("text")], 10,
+    )
+
+    def texts(known: bool, separator: str) -> Column:
+        mine = F.when(F.col("known") == known, F.struct("rank", "text"))
+        return F.array_join(F.transform(F.array_sort(F.collect_list(mine)), lambda p: p["text"]), separator)
+
+    lists = listed.groupBy(*keys).agg(texts(True, ";").alias("valued"), texts(False, "|").alias("missing"))
+    hunts = save(rates.select(*keys, "hunt_id", "loot_h").distinct(), "spawn-sessions")
     counted = hunts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sessions"))
     measured = exact_median(hunts.filter(F.col("loot_h") != 0), keys, F.col("loot_h"), "measured_loot_h")
     return (
         totals.join(counted, keys)
         .join(measured, keys, "left")
-        .join(valued_list, keys, "left")
-        .join(missing_list, keys, "left")
+        .join(lists, keys)
         .select(
             *keys,
             F.expr(f"profit div {_BILLION}").alias("profit_computed_h"),

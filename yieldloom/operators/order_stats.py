@@ -39,13 +39,14 @@ def order_points(
     keys: Sequence[str],
     targets: Callable[[Column, Column], dict[str, Column]],
     moment: bool = False,
+    extremes: bool = False,
 ) -> DataFrame:
     """For each key and target the smallest value whose running weight reaches the target.
 
     ``targets(total, rows)`` names the wanted running weights (at least 1; weights are whole numbers).
     Each target becomes a column STRUCT<value, before[, moment]>: the value, the weight strictly below
-    it and, with ``moment``, the sum of value * weight strictly below it. A key whose total weight does
-    not reach any target has no row.
+    it and, with ``moment``, the sum of value * weight strictly below it. ``extremes`` adds the key's
+    ``least`` and ``greatest`` value. A key whose total weight does not reach any target has no row.
     """
     if moment:
         product = F.col("value").cast("decimal(19,0)") * F.col("weight").cast("decimal(18,0)")
@@ -54,7 +55,9 @@ def order_points(
     running = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
 
-    histogram = levels.groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    ends = [F.min("value").alias("least"), F.max("value").alias("greatest")] if extremes else []
+    histogram = levels.groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums], *ends)
+    end_names = ["least", "greatest"] if extremes else []
     marks = histogram.select(
         *keys,
         "bucket",
@@ -63,6 +66,7 @@ def order_points(
         F.sum("rows").over(whole).alias("total_rows"),
         F.coalesce(F.sum("weight").over(running), F.lit(0)).alias("bucket_before"),
         *([F.coalesce(F.sum("moment").over(running), F.lit(0)).alias("bucket_moment")] if moment else []),
+        *([F.min("least").over(whole).alias("least"), F.max("greatest").over(whole).alias("greatest")] if extremes else []),
     )
     wanted = targets(F.col("total").cast("decimal(28,0)"), F.col("total_rows").cast("decimal(28,0)"))
     labels = list(wanted)
@@ -88,7 +92,7 @@ def order_points(
     inside = Window.partitionBy(*keys, "label").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     fine = levels.join(marks, [*keys, "bucket"]).select(
         *keys, "total", "total_rows", F.col("mark.label").alias("label"), F.col("mark.at").alias("at"),
-        "value", "weight", "bucket_before", *(["bucket_moment", "moment"] if moment else []),
+        "value", "weight", "bucket_before", *end_names, *(["bucket_moment", "moment"] if moment else []),
     )
     fine = fine.withColumn("before", F.col("bucket_before") + F.coalesce(F.sum("weight").over(inside), F.lit(0)))
     fields = [F.col("value"), F.col("before")]
@@ -100,6 +104,7 @@ def order_points(
     return hit.groupBy(*keys).agg(
         F.max("total").alias("total"),
         F.max("total_rows").alias("total_rows"),
+        *[F.max(c).alias(c) for c in end_names],
         *[F.max(F.when(F.col("label") == name, F.struct(*fields))).alias(name) for name in labels],
     )
 

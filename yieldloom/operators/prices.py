@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import save
 from .latest import merge_latest
 from .order_stats import order_points, value_levels
 
@@ -187,7 +188,9 @@ def price_stats(
     max_sell_cap: int | None = None,
 ) -> DataFrame:
     """All price measures per item that has at least one kept offer."""
-    judged = judged_levels(offers, averages, rules, use_unfair, exclude_anonymous, max_sell_cap)
+    judged = save(
+        judged_levels(offers, averages, rules, use_unfair, exclude_anonymous, max_sell_cap), "price-levels"
+    )
     sell, buy = F.col("side") == "sell", F.col("side") == "buy"
     kept = F.col("kept")
     basics = judged.groupBy("item_id").agg(

@@ -49,14 +49,19 @@ def with_brackets(
     level: str = "avg_lvl",
     brackets: Sequence[tuple[int, int]] = BRACKETS,
     overall: bool = True,
+    when: Column | None = None,
 ) -> DataFrame:
-    """One row per bracket a session falls in (plus one for the overall view); level 0 is in none."""
+    """One row per bracket a session falls in (plus one for the overall view); level 0 is in none.
+
+    ``when`` limits which rows enter the brackets; the overall view keeps all.
+    """
     named = F.array(
         *[F.struct(F.lit(f"{lo}_{hi}").alias("tag"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in brackets]
     )
     lvl = F.coalesce(F.col(level), F.lit(0))
+    enters = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
     fitting = F.transform(
-        F.filter(named, lambda b: (lvl != 0) & (lvl >= b["lo"]) & (lvl <= b["hi"])), lambda b: b["tag"]
+        F.filter(named, lambda b: enters & (lvl != 0) & (lvl >= b["lo"]) & (lvl <= b["hi"])), lambda b: b["tag"]
     )
     tags = F.concat(F.array(F.lit(OVERALL)), fitting) if overall else fitting
     return df.withColumn("bracket", F.explode(tags))

@@ -15,7 +15,7 @@ from ..functions.text import (
 )
 from ..operators import consensus as con
 from ..operators import content, demand, events, extract, kills, latest, names, order_stats, prices, sessions, topk
-from ..session import fresh_path
+from ..session import fresh_path, save
 from ..sources import documents, sinks, snapshots
 from ..streaming import incremental
 from .domain import MIN_YEAR, Domain
@@ -352,7 +352,7 @@ def ranking_view(d):
 
 @query
 def demand_view(d):
-    tags = demand.item_tags(d.imbuing(), d.delivery(), d.prices())
+    tags = demand.item_tags(d.imbuing(), d.delivery(), d.saved_prices)
     return demand.demand_view(tags, "delivery", "fair", "e").select("item", "fair", "delivery_npcs", "npc_price")
 
 
@@ -402,7 +402,7 @@ def retry_cooldown(d):
 
 @query
 def item_tags(d):
-    return demand.item_tags(d.imbuing(), d.delivery(), d.prices())
+    return demand.item_tags(d.imbuing(), d.delivery(), d.saved_prices)
 
 
 @query
@@ -432,7 +432,7 @@ def spawn_stats_brackets(d):
 
 @query
 def spawn_items(d):
-    return kills.spawn_items(d.sessions(), d.kills(), d.creature_items(), d.prices(), d.metadata())
+    return kills.spawn_items(save(d.sessions().select("id", "spawn"), "places"), d.saved_kills, d.creature_items(), d.saved_prices, d.metadata())
 
 
 @query
@@ -481,7 +481,7 @@ def weighted_median(d):
 
 @query
 def value_per_kill(d):
-    return d.values()
+    return d.values
 
 
 @query
@@ -492,7 +492,7 @@ def spawn_profit(d):
 @query
 def spawn_loot(d):
     return kills.spawn_loot(
-        d.calibration(), d.kills(), d.creature_items(), d.values(), d.prices(), demand.demand_marks(d.imbuing(), d.delivery())
+        d.calibration(), d.saved_kills, d.creature_items(), d.values, d.saved_prices, demand.demand_marks(d.imbuing(), d.delivery())
     )
 
 
@@ -560,7 +560,7 @@ def name_clusters(d):
 @query
 def topk_per_group(d):
     """The four dearest items of each creature."""
-    return kills.top_loot(d.creature_items(), d.prices(), demand.demand_marks(d.imbuing(), d.delivery()))
+    return kills.top_loot(d.creature_items(), d.saved_prices, demand.demand_marks(d.imbuing(), d.delivery()))
 
 
 @query

@@ -15,6 +15,7 @@ from ..operators.prices import price_stats
 from ..operators.sessions import BRACKETS, bracket_tags, exclude_events, recent, spawn_stats, with_brackets
 from ..operators.kills import calibration_sessions, spawn_profit, value_per_kill
 from ..operators.demand import delivery_rows
+from ..session import save
 
 PROFIT_DAYS, EXP_DAYS, MIN_YEAR = 60, 365, 2026
 TIERS = ("Basic", "Intricate", "Powerful")
@@ -37,14 +38,17 @@ def _grouped(x: Column) -> Column:
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def as_of(self) -> Column:
-        """Newest order date: the run's date, never the wall clock."""
-        return self.table("orders").agg(F.max("o_orderdate").cast("date")).scalar()
+        """Newest order date: the run's date, never the wall clock. As a constant it can be pushed down."""
+        return F.lit(self.table("orders").agg(F.max("o_orderdate").cast("date")).first()[0])
 
     # ---- sessions and kills -------------------------------------------------------------------
 
@@ -79,6 +83,18 @@ class Domain:
         day = F.to_date("o_orderdate")
         return self.table("orders").filter(F.dayofmonth(day) <= 3).select(day.alias("date")).distinct()
 
+    @cached_property
+    def saved_sessions(self) -> DataFrame:
+        return save(self.exp_sessions(), "sessions")
+
+    @cached_property
+    def saved_kills(self) -> DataFrame:
+        return save(self.kills(), "kills")
+
+    @cached_property
+    def saved_prices(self) -> DataFrame:
+        return save(self.prices(), "prices")
+
     def exp_sessions(self) -> DataFrame:
         return exclude_events(recent(self.sessions(), self.as_of, EXP_DAYS), self.event_days())
 
@@ -86,7 +102,7 @@ class Domain:
         return exclude_events(recent(self.sessions(), self.as_of, PROFIT_DAYS), self.event_days())
 
     def calibration(self) -> DataFrame:
-        return calibration_sessions(self.exp_sessions(), self.as_of)
+        return calibration_sessions(self.saved_sessions, self.as_of)
 
     def creature_of(self) -> Column:
         return F.concat_ws(" ", "p_brand", "p_name")
@@ -110,19 +126,19 @@ class Domain:
             .drop("k")
         )
 
+    @cached_property
     def values(self) -> DataFrame:
-        return value_per_kill(self.calibration(), self.kills())
+        return save(value_per_kill(self.calibration(), self.saved_kills), "values")
 
     def bracket_profit(self) -> DataFrame:
-        """Computed profit overall (120 days) and per bracket (60 days)."""
-        kills, values = self.kills(), self.values()
-        overall = spawn_profit(self.calibration(), kills, values).withColumn("bracket", F.lit("all"))
-        fresh = calibration_sessions(self.profit_sessions(), self.as_of)
-        split = with_brackets(fresh, overall=False)
-        return overall.unionByName(spawn_profit(split, kills, values, ("bracket", "spawn")))
+        """Computed profit overall (120 days) and per bracket (60 days), in one pass."""
+        fresh = F.col("hunt_date") >= F.date_sub(self.as_of, PROFIT_DAYS)
+        split = with_brackets(self.calibration(), when=fresh)
+        return spawn_profit(split, self.saved_kills, self.values, ("bracket", "spawn"))
 
     def bracket_stats(self) -> DataFrame:
-        return spawn_stats(with_brackets(self.profit_sessions()), ("bracket", "spawn"))
+        fresh = recent(self.saved_sessions, self.as_of, PROFIT_DAYS)
+        return spawn_stats(with_brackets(fresh), ("bracket", "spawn"))
 
     # ---- items and prices ---------------------------------------------------------------------
 

@@ -15,6 +15,7 @@ def local_session(cores: str = "8", app: str = "yieldloom") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("YIELDLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
@@ -43,6 +44,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def save(df: DataFrame, label: str) -> DataFrame:
+    """Write an interim table below the shared folder and read it back.
+
+    For results that several later steps read: they are computed once, survive lost executors, and
+    the steps see a plain scan with sizes and column pruning instead of the whole plan behind it.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so an iterative job neither grows its plan nor loses its rounds."""
     spark = df.sparkSession
