@@ -164,8 +164,8 @@ def connected_components(pairs: DataFrame) -> DataFrame:
     edges = cut_lineage(
         pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     )
-    before = None
-    while True:
+    before = _changed(edges)
+    while before[0] > 0:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # Large star: neighbours above a node move to the smallest node it knows.

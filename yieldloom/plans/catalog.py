@@ -407,7 +407,7 @@ def item_tags(d):
 
 @query
 def similar_names(d):
-    keys = names.name_keys(d.titles(), "title")
+    keys = names.name_keys(d.names())
     return names.similar_keys(keys)
 
 
@@ -551,7 +551,7 @@ def distinct_names(d):
 
 @query
 def name_clusters(d):
-    return names.cluster_names(d.titles().select("title"), "title")
+    return names.cluster_names(d.names())
 
 
 # ---- windows, top-k -----------------------------------------------------------------------------

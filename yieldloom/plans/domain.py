@@ -242,6 +242,11 @@ class Domain:
             "page_id", "url", F.trim(F.regexp_extract("html", "<h1[^>]*>([^<]*)", 1)).alias("title")
         )
 
+    def names(self) -> DataFrame:
+        """Page titles and full part names: few words in many mixtures, so some words are very common."""
+        parts = self.table("part").select(F.concat_ws(" ", "p_type", "p_name").alias("name"))
+        return self.titles().select(F.col("title").alias("name")).unionByName(parts)
+
     def date_texts(self) -> DataFrame:
         """Order dates as text; every 11th is broken."""
         good = F.date_format("o_orderdate", "MMM dd, yyyy HH:mm")

@@ -719,7 +719,8 @@ oracle(
 
 # ---- names and consensus ------------------------------------------------------------------------
 
-view("keyed", f"SELECT DISTINCT title AS name, coalesce({TOKENS.format(c='title')}, []) AS tokens FROM titles", "titles")
+view("names", "SELECT title AS name FROM titles UNION SELECT p_type || ' ' || p_name FROM part", "titles")
+view("keyed", f"SELECT name, coalesce({TOKENS.format(c='name')}, []) AS tokens FROM names", "names")
 view(
     "similar_keys",
     """SELECT a, b FROM (SELECT DISTINCT array_to_string(tokens, ' ') AS a, tokens AS ta FROM keyed WHERE len(tokens) > 0) x
@@ -745,7 +746,7 @@ view("title_nodes", "SELECT DISTINCT array_to_string(tokens, ' ') AS n FROM keye
 reach("title", "title_nodes", "similar_keys", "title_nodes", "similar_keys")
 oracle(
     "name_clusters",
-    """SELECT name AS title, CASE WHEN root IS NULL THEN name ELSE min(name) OVER (PARTITION BY root) END AS cluster
+    """SELECT name, CASE WHEN root IS NULL THEN name ELSE min(name) OVER (PARTITION BY root) END AS cluster
        FROM keyed LEFT JOIN title_root ON node = array_to_string(tokens, ' ')""",
     "keyed", "title_root",
 )
