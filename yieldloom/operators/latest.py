@@ -22,10 +22,12 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], version: Sequence[str] = (
 
 
 def last_captures(df: DataFrame, n: int, capture: str = CAPTURE) -> DataFrame:
-    """Rows of the n most recent captures that exist (captures are counted, not days)."""
-    dates = df.select(capture).distinct().orderBy(F.desc(capture)).limit(n)
-    # At most n rows are broadcast; on a table partitioned by capture this prunes partitions.
-    return df.join(F.broadcast(dates), capture, "left_semi").select(*df.columns)
+    """Rows of the n most recent captures that exist (captures are counted, not days).
+
+    The oldest of them is a scalar subquery, so a table partitioned by capture reads only their folders.
+    """
+    dates = df.select(capture).filter(F.col(capture).isNotNull()).distinct().orderBy(F.desc(capture)).limit(n)
+    return df.filter(F.col(capture) >= dates.agg(F.min(capture)).scalar())
 
 
 def latest_capture(df: DataFrame, capture: str = CAPTURE) -> DataFrame:
