@@ -9,9 +9,20 @@ from pyspark.sql import functions as F
 PARTY_LABELS = {"Solo": 1, "Duo": 2, "x3": 3, "x4": 4, "x5": 5, "x6+": 6}
 
 
+def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """Quotient of whole numbers, rounded half away from zero by whole-number arithmetic.
+
+    Rounding the exact quotient, not its binary approximation, gives the same digits everywhere.
+    """
+    n, d = numerator.cast("decimal(38,0)"), denominator.cast("decimal(38,0)")
+    scaled = F.call_function("div", F.abs(n) * (2 * 10**digits) + F.abs(d), F.abs(d) * 2)
+    sign = F.signum(numerator.cast("double")) * F.signum(denominator.cast("double"))
+    return F.when(denominator != 0, scaled * sign / float(10**digits))
+
+
 def per_hour(amount: Column, minutes: Column, digits: int = 1) -> Column:
     """Rate per hour, null when no time passed."""
-    return F.when(minutes > 0, F.round(amount / minutes * 60, digits))
+    return F.when(minutes > 0, ratio(amount * 60, minutes, digits))
 
 
 def loot_per_hour(loot_total: Column, balance: Column, minutes: Column) -> Column:

@@ -17,6 +17,7 @@ ENTITIES = (
     ("&nbsp;", "\u00a0"), ("&amp;", "&"),
 )
 
+BLANKS = " \t\r\n\f"
 _SESSION_DATE = r"(?i)^([a-z]{3})\s+(\d{1,2}),\s+(\d{4})\s+([01]?\d|2[0-3]):([0-5]?\d)$"
 _DURATION = r"^(?:(\d+)\s*d\s*)?(\d+):(\d+)\s*h"
 _DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -103,10 +104,11 @@ def parse_money_range(text: Column) -> Column:
 
 def strip_markup(html: Column) -> Column:
     """Text of an HTML fragment: tags removed, trimmed, common entities resolved."""
-    t = F.regexp_replace(F.regexp_replace(html, "<[^>]+>", ""), r"^\s+|\s+$", "")
+    t = F.trim(F.regexp_replace(html, "<[^>]+>", ""), F.lit(BLANKS))
+    resolved = t
     for entity, char in ENTITIES:
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return t
+        resolved = F.replace(resolved, F.lit(entity), F.lit(char))
+    return F.when(t.contains("&"), resolved).otherwise(t)
 
 
 def epoch_text(seconds: Column, pattern: str = "yyyy-MM-dd HH:mm") -> Column:

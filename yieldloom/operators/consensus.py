@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rates import confidence_band
+from ..functions.rates import confidence_band, ratio
 from ..functions.names import norm_name
 from ..functions.text import lenient_int, parse_money_range, year_of
 from ..session import save
@@ -128,7 +128,7 @@ def consensus(compared: DataFrame) -> DataFrame:
         .select(
             "bracket", "spawn", "cluster",
             F.expr("half.value div 2").alias("consensus_h"),
-            F.when(value != 0, F.round((F.col("hi") - F.col("lo")) / (F.abs(value) / 2), 2)).alias("spread"),
+            ratio((F.col("hi") - F.col("lo")) * 2, F.abs(value), 2).alias("spread"),
             "n_sources", "n_members", "sources",
         )
     )

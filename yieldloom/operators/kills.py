@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rates import per_hour
+from ..functions.rates import per_hour, ratio
 from ..session import save
 from .names import resolve_names
 from .order_stats import exact_median, half_of_shares, order_points, share_weight, value_levels
@@ -137,7 +137,7 @@ def spawn_profit(
         F.sum("avg_rate").alias("all_rate"),
     )
     valued_text = F.format_string(
-        "%s %d/h×%d", "creature", F.round(F.col("avg_rate") / float(_BILLION), 0).cast("bigint"), "value_per_kill"
+        "%s %d/h×%d", "creature", ratio(F.col("avg_rate"), F.lit(_BILLION), 0).cast("bigint"), "value_per_kill"
     )
     listed = top_per_group(
         per.select(*keys, valued.alias("known"), F.when(valued, valued_text).otherwise(F.col("creature")).alias("text")),
@@ -159,10 +159,7 @@ def spawn_profit(
         .select(
             *keys,
             F.expr(f"profit div {_BILLION}").alias("profit_computed_h"),
-            F.when(
-                F.col("all_rate") > 0,
-                F.round(F.col("valued_rate").cast("double") / F.col("all_rate").cast("double"), 2),
-            ).otherwise(0.0).alias("coverage"),
+            F.coalesce(ratio(F.col("valued_rate"), F.col("all_rate"), 2), F.lit(0.0)).alias("coverage"),
             "n_sessions",
             "measured_loot_h",
             "valued",
@@ -184,7 +181,7 @@ def spawn_loot(
         .join(top, "creature", "left")
         .select(
             "spawn", "creature",
-            F.round(F.col("avg_rate") / float(_BILLION), 1).alias("avg_kills_h"),
+            ratio(F.col("avg_rate"), F.lit(_BILLION), 1).alias("avg_kills_h"),
             "n_sessions", "value_per_kill",
             F.expr(
                 f"(cast(avg_rate as decimal(19,0)) * cast(value_per_kill as decimal(18,0))) div {_BILLION}"

@@ -34,6 +34,14 @@ def value_levels(df: DataFrame, keys: Sequence[str], value: Column, weight: Colu
     )
 
 
+def known_levels(df: DataFrame, keys: Sequence[str], value: Column, weight: Column) -> DataFrame:
+    """``value_levels`` of rows that already are one per key and value: nothing to fold, no shuffle."""
+    return df.filter(value.isNotNull()).select(
+        *keys, value_bucket(value).alias("bucket"), value.alias("value"), weight.alias("weight"),
+        F.lit(1).cast("bigint").alias("rows"),
+    )
+
+
 def order_points(
     levels: DataFrame,
     keys: Sequence[str],

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rates import ratio
 from ..session import save
 from .latest import merge_latest
-from .order_stats import order_points, value_levels
+from .order_stats import known_levels, order_points
 
 # Shares of the average price from which an offer counts as unfair, in percent.
 UNFAIR_SELL, UNFAIR_BUY = 125, 75
@@ -72,10 +73,10 @@ def judged_levels(
     offers: DataFrame, averages: DataFrame, rules: DataFrame, use_unfair: bool = True,
     exclude_anonymous: bool = False, max_sell_cap: int | None = None,
 ) -> DataFrame:
-    """Levels (item, side, price, anonymous) with offer count, units and whether they are kept.
+    """Price levels (item, side, price): offers and units kept, offers rejected, newest capture.
 
     ``rules`` overrides cap and anonymity per item through rows of item_id, has_cap, max_sell_cap,
-    has_anon, exclude_anonymous. Offers fold into levels before any join.
+    has_anon, exclude_anonymous. Offers fold together before any join.
     """
     levels = (
         offers.filter(F.col("price") > 0)
@@ -91,17 +92,19 @@ def judged_levels(
     return (
         levels.join(reference_prices(averages), "item_id", "left")
         .join(rules.select("item_id", "has_cap", "max_sell_cap", "has_anon", "exclude_anonymous"), "item_id", "left")
-        .select("item_id", "side", "price", "offers", "units", "captured", (~rejected).alias("kept"))
+        .groupBy("item_id", "side", "price")
+        .agg(
+            F.coalesce(F.sum(F.when(~rejected, F.col("offers"))), F.lit(0)).alias("offers"),
+            F.coalesce(F.sum(F.when(~rejected, F.col("units"))), F.lit(0)).alias("units"),
+            F.coalesce(F.sum(F.when(rejected, F.col("offers"))), F.lit(0)).alias("rejected"),
+            F.max("captured").alias("captured"),
+        )
     )
 
 
 def kept_ladder(judged: DataFrame) -> DataFrame:
     """Ladder of kept offers: units per item, side and price."""
-    return (
-        judged.filter("kept")
-        .groupBy("item_id", "side", "price")
-        .agg(F.sum("units").alias("units"), F.sum("offers").alias("offers"))
-    )
+    return judged.filter(F.col("offers") > 0).select("item_id", "side", "price", "units")
 
 
 def _fair(side_points: Column, total: Column, trim_bp: int) -> Column:
@@ -123,9 +126,8 @@ def ladder_marks(ladder: DataFrame, trim_percent: float = 5.0, sell_percent: int
     trim_bp = round(trim_percent * 100)
     trim_bp = 0 if trim_bp >= 10000 else trim_bp  # nothing left to average: use the whole book
     keys = ["item_id", "side"]
-    levels = value_levels(ladder, keys, F.col("price"), F.col("units"))
     points = order_points(
-        levels,
+        known_levels(ladder, keys, F.col("price"), F.col("units")),
         keys,
         lambda total, rows: {
             "mark": F.when(F.col("side") == "buy", F.ceil(total * (10000 - trim_bp) / 10000)).otherwise(
@@ -191,14 +193,13 @@ def price_stats(
     judged = save(
         judged_levels(offers, averages, rules, use_unfair, exclude_anonymous, max_sell_cap), "price-levels"
     )
-    sell, buy = F.col("side") == "sell", F.col("side") == "buy"
-    kept = F.col("kept")
+    sell, buy, kept = F.col("side") == "sell", F.col("side") == "buy", F.col("offers") > 0
     basics = judged.groupBy("item_id").agg(
         F.min(F.when(kept & sell, F.col("price"))).alias("patient"),
         F.max(F.when(kept & buy, F.col("price"))).alias("top_buy"),
-        F.coalesce(F.sum(F.when(kept & sell, F.col("offers"))), F.lit(0)).alias("n_sell"),
-        F.coalesce(F.sum(F.when(kept & buy, F.col("offers"))), F.lit(0)).alias("n_buy"),
-        F.coalesce(F.sum(F.when(~kept & sell, F.col("offers"))), F.lit(0)).alias("n_sell_red"),
+        F.coalesce(F.sum(F.when(sell, F.col("offers"))), F.lit(0)).alias("n_sell"),
+        F.coalesce(F.sum(F.when(buy, F.col("offers"))), F.lit(0)).alias("n_buy"),
+        F.coalesce(F.sum(F.when(sell, F.col("rejected"))), F.lit(0)).alias("n_sell_red"),
         F.max("captured").alias("captured"),
     ).filter((F.col("n_sell") > 0) | (F.col("n_buy") > 0))
 
@@ -217,7 +218,7 @@ def price_stats(
         "item_id",
         (F.col("patient") - 1).alias("instant"),
         "top_buy", "fair", "shelf", "shelf_units", "patient",
-        F.when(F.col("fair") != 0, F.round((F.col("p25") - F.col("fair")) / F.col("fair"), 3)).alias("upside"),
+        ratio(F.col("p25") - F.col("fair"), F.col("fair"), 3).alias("upside"),
         "depth_units", "n_sell", "n_buy", "n_sell_red",
         F.date_format("captured", "yyyy-MM-dd HH:mm").alias("captured_at"),
     )

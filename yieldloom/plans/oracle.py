@@ -34,6 +34,13 @@ def oracle(name: str, sql: str, *needs: str) -> None:
     ORACLE[name] = (f"WITH {recursive}{ctes}\n" if ctes else "") + sql
 
 
+def ratio(n: str, d: str, digits: int) -> str:
+    """Quotient of whole numbers rounded half away from zero, by whole-number arithmetic."""
+    n, d = f"CAST({n} AS HUGEINT)", f"CAST({d} AS HUGEINT)"
+    scaled = f"CAST((abs({n}) * {2 * 10**digits} + abs({d})) // (abs({d}) * 2) AS DOUBLE)"
+    return f"CASE WHEN {d} <> 0 THEN {scaled} * sign({n}) * sign({d}) / {10**digits} END"
+
+
 def quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
@@ -241,7 +248,7 @@ view("news_days", """
 oracle("event_days_from_text", "SELECT o_orderkey, strftime(date, '%Y-%m-%d') AS date FROM news_days", "news_days")
 oracle(
     "kills_per_hour",
-    """SELECT hunt_id, creature, CASE WHEN minutes > 0 THEN round(killed / minutes * 60, 1) END AS kills_per_h
+    f"""SELECT hunt_id, creature, {ratio('killed * 60', 'minutes', 1)} AS kills_per_h
        FROM kills JOIN sessions ON hunt_id = id""",
     "kills", "sessions",
 )
@@ -392,8 +399,8 @@ oracle(
 )
 oracle(
     "kills_enriched",
-    """SELECT hunt_id, spawn, strftime(hunt_date, '%Y-%m-%d') AS hunt_date, minutes, creature, killed,
-         CASE WHEN minutes > 0 THEN round(killed / minutes * 60, 1) END AS kills_per_h, xp_h, loot_h, balance_h, url
+    f"""SELECT hunt_id, spawn, strftime(hunt_date, '%Y-%m-%d') AS hunt_date, minutes, creature, killed,
+         {ratio('killed * 60', 'minutes', 1)} AS kills_per_h, xp_h, loot_h, balance_h, url
        FROM kills JOIN exp_sessions ON hunt_id = id""",
     "kills", "exp_sessions",
 )
@@ -456,8 +463,8 @@ view(
 oracle("depth_band", "SELECT * FROM depth", "depth")
 view(
     "prices",
-    """SELECT b.item_id, patient - 1 AS instant, top_buy, fair, shelf, shelf_units, patient,
-         CASE WHEN fair <> 0 THEN round((p25 - fair) / fair, 3) END AS upside, depth_units, n_sell, n_buy, n_sell_red,
+    f"""SELECT b.item_id, patient - 1 AS instant, top_buy, fair, shelf, shelf_units, patient,
+         {ratio('p25 - fair', 'fair', 3)} AS upside, depth_units, n_sell, n_buy, n_sell_red,
          strftime(captured, '%Y-%m-%d %H:%M') AS captured_at, m.name AS item
        FROM (SELECT item_id, min(price) FILTER (kept AND side = 'sell') AS patient, max(price) FILTER (kept AND side = 'buy') AS top_buy,
                count(*) FILTER (kept AND side = 'sell') AS n_sell, count(*) FILTER (kept AND side = 'buy') AS n_buy,
@@ -601,14 +608,14 @@ view(
 )
 view(
     "computed",
-    """SELECT bracket, spawn, CAST(coalesce(trunc_div, 0) AS BIGINT) AS profit_computed_h, coverage, n_sessions, measured_loot_h, coalesce(valued, '') AS valued, coalesce(missing, '') AS missing
+    f"""SELECT bracket, spawn, CAST(coalesce(trunc_div, 0) AS BIGINT) AS profit_computed_h, coverage, n_sessions, measured_loot_h, coalesce(valued, '') AS valued, coalesce(missing, '') AS missing
        FROM (SELECT bracket, spawn,
            sign(sum(avg_rate * value_per_kill)) * (abs(sum(avg_rate * value_per_kill)) // 1000000000) AS trunc_div,
-           round(CAST(coalesce(sum(avg_rate) FILTER (value_per_kill IS NOT NULL), 0) AS DOUBLE) / CAST(sum(avg_rate) AS DOUBLE), 2) AS coverage,
+           {ratio('coalesce(sum(avg_rate) FILTER (value_per_kill IS NOT NULL), 0)', 'sum(avg_rate)', 2)} AS coverage,
            string_agg(t, ';' ORDER BY t) FILTER (value_per_kill IS NOT NULL AND r <= 10) AS valued,
            string_agg(creature, '|' ORDER BY creature) FILTER (value_per_kill IS NULL AND r <= 10) AS missing
          FROM (SELECT *, row_number() OVER (PARTITION BY bracket, spawn, value_per_kill IS NULL ORDER BY t) AS r FROM (
-           SELECT *, CASE WHEN value_per_kill IS NULL THEN creature ELSE creature || ' ' || CAST(round(avg_rate / 1e9) AS BIGINT) || '/h×' || value_per_kill END AS t FROM mean_rates))
+           SELECT *, CASE WHEN value_per_kill IS NULL THEN creature ELSE creature || ' ' || CAST({ratio('avg_rate', '1000000000', 0)} AS BIGINT) || '/h×' || value_per_kill END AS t FROM mean_rates))
          GROUP BY ALL)
        JOIN (SELECT bracket, spawn, count(*) AS n_sessions, CAST(trunc(median(loot_h) FILTER (loot_h <> 0)) AS BIGINT) AS measured_loot_h
          FROM (SELECT DISTINCT bracket, spawn, hunt_id, loot_h FROM rates) GROUP BY ALL) USING (bracket, spawn)""",
@@ -617,7 +624,7 @@ view(
 oracle("spawn_profit", "SELECT * FROM computed", "computed")
 oracle(
     "spawn_loot",
-    """SELECT spawn, creature, round(avg_rate / 1e9, 1) AS avg_kills_h, n_sessions, value_per_kill,
+    f"""SELECT spawn, creature, {ratio('avg_rate', '1000000000', 1)} AS avg_kills_h, n_sessions, value_per_kill,
          CAST(sign(avg_rate * value_per_kill) * (abs(avg_rate * value_per_kill) // 1000000000) AS BIGINT) AS contrib_h, top_loot
        FROM mean_rates LEFT JOIN loot_texts USING (creature) WHERE bracket = 'all'""",
     "mean_rates", "loot_texts",
@@ -789,8 +796,8 @@ view("compared", "SELECT e.*, norm, cluster FROM evidence e JOIN members USING (
 oracle("profit_compare", "SELECT bracket, spawn, coalesce(norm, '') AS norm, kind, source, lo, hi, n, date, url, cluster FROM compared", "compared")
 view(
     "agreed",
-    """SELECT bracket, shown AS spawn, cluster, CAST(sign(mid2) * (abs(mid2) // 2) AS BIGINT) AS consensus_h,
-         CASE WHEN mid2 <> 0 THEN round((hi - lo) / (abs(mid2) / 2), 2) END AS spread, n_sources, n_members, sources
+    f"""SELECT bracket, shown AS spawn, cluster, CAST(sign(mid2) * (abs(mid2) // 2) AS BIGINT) AS consensus_h,
+         {ratio('(hi - lo) * 2', 'abs(mid2)', 2)} AS spread, n_sources, n_members, sources
        FROM (SELECT bracket, cluster, min(mid) FILTER (2 * cum >= total) AS mid2, min(lo) AS lo, max(hi) AS hi, count(*) AS n_sources, count(DISTINCT spawn) AS n_members
          FROM (SELECT *, sum(w) OVER (PARTITION BY bracket, cluster ORDER BY mid) AS cum, sum(w) OVER (PARTITION BY bracket, cluster) AS total
            FROM (SELECT *, lo + hi AS mid, CASE kind WHEN 'computed' THEN 3 WHEN 'measured' THEN 2 ELSE 1 END AS w FROM compared)) GROUP BY ALL)
