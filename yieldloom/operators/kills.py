@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rates import per_hour, ratio
@@ -40,16 +40,15 @@ def bracket_kills(kills: DataFrame, sessions: DataFrame) -> DataFrame:
     return kills.join(ids, "hunt_id", "left_semi").select(*kills.columns)
 
 
-def _session_total() -> Column:
-    """Kills of the row's session. With one row per session and creature, a session is never longer than
-    the list of creatures."""
-    return F.sum("killed").over(Window.partitionBy("hunt_id"))
+def session_totals(kills: DataFrame) -> DataFrame:
+    """Kills of each session, summed before the shuffle."""
+    return kills.filter(F.col("killed") > 0).groupBy("hunt_id").agg(F.sum("killed").alias("total"))
 
 
 def kill_share(kills: DataFrame) -> DataFrame:
     """Each creature's share of its session's kills."""
-    return kills.filter(F.col("killed") > 0).select(
-        "hunt_id", "creature", "killed", (F.col("killed") / _session_total()).alias("share")
+    return kills.filter(F.col("killed") > 0).join(session_totals(kills), "hunt_id").select(
+        "hunt_id", "creature", "killed", (F.col("killed") / F.col("total")).alias("share")
     )
 
 
@@ -64,16 +63,18 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
     """Per creature what one kill is worth: weighted median over sessions, weighted by kill share.
 
     A session's loot per hour split by kill share and divided by the kill rate is the same for each of
-    its creatures: loot_h * minutes / (60 * all kills).
+    its creatures: loot_h * minutes / (60 * all kills). So it is computed once per session. Values are
+    cut to whole numbers first; as cutting keeps their order, the median's cut value is the same.
     """
-    s = calibration.filter(F.col("loot_h") > 0).select(F.col("id").alias("hunt_id"), "loot_h", "minutes", "url")
-    shares = kills.filter(F.col("killed") > 0).join(s, "hunt_id").withColumn("total", _session_total())
-    seen = shares.select(
-        "creature",
-        "hunt_id",
-        "url",
-        (F.col("loot_h") * F.col("minutes") / (F.col("total") * 60.0)).alias("v"),
-        share_weight(F.col("killed") / F.col("total")).alias("w"),
+    worth = F.col("loot_h") * F.col("minutes") / (F.col("total") * 60.0)
+    s = (
+        calibration.filter(F.col("loot_h") > 0)
+        .select(F.col("id").alias("hunt_id"), "loot_h", "minutes", "url")
+        .join(session_totals(kills), "hunt_id")
+        .select("hunt_id", "url", "total", worth.cast("bigint").alias("v"))
+    )
+    seen = kills.filter(F.col("killed") > 0).join(s, "hunt_id").select(
+        "creature", "hunt_id", "url", "v", share_weight(F.col("killed") / F.col("total")).alias("w")
     )
     levels = value_levels(seen, ["creature"], F.col("v"), F.col("w"))
     middle = order_points(
@@ -87,9 +88,9 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
         middle.join(samples, "creature")
         .select(
             "creature", F.col("total_rows").alias("n_sessions"),
-            F.col("half.value").cast("bigint").alias("value_per_kill"),
-            F.col("least").cast("bigint").alias("min_v"),
-            F.col("greatest").cast("bigint").alias("max_v"),
+            F.col("half.value").alias("value_per_kill"),
+            F.col("least").alias("min_v"),
+            F.col("greatest").alias("max_v"),
             "sample_urls",
         )
     )

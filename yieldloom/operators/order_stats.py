@@ -13,8 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per factor e of the value: about 0.4 % wide, at most some 21,000 per key over all of BIGINT.
-_RESOLUTION = 256
+# Buckets per factor e of the value: a bucket is 0.05 % of the value wide, so it holds few whole numbers
+# (half a million around one billion), and a key has at most some 180,000 buckets over all of BIGINT.
+_RESOLUTION = 2048
 
 
 def value_bucket(value: Column) -> Column:
@@ -60,8 +61,10 @@ def order_points(
         product = F.col("value").cast("decimal(19,0)") * F.col("weight").cast("decimal(18,0)")
         levels = levels.withColumn("moment", product)
     sums = ["weight", "rows"] + (["moment"] if moment else [])
-    running = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    # Both frames share one ordering, so one sort serves them.
+    ordered = Window.partitionBy(*keys).orderBy("bucket")
+    running = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     ends = [F.min("value").alias("least"), F.max("value").alias("greatest")] if extremes else []
     histogram = levels.groupBy(*keys, "bucket").agg(*[F.sum(c).alias(c) for c in sums], *ends)
@@ -103,17 +106,26 @@ def order_points(
         "value", "weight", "bucket_before", *end_names, *(["bucket_moment", "moment"] if moment else []),
     )
     fine = fine.withColumn("before", F.col("bucket_before") + F.coalesce(F.sum("weight").over(inside), F.lit(0)))
-    fields = [F.col("value"), F.col("before")]
+    fields = ["value", "before"]
     if moment:
         below = F.col("bucket_moment") + F.coalesce(F.sum("moment").over(inside), F.lit(0))
-        fine = fine.withColumn("below", below)
-        fields.append(F.col("below").alias("moment"))
+        fine = fine.withColumn("moment", below)
+        fields.append("moment")
     hit = fine.filter((F.col("before") < F.col("at")) & (F.col("at") <= F.col("before") + F.col("weight")))
-    return hit.groupBy(*keys).agg(
-        F.max("total").alias("total"),
-        F.max("total_rows").alias("total_rows"),
-        *[F.max(c).alias(c) for c in end_names],
-        *[F.max(F.when(F.col("label") == name, F.struct(*fields))).alias(name) for name in labels],
+    # Plain numbers are gathered first and made into structs after: that keeps this a hash aggregate.
+    per_key = ["total", "total_rows", *end_names]
+    flat = hit.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in per_key],
+        *[
+            F.max(F.when(F.col("label") == name, F.col(field))).alias(f"{name}_{field}")
+            for name in labels
+            for field in fields
+        ],
+    )
+    return flat.select(
+        *keys,
+        *per_key,
+        *[F.struct(*[F.col(f"{name}_{field}").alias(field) for field in fields]).alias(name) for name in labels],
     )
 
 

@@ -78,26 +78,35 @@ def judged_levels(
     ``rules`` overrides cap and anonymity per item through rows of item_id, has_cap, max_sell_cap,
     has_anon, exclude_anonymous. Offers fold together before any join.
     """
+    anonymous = F.col("anonymous")
     levels = (
         offers.filter(F.col("price") > 0)
-        .groupBy("item_id", "side", "price", "anonymous")
-        .agg(F.count(F.lit(1)).alias("offers"), F.sum("units").alias("units"), F.max("captured").alias("captured"))
+        .groupBy("item_id", "side", "price")
+        .agg(
+            F.count_if(~anonymous).alias("named"), F.count_if(anonymous).alias("hidden"),
+            F.coalesce(F.sum(F.when(~anonymous, F.col("units"))), F.lit(0)).alias("named_units"),
+            F.coalesce(F.sum(F.when(anonymous, F.col("units"))), F.lit(0)).alias("hidden_units"),
+            F.max("captured").alias("captured"),
+        )
     )
     cap = F.when(F.col("has_cap"), F.col("max_sell_cap")).otherwise(F.lit(max_sell_cap).cast("bigint"))
     hide = F.when(F.col("has_anon"), F.col("exclude_anonymous")).otherwise(F.lit(exclude_anonymous))
     over_cap = (F.col("side") == "sell") & (cap > 0) & (F.col("price") > cap)
-    rejected = F.coalesce(over_cap, F.lit(False)) | (F.coalesce(hide, F.lit(False)) & F.col("anonymous"))
+    rejected = F.coalesce(over_cap, F.lit(False))
     if use_unfair:
         rejected = rejected | is_unfair()
+    hide = F.coalesce(hide, F.lit(False))
+
+    def kept(named: str, hidden: str) -> Column:
+        return F.when(rejected, 0).otherwise(F.col(named) + F.when(hide, 0).otherwise(F.col(hidden)))
+
     return (
         levels.join(reference_prices(averages), "item_id", "left")
         .join(rules.select("item_id", "has_cap", "max_sell_cap", "has_anon", "exclude_anonymous"), "item_id", "left")
-        .groupBy("item_id", "side", "price")
-        .agg(
-            F.coalesce(F.sum(F.when(~rejected, F.col("offers"))), F.lit(0)).alias("offers"),
-            F.coalesce(F.sum(F.when(~rejected, F.col("units"))), F.lit(0)).alias("units"),
-            F.coalesce(F.sum(F.when(rejected, F.col("offers"))), F.lit(0)).alias("rejected"),
-            F.max("captured").alias("captured"),
+        .withColumn("offers", kept("named", "hidden"))
+        .select(
+            "item_id", "side", "price", "offers", kept("named_units", "hidden_units").alias("units"),
+            (F.col("named") + F.col("hidden") - F.col("offers")).alias("rejected"), "captured",
         )
     )
 

@@ -57,7 +57,7 @@ class Domain:
         nation = self.table("nation").select("n_nationkey", "n_name")
         spawn = F.concat_ws(" ", "n_name", "c_mktsegment")
         customers = (
-            self.table("customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+            self.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", spawn.alias("spawn"))
         )
         return self.table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -401,7 +401,8 @@ class Domain:
             party, F.lit("<h3>Monster Killed</h3><table>"), kill,
             F.lit('</table><table><img alt="other" src="y"/> </td><td>7</td></table></html>'),
         )
-        return self.places().select(
+        # A page is far wider than the row it comes from, so rows are spread before pages are made.
+        return self.places().repartition("o_orderkey").select(
             _text(key).alias("id"), html.alias("html"), F.lit(100).cast("bigint").alias("query_min"),
             F.lit(201).cast("bigint").alias("query_max"), _pick(("Solo", "Duo", "x3", "?"), key % 4).alias("query_party"),
         )

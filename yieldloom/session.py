@@ -20,6 +20,8 @@ def local_session(cores: str = "8", app: str = "yieldloom") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test tables: keep all cores busy instead of merging everything into one partition.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
 
