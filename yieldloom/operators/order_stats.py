@@ -145,10 +145,9 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: Column, weight: C
 
     Weights are whole numbers. A key without weight gives 0.
     """
-    points = order_points(
-        value_levels(df, keys, value, weight), keys, lambda total, rows: {"half": F.ceil(total / 2)}
-    )
-    every = df.select(*keys).distinct()
+    levels = value_levels(df, keys, value, weight)
+    points = order_points(levels, keys, lambda total, rows: {"half": F.ceil(total / 2)})
+    every = levels.select(*keys).distinct()
     return every.join(points, list(keys), "left").select(
         *keys, F.coalesce(F.col("half.value"), F.lit(0)).alias(alias)
     )

@@ -199,9 +199,12 @@ def price_stats(
     max_sell_cap: int | None = None,
 ) -> DataFrame:
     """All price measures per item that has at least one kept offer."""
-    judged = save(
-        judged_levels(offers, averages, rules, use_unfair, exclude_anonymous, max_sell_cap), "price-levels"
-    )
+    judged = judged_levels(offers, averages, rules, use_unfair, exclude_anonymous, max_sell_cap)
+    return price_measures(save(judged, "price-levels"), metadata, trim_percent)
+
+
+def price_measures(judged: DataFrame, metadata: DataFrame | None = None, trim_percent: float = 5.0) -> DataFrame:
+    """``price_stats`` of saved judged levels. They are read several times, so save them first."""
     sell, buy, kept = F.col("side") == "sell", F.col("side") == "buy", F.col("offers") > 0
     basics = judged.groupBy("item_id").agg(
         F.min(F.when(kept & sell, F.col("price"))).alias("patient"),

@@ -451,7 +451,7 @@ def shelf_price(d):
 
 
 def _ladder(d: Domain) -> DataFrame:
-    return prices.kept_ladder(prices.judged_levels(d.offers(), d.averages(), d.rules()))
+    return save(prices.kept_ladder(prices.judged_levels(d.offers(), d.averages(), d.rules())), "ladder")
 
 
 @query

@@ -145,16 +145,11 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     profit = sessions.recent(usable, as_of, s.profit_days)
     kill_rows = save(silver.kills, "kills")
 
-    price_table = save(
-        prices.price_stats(
-            silver.offers, silver.averages, item_rules(silver, s), silver.metadata, s.trim_percent,
-            s.use_unfair_filter, s.exclude_anonymous, s.max_sell_cap,
-        ),
-        "prices",
-    )
     judged = prices.judged_levels(
         silver.offers, silver.averages, item_rules(silver, s), s.use_unfair_filter, s.exclude_anonymous, s.max_sell_cap
     )
+    judged = save(judged, "price-levels")
+    price_table = save(prices.price_measures(judged, silver.metadata, s.trim_percent), "prices")
     tags_table = demand.item_tags(silver.imbuing, silver.delivery, price_table)
 
     calibration = kills.calibration_sessions(usable, as_of)
