@@ -63,18 +63,16 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
     """Per creature what one kill is worth: weighted median over sessions, weighted by kill share.
 
     A session's loot per hour split by kill share and divided by the kill rate is the same for each of
-    its creatures: loot_h * minutes / (60 * all kills). So it is computed once per session. Values are
-    cut to whole numbers first; as cutting keeps their order, the median's cut value is the same.
+    its creatures: loot_h * minutes / (60 * all kills). Values are cut to whole numbers first; as cutting
+    keeps their order, the median's cut value is the same.
     """
+    s = calibration.filter(F.col("loot_h") > 0).select(F.col("id").alias("hunt_id"), "loot_h", "minutes", "url")
+    # The long kill table is read once; the recent part of it is all the steps below need.
+    recent = save(kills.filter(F.col("killed") > 0).join(s, "hunt_id"), "recent-kills")
     worth = F.col("loot_h") * F.col("minutes") / (F.col("total") * 60.0)
-    s = (
-        calibration.filter(F.col("loot_h") > 0)
-        .select(F.col("id").alias("hunt_id"), "loot_h", "minutes", "url")
-        .join(session_totals(kills), "hunt_id")
-        .select("hunt_id", "url", "total", worth.cast("bigint").alias("v"))
-    )
-    seen = kills.filter(F.col("killed") > 0).join(s, "hunt_id").select(
-        "creature", "hunt_id", "url", "v", share_weight(F.col("killed") / F.col("total")).alias("w")
+    seen = recent.join(session_totals(recent), "hunt_id").select(
+        "creature", "hunt_id", "url", worth.cast("bigint").alias("v"),
+        share_weight(F.col("killed") / F.col("total")).alias("w"),
     )
     levels = value_levels(seen, ["creature"], F.col("v"), F.col("w"))
     middle = order_points(
@@ -126,7 +124,7 @@ def spawn_profit(
     The measured median over the same sessions stands beside it.
     """
     keys = list(keys)
-    rates = _rates(kills, sessions, keys)
+    rates = save(_rates(kills, sessions, keys), "kill-rates")
     per = save(
         _mean_rates(rates, keys).join(values.select("creature", "value_per_kill"), "creature", "left"), "spawn-rates"
     )
@@ -150,7 +148,7 @@ def spawn_profit(
         return F.array_join(F.transform(F.array_sort(F.collect_list(mine)), lambda p: p["text"]), separator)
 
     lists = listed.groupBy(*keys).agg(texts(True, ";").alias("valued"), texts(False, "|").alias("missing"))
-    hunts = save(rates.select(*keys, "hunt_id", "loot_h").distinct(), "spawn-sessions")
+    hunts = rates.select(*keys, "hunt_id", "loot_h").distinct()
     counted = hunts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sessions"))
     measured = exact_median(hunts.filter(F.col("loot_h") != 0), keys, F.col("loot_h"), "measured_loot_h")
     return (
