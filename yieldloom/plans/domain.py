@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.extract import DELIVERY_TABS
 from ..operators.prices import price_stats
-from ..operators.sessions import BRACKETS, bracket_tags, exclude_events, recent, spawn_stats, with_brackets
+from ..operators.sessions import bracket_tags, exclude_events, recent, spawn_stats, with_brackets
 from ..operators.kills import calibration_sessions, spawn_profit, value_per_kill
 from ..operators.demand import delivery_rows
 from ..session import save

@@ -59,6 +59,7 @@ def save(df: DataFrame, label: str) -> DataFrame:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so an iterative job neither grows its plan nor loses its rounds."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
