@@ -7,10 +7,12 @@ import pytest
 
 import __spark_entry__ as registry
 from tools.check_queries import compare, connect
+from yieldloom.plans.catalog import bound_queries
+from yieldloom.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = bound_queries(), ORACLE
 
 
 @pytest.fixture(scope="module")
