@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat
+from . import bpe, chat, jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,32 @@ def op10_bpe(spark, sf_dir):
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op4_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+    FROM words
+), rows AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
+    FROM rows a JOIN rows b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT DISTINCT a AS node, a AS other FROM ways
+    UNION
+    SELECT r.node, w.b FROM reach r JOIN ways w ON r.other = w.a
+), least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN least l ON l.node = s.doc_id
+"""
