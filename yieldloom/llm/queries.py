@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard
+from . import bpe, chat, decontaminate, jaccard, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +100,43 @@ reach AS (
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id
 FROM sets s LEFT JOIN least l ON l.node = s.doc_id
 """
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Best window of each item in each document, by all windows of the items' sizes.
+ORACLE["op6_benchmark_decontamination"] = r"""
+WITH doc AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), item AS (
+    SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark
+), item_row AS MATERIALIZED (
+    SELECT item_id, len(w) AS words, len(w) - 4 AS n, array_to_string(w[i:i + 4], ' ') AS shingle, count(*) AS c
+    FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS i FROM item WHERE len(w) >= 5) GROUP BY ALL
+), doc_row AS MATERIALIZED (
+    SELECT doc_id, len(w) AS doc_words, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS shingle
+    FROM (SELECT *, unnest(generate_series(1, len(w) - 4)) AS i FROM doc WHERE len(w) >= 5)
+), hit AS MATERIALIZED (
+    SELECT doc_id, doc_words, pos, shingle, item_id, words, n, c FROM doc_row JOIN item_row USING (shingle)
+), start AS (
+    SELECT DISTINCT doc_id, item_id, words, n, unnest(generate_series(greatest(0, pos - n + 1), least(pos, doc_words - words))) AS start_word FROM hit
+), part AS (
+    SELECT s.doc_id, s.item_id, s.start_word, s.words, s.n, h.shingle, least(count(*), any_value(h.c)) AS shared
+    FROM start s JOIN hit h ON h.doc_id = s.doc_id AND h.item_id = s.item_id AND h.pos BETWEEN s.start_word AND s.start_word + s.n - 1
+    GROUP BY ALL
+), ratio AS (
+    SELECT doc_id, item_id, start_word, words, n, sum(shared) AS shared FROM part GROUP BY ALL
+), good AS (
+    SELECT *, shared / (2 * n - shared) AS similarity FROM ratio WHERE 100 * shared >= 75 * (2 * n - shared)
+)
+SELECT doc_id, item_id, start_word::BIGINT AS start_word, words::INTEGER AS n_words, similarity::DOUBLE AS similarity
+FROM good QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY shared DESC, start_word) = 1
+"""
+
+
+@query
+def op7_substring_dedup(spark, sf_dir):
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))

@@ -110,12 +110,15 @@ def rolling_shingles(numbers: np.ndarray) -> np.ndarray:
     return mix(total)
 
 
-def short_shingle(numbers: np.ndarray) -> np.ndarray:
-    """The one shingle of a text of fewer words than a shingle has."""
-    if not len(numbers):
+def rolling_short(numbers: np.ndarray, words: int) -> np.ndarray:
+    """Number of the sequence of so many words, fewer than a shingle has, that begins at each word."""
+    n = len(numbers) - words + 1
+    if n <= 0 or not words:
         return np.zeros(0, np.uint64)
-    size = np.array([len(numbers)], dtype=np.uint64)
-    return mix((numbers * _PLACE[: len(numbers)]).sum(dtype=np.uint64, keepdims=True) + size * _PLACE[SHINGLE])
+    total = np.full(n, words, dtype=np.uint64) * _PLACE[SHINGLE]
+    for k in range(words):
+        total = total + numbers[k : k + n] * _PLACE[k]
+    return mix(total)
 
 
 def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -126,7 +129,7 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
         if end - begin >= SHINGLE:
             yield np.unique(rolled[begin : end - SHINGLE + 1])
         else:
-            yield short_shingle(numbers[begin:end]).view(np.int64)
+            yield rolling_short(numbers[begin:end], int(end - begin)).view(np.int64)
 
 
 def byte_texts(column) -> list[bytes]:
