@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, jaccard, substrings
+from . import bpe, chat, decontaminate, embeddings, jaccard, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,3 +140,28 @@ FROM good QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY share
 @query
 def op7_substring_dedup(spark, sf_dir):
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_embedding_near_dedup(spark, sf_dir):
+    return embeddings.linked(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+ORACLE["op8_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS MATERIALIZED (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), ways AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+    SELECT DISTINCT a AS node, a AS other FROM ways
+    UNION
+    SELECT r.node, w.b FROM reach r JOIN ways w ON r.other = w.a
+), least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT a AS node, count(*) AS n FROM ways GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(l.component_id, e.vec_id) AS component_id,
+    e.vec_id = coalesce(l.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN least l ON l.node = e.vec_id LEFT JOIN counts c ON c.node = e.vec_id
+"""
