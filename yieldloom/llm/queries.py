@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, embeddings, jaccard, substrings
+from . import bpe, chat, decontaminate, embeddings, jaccard, secret_scan, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -165,3 +165,8 @@ SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(l.component_id, e
     e.vec_id = coalesce(l.component_id, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN least l ON l.node = e.vec_id LEFT JOIN counts c ON c.node = e.vec_id
 """
+
+
+@query
+def op2_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.found_secrets(table(spark, sf_dir, "documents")))
