@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, embeddings, jaccard, secret_scan, substrings
+from . import bpe, chat, decontaminate, embeddings, jaccard, secret_scan, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -170,3 +170,8 @@ FROM embeddings e LEFT JOIN least l ON l.node = e.vec_id LEFT JOIN counts c ON c
 @query
 def op2_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.found_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
