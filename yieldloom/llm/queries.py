@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, embeddings, jaccard, secret_scan, substrings, toxicity
+from . import bpe, chat, class_lm, decontaminate, embeddings, jaccard, secret_scan, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -175,3 +175,8 @@ def op2_secret_scan(spark, sf_dir):
 @query
 def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_lm_scoring(spark, sf_dir):
+    return class_lm.scores(table(spark, sf_dir, "documents"))

@@ -22,6 +22,8 @@ _BYTE[65:91] = _BYTE[97:123]
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE[_IS_SPACE] = 0
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = _rng.integers(1, 2**63, SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACES = re.compile(rb"[\x20\x09-\x0d]")
@@ -46,13 +48,13 @@ _POWERS = _powers(4096)
 
 
 def _hash_group(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers, first bytes and ends of the words of one string."""
+    """Numbers, places of the first bytes, and endings (the last two bytes) of the words of one string."""
     buf = np.frombuffer(data + b" ", np.uint8)
     space = _IS_SPACE[buf]
     edge = np.diff(space.view(np.int8), prepend=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(starts):
-        return np.zeros(0, np.uint64), starts, ends
+        return np.zeros(0, np.uint64), starts, np.zeros(0, np.int32)
     ends = ends[-len(starts):]
     lengths = ends - starts
     longest = int(lengths.max())
@@ -60,7 +62,9 @@ def _hash_group(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = np.flatnonzero(~space)
     place = np.arange(len(inside)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     sums = np.add.reduceat(_BYTE[buf[inside]] * powers[place], np.cumsum(lengths) - lengths)
-    return mix(sums + lengths.astype(np.uint64)), starts, ends
+    last = _LOWER[buf[ends - 1]].astype(np.int32)
+    before = np.where(lengths > 1, _LOWER[buf[np.maximum(ends - 2, 0)]], 0).astype(np.int32)
+    return mix(sums + lengths.astype(np.uint64)), starts, before * 256 + last
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
@@ -75,9 +79,9 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' word numbers in one array, and where each text's begin (one more entry than texts)."""
-    out, counts = [], np.zeros(len(texts), dtype=np.int64)
+def words_and_endings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts' word numbers and endings, and where each text's words begin (one more entry than texts)."""
+    out, tails, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], np.zeros(len(texts), dtype=np.int64)
     at = 0
     while at < len(texts):
         to, size = at, 0
@@ -86,17 +90,24 @@ def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             to += 1
         if to == at + 1:
             for part in _parts(texts[at]):
-                numbers, _, _ = _hash_group(part)
+                numbers, _, endings = _hash_group(part)
                 out.append(numbers)
+                tails.append(endings)
                 counts[at] += len(numbers)
         else:
-            numbers, starts, _ = _hash_group(b" ".join(texts[at:to]))
+            numbers, starts, endings = _hash_group(b" ".join(texts[at:to]))
             out.append(numbers)
+            tails.append(endings)
             begins = np.cumsum([0] + [len(t) + 1 for t in texts[at:to]])
             counts[at:to] = np.diff(np.searchsorted(starts, begins))
         at = to
-    offsets = np.concatenate([[0], np.cumsum(counts)])
-    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), offsets
+    return np.concatenate(out), np.concatenate(tails), np.concatenate([[0], np.cumsum(counts)])
+
+
+def word_numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' word numbers, and where each text's begin."""
+    numbers, _, offsets = words_and_endings(texts)
+    return numbers, offsets
 
 
 def rolling_shingles(numbers: np.ndarray) -> np.ndarray:
