@@ -2,10 +2,10 @@
 
 A gear hash rolls over a text's words: it is doubled, and the next word's number is added. A chunk ends where the hash's low
 four bits are below three, so an end depends on four words alone, and chunks find their places again behind an insertion.
-Chunks are compared by digest. Chunks of one or two words say little and are not compared; they belong to the passage
-around them. A run of compared chunks that other documents hold as well is a passage. Runs of ``passage_words`` or
-more are proven by their digests; shorter ones, down to ``LEAST_RUN`` words, are grown word by word against the other document,
-since a passage's first and last chunk usually reach beyond it, and stay if they reach ``passage_words``.
+Chunks of one or two words say little and are joined to the next one. Chunks are compared by digest. A run of chunks that
+another document holds as well is a passage. Runs of ``passage_words`` or more are proven by their digests; shorter ones,
+down to ``LEAST_RUN`` words, are grown word by word against the other document, since a passage's first and last chunk
+usually reach beyond it, and stay if they reach ``passage_words``. Only the words beside a run are moved for that.
 
 The first document by id keeps a passage, the others repeat it. Null or empty texts hold no passage, and rows without a
 ``doc_id`` are not compared. Rows that repeat are the same document. Passages that occur within one document only
@@ -18,9 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import save
 from .words import byte_texts, mix, word_numbers
@@ -55,8 +54,14 @@ def chunk_ends(numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return ends
 
 
+def joined_ends(ends: np.ndarray, text_ends: np.ndarray) -> np.ndarray:
+    """Ends without those of short chunks, other than a text's last."""
+    long = np.diff(ends, prepend=0) >= SHORT
+    return ends[long | np.isin(ends, text_ends)]
+
+
 def _chunks(docs: DataFrame) -> DataFrame:
-    """Rows ``(doc_id, start, words, lead, digest)``; ``lead`` counts the words of short chunks just before."""
+    """Rows ``(doc_id, start, words, digest)`` in words of each text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,80 +72,87 @@ def _chunks(docs: DataFrame) -> DataFrame:
                 if not len(numbers):
                     continue
                 filled = np.flatnonzero(np.diff(offsets))
-                ends = chunk_ends(numbers, offsets[:-1][filled])
+                ends = joined_ends(chunk_ends(numbers, offsets[:-1][filled]), offsets[1:][filled])
                 sizes = np.diff(ends, prepend=0)
                 begins = ends - sizes
                 place = np.arange(len(numbers)) - np.repeat(begins, sizes)
-                digest = mix(np.add.reduceat(numbers * _PLACE[place], begins) + sizes.astype(np.uint64))
+                digest = mix(np.add.reduceat(numbers * _PLACE[place % LONGEST_CHUNK], begins) + sizes.astype(np.uint64))
                 doc = np.searchsorted(offsets, begins, side="right") - 1
-                short = sizes < SHORT
-                # Words of the short chunks in a row that end where a chunk begins, within its text.
-                total = np.cumsum(np.where(short, sizes, 0))
-                base = np.where(short, 0, total)
-                opens = np.diff(doc, prepend=-1) != 0
-                base = np.where(opens & short, total - sizes, base)
-                base = np.maximum.accumulate(base)
-                lead = np.concatenate([[0], (total - base)[:-1]])
-                lead[opens] = 0
-                keep = ~short
+                keep = sizes >= SHORT
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column(0).take(pa.array(low + doc[keep])),
                     "start": pa.array((begins - offsets[doc])[keep].astype(np.int32)),
-                    "words": pa.array(sizes[keep].astype(np.int32)), "lead": pa.array(lead[keep].astype(np.int32)),
+                    "words": pa.array(sizes[keep].astype(np.int32)),
                     "digest": pa.array(digest[keep].view(np.int64)),
                 })
 
-    return docs.mapInArrow(run, f"doc_id {kind}, start int, words int, lead int, digest long")
+    return docs.mapInArrow(run, f"doc_id {kind}, start int, words int, digest long")
 
 
-def _grown(docs: DataFrame, runs: DataFrame, passage_words: int) -> DataFrame:
-    """Short runs grown against the other document; those that reach a passage's length."""
-    wanted = runs.select("doc_id").unionByName(runs.select(F.col("other").alias("doc_id"))).distinct()
+def _beside(docs: DataFrame, places: DataFrame, passage_words: int) -> DataFrame:
+    """Adds ``before`` (nearest first) and ``behind``: 32 bits of each word beside the places ``(doc_id, start, words)``."""
+    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("start", "words")).alias("places"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = to_arrow_type(docs.schema["doc_id"].dataType)
 
-    def numbers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(byte_texts(batch.column(1))):
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column(0).slice(i, 1), "numbers": pa.array([word_numbers([text])[0].view(np.int64)], pa.list_(pa.int64()))
-                })
+            rows, starts, sizes, before, behind = [], [], [], [], []
+            for i, (text, own) in enumerate(zip(byte_texts(batch.column(1)), batch.column(2).to_pylist())):
+                numbers = word_numbers([text])[0].astype(np.uint32)
+                for place in own:
+                    start, words = place["start"], place["words"]
+                    if start + words > len(numbers):
+                        continue  # another text under the same id
+                    need = passage_words - words
+                    rows.append(i)
+                    starts.append(start)
+                    sizes.append(words)
+                    before.append(numbers[max(0, start - need) : start][::-1].tobytes())
+                    behind.append(numbers[start + words : start + words + need].tobytes())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0).take(pa.array(rows, pa.int64())), "start": pa.array(starts, pa.int32()),
+                "words": pa.array(sizes, pa.int32()), "before": pa.array(before, pa.binary()), "behind": pa.array(behind, pa.binary()),
+            })
+
+    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "places")
+    return texts.mapInArrow(run, f"doc_id {kind}, start int, words int, before binary, behind binary")
 
-    texts = docs.join(wanted, "doc_id", "left_semi").mapInArrow(numbers_of, f"doc_id {kind}, numbers array<long>")
-    texts = save(texts, "passage-words")
-    met = (
-        runs.join(texts, "doc_id")
-        .join(texts.select(F.col("doc_id").alias("other"), F.col("numbers").alias("others")), "other")
-        .select("doc_id", "other", "start", "words", "numbers", "others")
+
+def _grown(docs: DataFrame, runs: DataFrame, shared: DataFrame, passage_words: int) -> DataFrame:
+    """Short runs grown against the other document; those that reach a passage's length."""
+    spots = shared.select(F.col("doc_id").alias("other"), "digest", F.col("start").alias("other_start"))
+    runs = runs.join(spots, ["other", "digest"]).groupBy("doc_id", "start", "words", "other").agg(F.min("other_start").alias("other_start"))
+    runs = save(runs, "short-runs")
+    places = runs.select("doc_id", "start", "words").unionByName(
+        runs.select(F.col("other").alias("doc_id"), F.col("other_start").alias("start"), "words")
     )
+    beside = save(_beside(docs, places.distinct(), passage_words), "beside-runs")
+    others = beside.select(
+        F.col("doc_id").alias("other"), F.col("start").alias("other_start"), "words",
+        F.col("before").alias("other_before"), F.col("behind").alias("other_behind"),
+    )
+    met = runs.join(beside, ["doc_id", "start", "words"]).join(others, ["other", "other_start", "words"])
+
+    def equal(a: bytes, b: bytes) -> int:
+        n = min(len(a), len(b)) // 4
+        differ = np.frombuffer(a, np.uint32, n) != np.frombuffer(b, np.uint32, n)
+        return int(differ.argmax()) if differ.any() else n
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                start, words = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
-                a = np.asarray(batch.column(4)[i].values)
-                b = np.asarray(batch.column(5)[i].values)
-                best = None
-                places = np.flatnonzero(b[: max(0, len(b) - words + 1)] == a[start]) if start + words <= len(a) else []
-                for at in places:
-                    if not np.array_equal(b[at : at + words], a[start : start + words]):
-                        continue
-                    before = min(start, at)
-                    left = a[start - before : start][::-1] != b[at - before : at][::-1]
-                    left = int(left.argmax()) if left.any() else before
-                    behind = min(len(a) - start, len(b) - at) - words
-                    right = a[start + words : start + words + behind] != b[at + words : at + words + behind]
-                    right = int(right.argmax()) if right.any() else behind
-                    if best is None or left + words + right > best[1]:
-                        best = (start - left, left + words + right)
-                if best and best[1] >= passage_words:
-                    out.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), *best))
+            texts = [batch.column(name).to_pylist() for name in ("before", "other_before", "behind", "other_behind")]
+            left = np.array([equal(a, b) for a, b in zip(texts[0], texts[1])], dtype=np.int64)
+            right = np.array([equal(a, b) for a, b in zip(texts[2], texts[3])], dtype=np.int64)
+            start, words = (np.array(batch.column(name).to_pylist(), dtype=np.int64) for name in ("start", "words"))
+            long = left + words + right >= passage_words
+            rows = pa.array(np.flatnonzero(long))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array([r[0] for r in out], arrow), "other": pa.array([r[1] for r in out], arrow),
-                "start": pa.array([r[2] for r in out], pa.int32()), "words": pa.array([r[3] for r in out], pa.int64()),
+                "doc_id": batch.column("doc_id").take(rows), "other": batch.column("other").take(rows),
+                "start": pa.array((start - left)[long].astype(np.int32)), "words": pa.array((left + words + right)[long]),
             })
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    met = met.select("doc_id", "other", "start", "words", "before", "other_before", "behind", "other_behind")
     return met.mapInArrow(grow, f"doc_id {kind}, other {kind}, start int, words long")
 
 
@@ -148,28 +160,32 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", pa
     """Rows ``(key, start_word, n_words, other, keeps)``: passages that another document holds as well.
 
     ``other`` is the smallest other document that holds the passage's chunks, or the greatest for the document that
-    keeps it; ``keeps`` is true in the first document by id.
+    keeps it; ``keeps`` is true in the first document by id. A passage may go on beyond what is given by part of a chunk.
     """
     docs = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     chunks = save(_chunks(docs), "chunks")
     shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high")
-    shared = save(shared, "shared-chunks")
-    met = chunks.join(shared, "digest").dropDuplicates(["doc_id", "start"])
+    shared = save(chunks.join(shared, "digest").dropDuplicates(["doc_id", "start"]), "shared-chunks")
     order = Window.partitionBy("doc_id").orderBy("start")
-    linked = met.withColumn("end", F.col("start") + F.col("words")).withColumn(
-        "opens", F.coalesce((F.lag("end").over(order) + F.col("lead") != F.col("start")).cast("int"), F.lit(1))
-    )
-    numbered = linked.withColumn("run", F.sum("opens").over(order))
+
+    def goes_on(side: str) -> Column:
+        return (F.lag(side).over(order) == F.col(side)) & (F.col(side) != F.col("doc_id"))
+
+    goes = (F.lag(F.col("start") + F.col("words")).over(order) == F.col("start")) & (goes_on("low") | goes_on("high"))
+    numbered = shared.withColumn("opens", F.coalesce((~goes).cast("int"), F.lit(1)))
+    numbered = numbered.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     other = F.when(F.col("low") == F.col("doc_id"), F.col("high")).otherwise(F.col("low"))
     runs = numbered.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"),
-        (F.max("end") - F.min("start")).cast("long").alias("words"),
+        F.sum("words").cast("int").alias("words"),
         F.min(other).alias("other"),
         F.min("low").alias("low"),
+        F.min_by("digest", "start").alias("digest"),
     )
-    runs = save(runs.filter(F.col("words") >= LEAST_RUN), "passages").withColumn("keeps", F.col("low") == F.col("doc_id"))
-    proven = runs.filter(F.col("words") >= passage_words).select("doc_id", "start", "words", "other", "keeps")
-    grown = _grown(docs, runs.filter(F.col("words") < passage_words), passage_words)
+    runs = save(runs.filter(F.col("words") >= LEAST_RUN), "runs").withColumn("keeps", F.col("low") == F.col("doc_id"))
+    proven = runs.filter(F.col("words") >= passage_words).select("doc_id", "start", F.col("words").cast("long").alias("words"), "other", "keeps")
+    short = runs.filter(F.col("words") < passage_words).select("doc_id", "start", "words", "other", "digest")
+    grown = _grown(docs, short, shared.select("doc_id", "digest", "start"), passage_words)
     grown = grown.withColumn("keeps", F.col("doc_id") < F.col("other")).select("doc_id", "start", "words", "other", "keeps")
     return proven.unionByName(grown).select(
         F.col("doc_id").alias(key), F.col("start").cast("long").alias("start_word"), F.col("words").alias("n_words"), "other", "keeps"
