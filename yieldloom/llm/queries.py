@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, class_lm, decontaminate, embeddings, jaccard, secret_scan, substrings, toxicity
+from . import bpe, chat, class_lm, decontaminate, embeddings, jaccard, secret_scan, substrings, toxicity, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -180,3 +180,8 @@ def op5_toxicity(spark, sf_dir):
 @query
 def op3_lm_scoring(spark, sf_dir):
     return class_lm.scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_html_extraction(spark, sf_dir):
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
