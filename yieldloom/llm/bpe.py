@@ -248,3 +248,13 @@ def decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str
             yield pa.RecordBatch.from_pydict({"key": batch.column(0), "decoded": pa.array(tokenizer.decode(lists), pa.binary())})
 
     return rows.mapInArrow(run, f"key {kind}, decoded binary").withColumnRenamed("key", key)
+
+
+def digest(coded: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Number of ids, and digests of the ids as decimal text and of the decoded bytes."""
+    return coded.select(
+        key,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -64,13 +64,7 @@ FROM summed GROUP BY conv_id
 @query
 def op10_bpe(spark, sf_dir):
     path = public_tokenizers.path(BPE_FILE)
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True))
 
 
 @query
