@@ -14,7 +14,7 @@ from ..session import save
 from .names import cluster_names, most_frequent
 from .order_stats import order_points, value_levels
 from .sessions import OVERALL
-from .topk import first_values, top_n
+from .topk import first_values
 
 # Weight of each kind of evidence in the consensus.
 KIND_WEIGHTS = {"computed": 3, "measured": 2, "guide": 1, "community": 1}
@@ -134,8 +134,8 @@ def consensus(compared: DataFrame) -> DataFrame:
     )
 
 
-def profit_view(agreed: DataFrame, members: DataFrame, bracket: str, search: str = "", n: int = 50) -> DataFrame:
-    """Consensus of one bracket, best first, with the agreement of its sources.
+def profit_view(agreed: DataFrame, members: DataFrame, bracket: str, search: str = "") -> DataFrame:
+    """Whole consensus of one bracket, best first, with the agreement of its sources.
 
     The search text may match the shown name or any member of the cluster.
     """
@@ -143,9 +143,8 @@ def profit_view(agreed: DataFrame, members: DataFrame, bracket: str, search: str
     if search:
         named = members.filter((F.col("bracket") == bracket) & F.lower("spawn").contains(search.lower()))
         view = view.join(named.select("cluster").distinct(), "cluster", "left_semi")
-    top = top_n(view, [F.desc("consensus_h"), F.col("cluster")], n, "position")
-    return top.withColumn("agreement", confidence_band(F.col("spread"))).select(
-        "position", "spawn", "consensus_h", "n_sources", "spread", "agreement"
+    return view.orderBy(F.desc("consensus_h"), "cluster").select(
+        "spawn", "consensus_h", "n_sources", "spread", confidence_band(F.col("spread")).alias("agreement")
     )
 
 

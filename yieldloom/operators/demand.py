@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .prices import price_by_name
 from .topk import top_n
 
 # A tab name that stands for a buyer, a tab that is no buyer, and the two demand marks.
@@ -64,9 +65,7 @@ def item_tags(imbuing: DataFrame, delivery: DataFrame, prices: DataFrame) -> Dat
         F.min("item").alias("delivery_name"),
         F.max(F.when(F.col("npc_price") != 0, F.col("npc_price"))).alias("npc_price"),
     )
-    priced = prices.filter(F.col("item") != "").select(
-        F.lower("item").alias("item_key"), F.col("item").alias("price_name"), "fair"
-    )
+    priced = price_by_name(prices).select(F.col("price_key").alias("item_key"), F.col("item").alias("price_name"), "fair")
     blank = F.lit("")
     return (
         facts.join(buyers, "item_key", "left").join(bands, "item_key", "left")

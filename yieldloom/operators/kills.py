@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rates import per_hour, ratio
 from ..session import save
 from .names import resolve_names
+from .prices import price_by_name
 from .order_stats import exact_median, half_of_shares, order_points, share_weight, value_levels
 from .topk import first_values, joined, top_per_group
 
@@ -46,10 +47,9 @@ def session_totals(kills: DataFrame) -> DataFrame:
 
 
 def kill_share(kills: DataFrame) -> DataFrame:
-    """Each creature's share of its session's kills."""
-    return kills.filter(F.col("killed") > 0).join(session_totals(kills), "hunt_id").select(
-        "hunt_id", "creature", "killed", (F.col("killed") / F.col("total")).alias("share")
-    )
+    """Each creature's share of its session's kills. Rows that are dealt by session are not dealt again."""
+    total = F.sum("killed").over(Window.partitionBy("hunt_id"))
+    return kills.filter(F.col("killed") > 0).select("hunt_id", "creature", "killed", (F.col("killed") / total).alias("share"))
 
 
 def calibration_sessions(sessions: DataFrame, as_of: Column, days: int = CALIBRATION_DAYS) -> DataFrame:
@@ -193,7 +193,7 @@ def spawn_loot(
 def top_loot(creature_items: DataFrame, prices: DataFrame, tags: DataFrame, k: int = 4) -> DataFrame:
     """Per creature its k dearest items as ``item|price|tag`` texts."""
     items = creature_items.select("item").distinct().withColumn("item_key", F.lower("item"))
-    priced = resolve_names(items, "item_key", prices.filter(F.col("item") != "").withColumn("price_key", F.lower("item")), "price_key", ["fair"])
+    priced = resolve_names(items, "item_key", price_by_name(prices), "price_key", ["fair"])
     tagged = priced.join(tags.select(F.col("item_key"), "tag"), "item_key", "left")
     text = F.concat_ws(
         "|", "item", F.coalesce(F.col("fair").cast("string"), F.lit("—")), F.coalesce("tag", F.lit(""))
@@ -211,16 +211,17 @@ def spawn_items(
 ) -> DataFrame:
     """What drops where: items of the creatures met at a spawn, with prices and the first six creatures."""
     place = sessions.filter(F.coalesce(F.col("spawn"), F.lit("")) != "").select(F.col("id").alias("hunt_id"), "spawn")
-    met = kills.join(place, "hunt_id").select("spawn", "creature", "hunt_id")
-    n_sessions = met.groupBy("spawn").agg(F.count_distinct("hunt_id").alias("n_sessions_spawn"))
+    met = kills.join(place, "hunt_id").select("spawn", "creature").distinct()
+    with_kills = place.join(kills.select("hunt_id"), "hunt_id", "left_semi").distinct()
+    n_sessions = with_kills.groupBy("spawn").agg(F.count(F.lit(1)).alias("n_sessions_spawn"))
     drops = (
-        met.select("spawn", "creature").distinct()
+        met
         .join(creature_items.select("creature", "item").distinct(), "creature")
     )
     creatures = first_values(drops, ["spawn", "item"], "creature", 6, "|", "creatures")
 
     price_cols = ["instant", "fair", "patient", "captured_at"]
-    priced = prices.filter(F.col("item") != "").select(F.lower("item").alias("price_key"), *price_cols)
+    priced = price_by_name(prices).select("price_key", *price_cols)
     items = creature_items.select("item").distinct().withColumn("item_key", F.lower("item"))
     named = resolve_names(items, "item_key", metadata.withColumn("meta_key", F.lower("name")), "meta_key", ["id", "meta_key"])
     own = priced.select(F.col("price_key").alias("own_key"), F.struct(*price_cols).alias("own"))

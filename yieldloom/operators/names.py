@@ -15,8 +15,11 @@ GROUP_LIMIT = 200
 
 
 def resolve_names(df: DataFrame, name: str, dimension: DataFrame, dim_name: str, columns: Sequence[str]) -> DataFrame:
-    """Left lookup of a lower-case name: exact first, else without its plural ``s``."""
-    lookup = dimension.select(F.col(dim_name).alias("dim_name"), F.struct(*columns).alias("found"))
+    """Left lookup of a lower-case name: exact first, else without its plural ``s``.
+
+    Of dimension rows with one name the one with the greatest columns answers, so the lookup never adds rows.
+    """
+    lookup = dimension.groupBy(F.col(dim_name).alias("dim_name")).agg(F.max(F.struct(*columns)).alias("found"))
     exact = lookup.select(F.col("dim_name").alias("exact_name"), F.col("found").alias("exact"))
     plural = lookup.select(F.col("dim_name").alias("singular_name"), F.col("found").alias("by_singular"))
     return (

@@ -57,11 +57,17 @@ def reference_prices(averages: DataFrame) -> DataFrame:
 
 
 def named_rules(rules: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Per-item rules keyed by lower-case item name -> keyed by item id."""
+    """Per-item rules keyed by lower-case item name -> keyed by item id, for every id of that name."""
     ids = metadata.select(F.lower("name").alias("name"), F.col("id").alias("item_id"))
     return rules.join(ids, "name").drop("name")
 
 
+def price_by_name(prices: DataFrame) -> DataFrame:
+    """One row per lower-case item name (``price_key``): of items that share a name the one with the greatest id."""
+    named = prices.filter(F.col("item") != "").groupBy(F.lower("item").alias("price_key"))
+    return named.agg(F.max_by(F.struct(*prices.columns), "item_id").alias("p")).select("price_key", "p.*")
+
+
 def is_unfair() -> Column:
     """Far dearer than the average when selling, far cheaper when buying."""
     sell = (F.col("side") == "sell") & (F.col("avg_sell") > 0) & (F.col("price") * 100 >= F.col("avg_sell") * UNFAIR_SELL)

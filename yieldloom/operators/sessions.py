@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .order_stats import order_points, value_levels
-from .topk import top_n, top_per_group
+from .topk import top_per_group
 
 # Level ranges of the rankings, inclusive at both ends: a session on an edge counts in two.
 BRACKETS = ((50, 100), (100, 200), (200, 300))
@@ -116,7 +116,10 @@ def top_sessions(bracketed: DataFrame, metric: str, k: int = 50) -> DataFrame:
 
 
 def ranking_view(ranking: DataFrame, metric: str, party: str = "all", search: str = "") -> DataFrame:
-    """A ranking narrowed by party size (``2`` means two or more) and by text in the spawn name."""
+    """A ranking narrowed by party size (``2`` means two or more) and by text in the spawn name, best first.
+
+    Every row of the ranking that fits is shown.
+    """
     view = ranking
     if party == "2":
         view = view.filter(F.col("party_size") >= 2)
@@ -124,7 +127,7 @@ def ranking_view(ranking: DataFrame, metric: str, party: str = "all", search: st
         view = view.filter(F.col("party_size").cast("string") == party)
     if search:
         view = view.filter(F.lower("spawn").contains(search.lower()))
-    return top_n(view, [F.desc(metric), F.col("id")], 50, "position")
+    return view.orderBy(F.desc(metric), "id")
 
 
 def kpi_best(stats: DataFrame) -> DataFrame:

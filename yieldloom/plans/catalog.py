@@ -347,7 +347,7 @@ def keyword_filter(d):
 @query
 def ranking_view(d):
     best = sessions.top_sessions(sessions.with_brackets(d.exp_sessions()), "xp_h").filter("bracket = '100_200'")
-    return sessions.ranking_view(best, "xp_h", party="2", search="household").select("position", "id", "spawn", "xp_h")
+    return sessions.ranking_view(best, "xp_h", party="2", search="household").select("rank", "id", "spawn", "xp_h")
 
 
 @query
@@ -367,7 +367,7 @@ def guide_fallback(d):
 
 @query
 def kills_enriched(d):
-    return kills.kills_enriched(d.kills(), d.exp_sessions()).select(
+    return kills.kills_enriched(d.kills(d.exp_sessions()), d.exp_sessions()).select(
         "hunt_id", "spawn", _day("hunt_date"), "minutes", "creature", "killed", "kills_per_h", "xp_h", "loot_h",
         "balance_h", "url",
     )
@@ -376,14 +376,13 @@ def kills_enriched(d):
 @query
 def bracket_kills(d):
     split = sessions.with_brackets(d.profit_sessions(), overall=False).filter("bracket = '100_200'")
-    return kills.bracket_kills(d.kills(), split)
+    return kills.bracket_kills(d.kills(split), split)
 
 
 @query
 def pending_keys(d):
     """Creatures killed lately that the older captures do not know."""
-    late = d.kills().join(d.profit_sessions().select(F.col("id").alias("hunt_id")), "hunt_id", "left_semi")
-    names_ = latest.distinct_names(late, "creature")
+    names_ = latest.distinct_names(d.kills(d.profit_sessions()), "creature")
     known = d.creature_items().filter(F.col("item").startswith("SMALL")).select("creature")
     return latest.pending_keys(names_, known, "creature")
 
@@ -521,7 +520,9 @@ def profit_consensus(d):
 @query
 def profit_view(d):
     compared, members = _compared(d)
-    return con.profit_view(con.consensus(compared), members, "100_200", "nation")
+    agreed = save(con.consensus(compared), "consensus")
+    found = con.profit_view(agreed, members, "100_200", "nation").withColumn("search", F.lit("nation"))
+    return found.unionByName(con.profit_view(agreed, members, "50_100").withColumn("search", F.lit("")))
 
 
 @query

@@ -91,6 +91,10 @@ class Domain:
     def saved_kills(self) -> DataFrame:
         return save(self.kills(), "kills")
 
+    @cached_property
+    def calibration_kills(self) -> DataFrame:
+        return save(self.kills(self.calibration()), "calibration-kills")
+
     @cached_property
     def saved_prices(self) -> DataFrame:
         return save(self.prices(), "prices")
@@ -107,13 +111,19 @@ class Domain:
     def creature_of(self) -> Column:
         return F.concat_ws(" ", "p_brand", "p_name")
 
-    def kills(self) -> DataFrame:
+    def kills(self, sessions: DataFrame | None = None) -> DataFrame:
+        """Kills of all sessions, or of the given ones alone: the others go before anything is added up."""
         parts = self.table("part").select("p_partkey", self.creature_of().alias("creature"))
+        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+        if sessions is not None:
+            lines = lines.join(sessions.select(F.col("id").cast("bigint").alias("l_orderkey")), "l_orderkey", "left_semi")
+        # Dealt by session once: adding up per creature and windows over a session need nothing more.
         return (
-            self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy(_text(F.col("l_orderkey")).alias("hunt_id"), "creature")
-            .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("killed"))
+            lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            .select(_text(F.col("l_orderkey")).alias("hunt_id"), "creature", F.col("l_quantity").cast("bigint").alias("killed"))
+            .repartition("hunt_id")
+            .groupBy("hunt_id", "creature")
+            .agg(F.sum("killed").alias("killed"))
         )
 
     def session_captures(self) -> DataFrame:
@@ -128,13 +138,13 @@ class Domain:
 
     @cached_property
     def values(self) -> DataFrame:
-        return save(value_per_kill(self.calibration(), self.saved_kills), "values")
+        return save(value_per_kill(self.calibration(), self.calibration_kills), "values")
 
     def bracket_profit(self) -> DataFrame:
         """Computed profit overall (120 days) and per bracket (60 days), in one pass."""
         fresh = F.col("hunt_date") >= F.date_sub(self.as_of, PROFIT_DAYS)
         split = with_brackets(self.calibration(), when=fresh)
-        return spawn_profit(split, self.saved_kills, self.values, ("bracket", "spawn"))
+        return spawn_profit(split, self.calibration_kills, self.values, ("bracket", "spawn"))
 
     def bracket_stats(self) -> DataFrame:
         fresh = recent(self.saved_sessions, self.as_of, PROFIT_DAYS)
@@ -152,7 +162,9 @@ class Domain:
         ).distinct()
 
     def metadata(self) -> DataFrame:
-        return self.table("part").groupBy(self.item_name().alias("name")).agg(F.min("p_partkey").alias("id"))
+        """Every item id with its name: many ids share a name, some in another case."""
+        name = F.when(F.col("p_partkey") % 5 == 0, F.lower(self.item_name())).otherwise(self.item_name())
+        return self.table("part").select(name.alias("name"), F.col("p_partkey").alias("id"))
 
     def offers(self) -> DataFrame:
         return self.table("lineitem").select(

@@ -106,8 +106,8 @@ def read_silver(spark: SparkSession, root: str, reference: str, research: str, w
         kills=snapshots.recent_kills_of(spark, root),
         offers=prices.offers_of_books(books),
         averages=latest_by_key(averages.withColumnRenamed("id", "item_id"), ["item_id"]),
-        # Of items that share a name the one with the greatest id answers to it.
-        metadata=metadata.filter("id is not null and name <> ''").groupBy("name").agg(F.max("id").alias("id")),
+        # One row per id; lookups by name fold ids that share one.
+        metadata=metadata.filter("id is not null and name <> ''").groupBy("id").agg(F.max("name").alias("name")),
         creature_items=creatures.select("creature", F.explode("loot_list").alias("item")),
         history=history.select(F.col("item_id").try_cast("bigint").alias("item_id"), F.inline("rows")),
         imbuing=listed(f"{reference}/imbuing_items.csv", "item string, imbuement string, tier string, qty string"),

@@ -201,13 +201,14 @@ oracle(
 )
 ITEM = "p_type || ' ' || string_split(p_name, ' ')[2]"
 view("creature_items", f"SELECT DISTINCT p_brand || ' ' || p_name AS creature, {ITEM} || CASE WHEN p_partkey % 3 = 0 THEN 's' ELSE '' END AS item FROM part")
-view("metadata", f"SELECT {ITEM} AS name, min(p_partkey) AS id FROM part GROUP BY ALL")
+view("metadata", f"SELECT CASE WHEN p_partkey % 5 = 0 THEN lower({ITEM}) ELSE {ITEM} END AS name, p_partkey AS id FROM part")
+view("named_items", "SELECT lower(name) AS key, max(id) AS id, arg_max(name, id) AS name FROM metadata GROUP BY 1", "metadata")
 oracle(
     "name_resolve",
     """SELECT item, coalesce(e.id, s.id) AS id, coalesce(e.name, s.name) AS name
-       FROM (SELECT DISTINCT lower(item) AS item FROM creature_items) w LEFT JOIN metadata e ON lower(e.name) = item
-       LEFT JOIN metadata s ON item LIKE '%s' AND lower(s.name) = left(item, length(item) - 1)""",
-    "creature_items", "metadata",
+       FROM (SELECT DISTINCT lower(item) AS item FROM creature_items) w LEFT JOIN named_items e ON e.key = item
+       LEFT JOIN named_items s ON item LIKE '%s' AND s.key = left(item, length(item) - 1)""",
+    "creature_items", "named_items",
 )
 view(
     "guides",
@@ -393,7 +394,7 @@ oracle(
 )
 oracle(
     "ranking_view",
-    """SELECT row_number() OVER (ORDER BY xp_h DESC, id) AS position, id, spawn, xp_h FROM exp_ranked
+    """SELECT rank, id, spawn, xp_h FROM exp_ranked
        WHERE bracket = '100_200' AND party_size >= 2 AND contains(lower(spawn), 'household')""",
     "exp_ranked",
 )
@@ -507,6 +508,7 @@ oracle(
 
 # ---- demand -------------------------------------------------------------------------------------
 
+view("name_prices", "SELECT * FROM prices WHERE item IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lower(item) ORDER BY item_id DESC) = 1", "prices")
 view(
     "imbuing",
     f"""SELECT lower({ITEM}) AS item_key, ['Basic', 'Intricate', 'Powerful'][p_size % 3 + 1] || ' ' || p_brand || ' x' || (p_size % 3 * 10 + 5) AS label
@@ -526,8 +528,8 @@ view(
        FULL JOIN (SELECT lower(item) AS item_key, min(item) AS delivery_name, max(nullif(npc_price, 0)) AS npc_price,
            string_agg(DISTINCT n, '|' ORDER BY n) AS delivery_npcs, string_agg(DISTINCT band, '|' ORDER BY band) AS delivery_bands
            FROM (SELECT *, CASE npc WHEN 'RashidTab' THEN 'Rashid' WHEN 'Everything' THEN NULL ELSE npc END AS n FROM delivery) GROUP BY 1) USING (item_key)
-       LEFT JOIN (SELECT item, fair FROM prices WHERE item IS NOT NULL) pr ON lower(pr.item) = item_key""",
-    "imbuing", "delivery", "prices",
+       LEFT JOIN name_prices pr ON lower(pr.item) = item_key""",
+    "imbuing", "delivery", "name_prices",
 )
 oracle("item_tags", "SELECT * FROM tags", "tags")
 oracle(
@@ -546,11 +548,11 @@ view(
     "loot_texts",
     """SELECT creature, string_agg(item || '|' || coalesce(CAST(fair AS VARCHAR), '—') || '|' || coalesce(tag, ''), '|' ORDER BY worth DESC, item DESC) AS top_loot
        FROM (SELECT creature, c.item, coalesce(e.fair, CASE WHEN e.item IS NULL THEN s.fair END) AS fair, coalesce(coalesce(e.fair, CASE WHEN e.item IS NULL THEN s.fair END), -1) AS worth, tag
-         FROM creature_items c LEFT JOIN prices e ON lower(e.item) = lower(c.item)
-         LEFT JOIN prices s ON c.item LIKE '%s' AND lower(s.item) = lower(left(c.item, length(c.item) - 1))
+         FROM creature_items c LEFT JOIN name_prices e ON lower(e.item) = lower(c.item)
+         LEFT JOIN name_prices s ON c.item LIKE '%s' AND lower(s.item) = lower(left(c.item, length(c.item) - 1))
          LEFT JOIN marks ON item_key = lower(c.item)
          QUALIFY row_number() OVER (PARTITION BY creature ORDER BY worth DESC, c.item DESC) <= 4) GROUP BY creature""",
-    "creature_items", "prices", "marks",
+    "creature_items", "name_prices", "marks",
 )
 oracle("topk_per_group", "SELECT * FROM loot_texts", "loot_texts")
 
@@ -645,10 +647,10 @@ view(
 oracle(
     "spawn_items",
     """SELECT spawn, l.item, coalesce(e.id, s.id) AS item_id, p.instant, p.fair, p.patient, p.captured_at AS price_date, n_sessions_spawn, creatures
-       FROM listed l JOIN met_sessions USING (spawn) LEFT JOIN metadata e ON lower(e.name) = lower(l.item)
-       LEFT JOIN metadata s ON l.item LIKE '%s' AND lower(s.name) = lower(left(l.item, length(l.item) - 1))
-       LEFT JOIN prices p ON lower(p.item) = lower(coalesce(e.name, s.name))""",
-    "listed", "met_sessions", "metadata", "prices",
+       FROM listed l JOIN met_sessions USING (spawn) LEFT JOIN named_items e ON e.key = lower(l.item)
+       LEFT JOIN named_items s ON l.item LIKE '%s' AND s.key = lower(left(l.item, length(l.item) - 1))
+       LEFT JOIN name_prices p ON lower(p.item) = coalesce(e.key, s.key)""",
+    "listed", "met_sessions", "named_items", "name_prices",
 )
 oracle(
     "mode_name",
@@ -813,10 +815,12 @@ view(
 oracle("profit_consensus", "SELECT * FROM agreed", "agreed")
 oracle(
     "profit_view",
-    """SELECT row_number() OVER (ORDER BY consensus_h DESC, cluster) AS position, spawn, consensus_h, n_sources, spread,
+    """SELECT 'nation' AS search, spawn, consensus_h, n_sources, spread,
          CASE WHEN round(coalesce(spread, 0) * 100) <= 50 THEN 'high' WHEN round(coalesce(spread, 0) * 100) <= 120 THEN 'medium' ELSE 'low' END AS agreement
        FROM agreed WHERE bracket = '100_200' AND cluster IN (SELECT cluster FROM members WHERE bracket = '100_200' AND contains(lower(spawn), 'nation'))
-       QUALIFY position <= 50""",
+       UNION ALL SELECT '', spawn, consensus_h, n_sources, spread,
+         CASE WHEN round(coalesce(spread, 0) * 100) <= 50 THEN 'high' WHEN round(coalesce(spread, 0) * 100) <= 120 THEN 'medium' ELSE 'low' END
+       FROM agreed WHERE bracket = '50_100'""",
     "agreed", "members",
 )
 oracle(
