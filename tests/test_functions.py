@@ -106,6 +106,15 @@ def test_event_days(spark, value, want):
     assert [d.isoformat()[5:] for d in got] == want
 
 
+def test_decode_references(spark):
+    cases = {
+        "S&#227;o &eacute;&#x4E2D;&#128512; &amp;lt; a&b &nosuch; &#0; &#xD800; &lt&gt;": "São é中😀 &lt; a&b &nosuch; &#0; &#xD800; &lt>",
+        "plain": "plain", "&": "&", "&&amp;;": "&&;", "&CounterClockwiseContourIntegral;x": "∳x",
+    }
+    for source, want in cases.items():
+        assert one(spark, text.decode_references(F.col("v")), source) == want
+
+
 def test_strip_markup(spark):
     assert one(spark, text.strip_markup(F.col("v")), " <b>a &amp;lt; b</b> &quot;c&quot; ") == 'a &lt; b "c"'
 

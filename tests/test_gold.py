@@ -275,3 +275,27 @@ def test_json_lines_and_missing_lists(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": 1}\n{"id": \n\n{"id": 2, "x": 3}\nnot json\n')
     assert sorted(r["id"] for r in documents.read_json_lines(spark, str(tmp_path / "a.jsonl"), "id bigint").collect()) == [1, 2]
     assert documents.read_optional_csv(spark, str(tmp_path / "none.csv"), "a string").count() == 0
+
+
+def test_readers_open_the_wanted_snapshots_only(spark, tmp_path):
+    for day, rows in (("2026-11-01", {"a": {"x": 1}}), ("2026-11-02", {"a": {"x": 2}, "b": {"x": 3}}), ("2026-11-03", {})):
+        folder = tmp_path / day
+        folder.mkdir()
+        (folder / "map.json").write_text(json.dumps(rows))
+        (folder / "list.json").write_text(json.dumps([{"id": n} for n in rows]))
+    (tmp_path / "notes").mkdir()
+    (tmp_path / "notes" / "list.json").write_text("[]")
+    two = snapshots.read_json_snapshots(spark, str(tmp_path), "list.json", "id string", 2)
+    assert sorted(re.search(r"\d{4}-\d\d-\d\d", f)[0] for f in two.inputFiles()) == ["2026-11-02", "2026-11-03"]
+    assert sorted(r["id"] for r in two.filter("id is not null").collect()) == ["a", "b"]
+    # An empty newest document is the newest document.
+    assert snapshots.read_map_snapshots(spark, str(tmp_path), "map.json", "struct<x:int>", n=1).count() == 0
+    assert snapshots.read_map_snapshots(spark, str(tmp_path), "map.json", "struct<x:int>").count() == 3
+
+
+def test_kills_follow_their_sessions_newest_snapshot(spark, tmp_path):
+    fields = ["hunt_id", "creature", "killed"]
+    write_csv(tmp_path / "2026-11-01" / "hunt_kills.csv", fields, [dict(zip(fields, r)) for r in [(1, "Ork", 5), (1, "Rat", 6), (2, "Bat", 1)]])
+    write_csv(tmp_path / "2026-11-02" / "hunt_kills.csv", fields, [dict(zip(fields, r)) for r in [(1, "Ork", 7)]])
+    got = sorted((r["hunt_id"], r["creature"], r["killed"]) for r in snapshots.recent_kills_of(spark, str(tmp_path)).collect())
+    assert got == [("1", "Ork", 7), ("2", "Bat", 1)]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,11 +14,8 @@ MONTH_NAMES = (
     "january february march april may june july august september october november december"
 ).split()
 
-# HTML entities and their characters; the ampersand comes last, so each is resolved once.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"),
-    ("&nbsp;", "\u00a0"), ("&amp;", "&"),
-)
+# The named character references of HTML, by name without its ampersand, from the standard library.
+NAMED_REFERENCES = {name.rstrip(";"): char for name, char in html5.items() if name.endswith(";")}
 
 BLANKS = " \t\r\n\f"
 _SESSION_DATE = r"(?i)^([a-z]{3})\s+(\d{1,2}),\s+(\d{4})\s+([01]?\d|2[0-3]):([0-5]?\d)$"
@@ -103,12 +103,32 @@ def parse_money_range(text: Column) -> Column:
 
 
 def strip_markup(html: Column) -> Column:
-    """Text of an HTML fragment: tags removed, trimmed, common entities resolved."""
-    t = F.trim(F.regexp_replace(html, "<[^>]+>", ""), F.lit(BLANKS))
-    resolved = t
-    for entity, char in ENTITIES:
-        resolved = F.replace(resolved, F.lit(entity), F.lit(char))
-    return F.when(t.contains("&"), resolved).otherwise(t)
+    """Text of an HTML fragment: tags removed, trimmed, character references resolved."""
+    return decode_references(F.trim(F.regexp_replace(html, "<[^>]+>", ""), F.lit(BLANKS)))
+
+
+def decode_references(text: Column) -> Column:
+    """Numeric and named character references as their characters, each resolved once; unknown ones stay."""
+    names = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")
+
+    def of_code(code: Column) -> Column:
+        usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def resolved(piece: Column) -> Column:
+        """A piece that stood behind an ampersand."""
+        decimal, hexadecimal, name = (F.regexp_extract(piece, p, 1) for p in (r"^#(\d{1,7});", r"^#[xX]([0-9a-fA-F]{1,6});", r"^([a-zA-Z][a-zA-Z0-9]*);"))
+        char = (
+            F.when(decimal != "", of_code(decimal.try_cast("bigint")))
+            .when(hexadecimal != "", of_code(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
+            .when(name != "", F.try_element_at(names, name))
+        )
+        rest = F.regexp_replace(piece, "^[^;]*;", "")
+        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), resolved), ""))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def epoch_text(seconds: Column, pattern: str = "yyyy-MM-dd HH:mm") -> Column:

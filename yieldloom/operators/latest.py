@@ -36,6 +36,12 @@ def latest_capture(df: DataFrame, capture: str = CAPTURE) -> DataFrame:
     return df.filter(F.col(capture) == newest)
 
 
+def newest_children(df: DataFrame, parent: str, capture: str = CAPTURE) -> DataFrame:
+    """All rows of each parent's newest capture: what that capture no longer lists is gone."""
+    newest = df.groupBy(parent).agg(F.max(capture).alias(capture))
+    return df.join(newest, [parent, capture], "left_semi").select(*df.columns)
+
+
 def merge_latest(df: DataFrame, keys: Sequence[str], n: int, version: Sequence[str] = (CAPTURE,)) -> DataFrame:
     """Merge of the last n captures, newest row per key."""
     return latest_by_key(last_captures(df, n), keys, version)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.content import content_score
 from ..functions.names import canon_tokens, norm_name
 from ..functions.rates import bracket_middle, confidence_band, loot_per_hour, party_size_of, per_hour
+from ..functions.text import digits_only as text_digits
 from ..functions.text import (
     epoch_text, event_days, first_number, lenient_int, parse_duration, parse_money_range, parse_session_date, year_of,
 )
@@ -202,6 +203,21 @@ def name_resolve(d):
     return names.resolve_names(wanted, "item", dim, "key", ["id", "name"])
 
 
+@query
+def digits_only(d):
+    return d.number_texts().select("o_orderkey", text_digits(F.col("text")).alias("digits"))
+
+
+@query
+def delivery_sheet(d):
+    """The delivery list as a sheet names its columns; some rows blank."""
+    sheet = d.delivery_items().select(
+        F.when(F.length("item") % 4 != 0, F.concat(F.lit(" "), "item", F.lit(" "))).alias("Item"), F.col("creatures").alias("Drops from"),
+        F.when(F.col("npc") != "Brand#2", F.col("npc")).alias("Buyer"), F.concat(F.lit("~"), "npc_price", F.lit(" gp")).alias("Price"), F.col("qty").alias("Quantity"),
+    )
+    return extract.delivery_sheet(sheet, "Item", "Drops from", "Buyer", "Price", "Quantity")
+
+
 @query
 def year_gate(d):
     """Claims and guide rows of the required year or later, per source and year."""

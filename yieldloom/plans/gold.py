@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import consensus, demand, events, kills, prices, sessions
-from ..operators.latest import latest_by_key, latest_capture, merge_latest
+from ..operators.latest import latest_by_key
 from ..session import save
 from ..sources import documents, sinks, snapshots
 
@@ -70,8 +70,8 @@ class Silver:
 
 def _rows_of_maps(spark, root, file, value, key, n=None):
     """Rows of the map documents of a snapshot file: the last n captures, or the newest only."""
-    rows = snapshots.read_map_snapshots(spark, root, file, value, key)
-    return latest_capture(rows) if n is None else merge_latest(rows, [key], n)
+    rows = snapshots.read_map_snapshots(spark, root, file, value, key, n or 1)
+    return rows if n is None else latest_by_key(rows, [key])
 
 
 def read_silver(spark: SparkSession, root: str, reference: str, research: str, world: str, s: Settings) -> Silver:
@@ -81,14 +81,10 @@ def read_silver(spark: SparkSession, root: str, reference: str, research: str, w
     """
     books = _rows_of_maps(spark, root, f"orderbook_{world}.json", BOOK, "item_id", 7)
     books = books.withColumn("item_id", F.col("item_id").try_cast("bigint"))
-    averages = latest_capture(snapshots.read_json_snapshots(spark, root, f"market_values_{world}.json", AVERAGES))
-    metadata = latest_capture(snapshots.read_json_snapshots(spark, root, "market_metadata_all.json", METADATA))
+    averages = snapshots.read_json_snapshots(spark, root, f"market_values_{world}.json", AVERAGES, 1)
+    metadata = snapshots.read_json_snapshots(spark, root, "market_metadata_all.json", METADATA, 1)
     creatures = _rows_of_maps(spark, root, "creatures.json", CREATURE, "creature")
-    history = latest_capture(
-        snapshots.with_capture_date(
-            spark.read.option("wholetext", True).text(f"{root}/*/market_history_top.json")
-        )
-    ).select(F.explode(F.from_json("value", f"map<string,array<{SNAPSHOT}>>")).alias("item_id", "rows"))
+    history = snapshots.read_text_snapshots(spark, root, "market_history_top.json", 1).select(F.explode(F.from_json("value", f"map<string,array<{SNAPSHOT}>>")).alias("item_id", "rows"))
     news = snapshots.read_json_snapshots(spark, root, "events.json", "date string, name string")
 
     def listed(path: str, schema: str) -> DataFrame:

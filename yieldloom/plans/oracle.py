@@ -509,6 +509,17 @@ oracle(
 # ---- demand -------------------------------------------------------------------------------------
 
 view("name_prices", "SELECT * FROM prices WHERE item IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lower(item) ORDER BY item_id DESC) = 1", "prices")
+oracle(
+    "digits_only",
+    """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN CAST(trunc(o_totalprice) AS BIGINT) WHEN 1 THEN CAST(round(o_totalprice * 100) AS BIGINT)
+         WHEN 3 THEN o_orderkey WHEN 4 THEN o_orderkey * 100 + 75 END AS digits FROM orders""",
+)
+oracle(
+    "delivery_sheet",
+    f"""SELECT {ITEM} || ' crate' AS item, p_brand || ' ' || p_name AS creatures, CASE WHEN p_brand <> 'Brand#2' THEN p_brand ELSE '' END AS npc,
+         CASE WHEN p_size % 5 <> 0 THEN p_size * 100 END AS npc_price, '10-20' AS qty
+       FROM part WHERE p_size >= 26 AND length({ITEM} || ' crate') % 4 <> 0""",
+)
 view(
     "imbuing",
     f"""SELECT lower({ITEM}) AS item_key, ['Basic', 'Intricate', 'Powerful'][p_size % 3 + 1] || ' ' || p_brand || ' x' || (p_size % 3 * 10 + 5) AS label

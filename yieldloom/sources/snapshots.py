@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.latest import CAPTURE, last_captures, latest_by_key, latest_capture
+from ..operators.latest import CAPTURE, latest_by_key, newest_children
 
 # Column lists of the landed files.
 SESSIONS = (
@@ -29,25 +29,52 @@ def with_capture_date(df: DataFrame) -> DataFrame:
     return df.select("*", day.try_cast("date").alias(CAPTURE)).filter(F.col(CAPTURE).isNotNull())
 
 
-def read_csv_snapshots(spark: SparkSession, root: str, file: str, schema: str | StructType) -> DataFrame:
-    """All snapshots of a CSV file with a header."""
+def snapshot_paths(spark: SparkSession, root: str, file: str, n: int | None = None) -> str | list[str]:
+    """Paths of a file's last n snapshots, found from names alone; all snapshots as one pattern.
+
+    No file is opened for that: listing reads the folders only, and n paths reach the driver.
+    """
+    pattern = f"{root}/*/{file}"
+    if n is None:
+        return pattern
+    listed = with_capture_date(spark.read.format("binaryFile").load(pattern).select("path", "_metadata"))
+    newest = listed.select(CAPTURE).distinct().orderBy(F.desc(CAPTURE)).limit(n)
+    rows = listed.join(newest, CAPTURE, "left_semi").select("path").distinct().collect()
+    return sorted(r["path"] for r in rows)
+
+
+def _load(spark: SparkSession, paths: str | list[str], schema: str | StructType, load) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema).withColumn(CAPTURE, F.lit(None).cast("date"))
+    return with_capture_date(load(paths))
+
+
+def read_csv_snapshots(spark: SparkSession, root: str, file: str, schema: str | StructType, n: int | None = None) -> DataFrame:
+    """The last n snapshots (or all) of a CSV file with a header. Only their files are read."""
     reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-    return with_capture_date(reader.csv(f"{root}/*/{file}"))
+    return _load(spark, snapshot_paths(spark, root, file, n), schema, reader.csv)
+
+
+def read_json_snapshots(spark: SparkSession, root: str, file: str, schema: str | StructType, n: int | None = None) -> DataFrame:
+    """The last n snapshots (or all) of a JSON document (an array of objects, or one object) with a known schema."""
+    reader = spark.read.schema(schema).option("multiLine", True)
+    return _load(spark, snapshot_paths(spark, root, file, n), schema, reader.json)
 
 
-def read_json_snapshots(spark: SparkSession, root: str, file: str, schema: str | StructType) -> DataFrame:
-    """All snapshots of a JSON document (an array of objects, or one object) with a known schema."""
-    return with_capture_date(spark.read.schema(schema).option("multiLine", True).json(f"{root}/*/{file}"))
+def read_text_snapshots(spark: SparkSession, root: str, file: str, n: int | None = None) -> DataFrame:
+    """The last n snapshots (or all) of a file as one text each. A file is one task's work: land large ones once."""
+    reader = spark.read.option("wholetext", True)
+    return _load(spark, snapshot_paths(spark, root, file, n), "value string", reader.text)
 
 
-def read_map_snapshots(spark: SparkSession, root: str, file: str, value: str, key: str = "key") -> DataFrame:
-    """All snapshots of a JSON document that maps a name to a record: one row per name.
+def read_map_snapshots(
+    spark: SparkSession, root: str, file: str, value: str, key: str = "key", n: int | None = None
+) -> DataFrame:
+    """The last n snapshots (or all) of a JSON document that maps a name to a record: one row per name.
 
-    ``value`` is the record's DDL type. A map document is one JSON value, so a file is one task's work;
-    land such documents once as Parquet (``land``) and read that.
+    ``value`` is the record's DDL type. The newest document counts even when it is empty.
     """
-    text = with_capture_date(spark.read.option("wholetext", True).text(f"{root}/*/{file}"))
-    return explode_map_documents(text, F.col("value"), value, key)
+    return explode_map_documents(read_text_snapshots(spark, root, file, n), F.col("value"), value, key)
 
 
 def explode_map_documents(df: DataFrame, document, value: str, key: str = "key") -> DataFrame:
@@ -62,7 +89,7 @@ def recent_sessions_of(spark: SparkSession, root: str, n: int = 14) -> DataFrame
     """Sessions of the last n snapshots, newest row per id, numbers read leniently."""
     from ..functions.text import lenient_int, parse_session_date
 
-    rows = latest_by_key(last_captures(read_csv_snapshots(spark, root, "hunts.csv", SESSIONS), n), ["id"])
+    rows = latest_by_key(read_csv_snapshots(spark, root, "hunts.csv", SESSIONS, n), ["id"])
     numbers = {c: lenient_int(F.col(c)) for c in SESSION_NUMBERS}
     return rows.withColumns({**numbers, "hunt_date": parse_session_date(F.col("hunt_date"))})
 
@@ -73,16 +100,11 @@ def all_sessions_of(spark: SparkSession, root: str) -> DataFrame:
 
 
 def recent_kills_of(spark: SparkSession, root: str, n: int = 14) -> DataFrame:
-    """Kills of the last n snapshots, one row per session and creature."""
+    """Kills of the last n snapshots: those of each session's newest snapshot, one row per creature."""
     from ..functions.text import lenient_int
 
-    rows = last_captures(read_csv_snapshots(spark, root, "hunt_kills.csv", KILLS), n)
-    return latest_by_key(rows.withColumn("killed", lenient_int(F.col("killed"))), ["hunt_id", "creature"], [CAPTURE, "killed"])
-
-
-def latest_snapshot_of(df: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot."""
-    return latest_capture(df)
+    rows = read_csv_snapshots(spark, root, "hunt_kills.csv", KILLS, n).withColumn("killed", lenient_int(F.col("killed")))
+    return latest_by_key(newest_children(rows, "hunt_id"), ["hunt_id", "creature"], [CAPTURE, "killed"])
 
 
 def land(df: DataFrame, path: str) -> None:
