@@ -153,15 +153,15 @@ def guide_fallback(agreed: DataFrame, guides: DataFrame, brackets: Sequence[str]
     listed = guides.sparkSession.createDataFrame([(b,) for b in brackets], "bracket string")
     counts = agreed.groupBy("bracket").agg(F.count(F.lit(1)).alias("n"))
     short = listed.join(counts, "bracket", "left").filter(F.coalesce("n", F.lit(0)) < least).select("bracket")
+    none = F.lit(None).cast("bigint")
     shown = agreed.join(F.broadcast(listed), "bracket", "left_semi").select(
-        "bracket", F.lit("consensus").alias("origin"), "spawn",
+        "bracket", F.lit("consensus").alias("origin"), "spawn", none.alias("exp_lo"), none.alias("exp_hi"),
         F.col("consensus_h").alias("profit_lo"), F.col("consensus_h").alias("profit_hi"), "sources",
     )
     tag = F.replace(F.col("bracket"), F.lit("-"), F.lit("_"))
     estimates = guides.withColumn("bracket", tag).join(F.broadcast(short), "bracket", "left_semi").select(
         "bracket", F.lit("guide").alias("origin"), "spawn",
-        F.col("profit_lo").try_cast("bigint").alias("profit_lo"),
-        F.col("profit_hi").try_cast("bigint").alias("profit_hi"),
+        *[F.col(c).try_cast("bigint").alias(c) for c in ("exp_lo", "exp_hi", "profit_lo", "profit_hi")],
         F.concat("source", F.lit(" ("), "source_date", F.lit(")")).alias("sources"),
     )
     return shown.unionByName(estimates)

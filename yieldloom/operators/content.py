@@ -18,17 +18,28 @@ def discussed_posts(posts: DataFrame, n: int = 60) -> DataFrame:
 
 
 def long_enough(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Posts and comments under one schema (kind, id, score, body), short ones left out."""
+    """Posts and comments under one schema (kind, id, score, title, body, url), short ones left out.
+
+    A comment has no title and no link of its own.
+    """
+
+    def url(df: DataFrame):
+        return F.col("url") if "url" in df.columns else F.lit("")
+
     body = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("selftext", F.lit("")))
-    p = posts.select(F.lit("POST").alias("kind"), F.col("id").cast("string").alias("id"), "score", body.alias("body"))
+    p = posts.select(
+        F.lit("POST").alias("kind"), F.col("id").cast("string").alias("id"), "score", F.coalesce("title", F.lit("")).alias("title"),
+        body.alias("body"), F.coalesce(url(posts), F.lit("")).alias("url"),
+    )
     c = comments.select(
-        F.lit("COMM").alias("kind"), F.col("id").cast("string").alias("id"), "score", F.coalesce("body", F.lit("")).alias("body")
+        F.lit("COMM").alias("kind"), F.col("id").cast("string").alias("id"), "score", F.lit("").alias("title"),
+        F.coalesce("body", F.lit("")).alias("body"), F.lit("").alias("url"),
     )
     p = p.filter(F.length(F.trim("body")) > POST_LENGTH)
     return p.unionByName(c.filter(F.length("body") > COMMENT_LENGTH))
 
 
 def content_rank(posts: DataFrame, comments: DataFrame, n: int = 70) -> DataFrame:
-    """Most substantive texts, scored over their whole length."""
-    scored = long_enough(posts, comments).select("kind", "id", "score", content_score(F.col("body")).alias("substance"))
+    """Most substantive texts, scored over their whole length, with their texts."""
+    scored = long_enough(posts, comments).withColumn("substance", content_score(F.col("body")))
     return top_n(scored, [F.desc("substance"), F.desc("score"), F.col("kind"), F.col("id")], n, "position")

@@ -131,6 +131,23 @@ def refresh_by_volume(volumes: DataFrame, held: DataFrame, top: int, daily: int)
     return best.filter(F.col("position") <= daily).select("item_id", "volume", "position").unionByName(missing).distinct()
 
 
+def quota_full(wanted: DataFrame, cap: int) -> DataFrame:
+    """Items of a full capture: watched ones first, the others by name, up to ``cap``.
+
+    ``wanted``: item_id, name, watched (1 or 0); an item wanted twice counts once, watched if any row is.
+    """
+    unique = wanted.groupBy("item_id").agg(F.max("watched").alias("watched"), F.min("name").alias("name"))
+    order = [F.desc("watched"), F.col("name"), F.col("item_id")]
+    return top_n(unique, order, cap, "position").select("item_id", "name", "watched", "position")
+
+
+def quota_daily(full: DataFrame, volumes: DataFrame, cap: int) -> DataFrame:
+    """Of a full capture's items those of a daily one: watched ones, then the most traded, up to ``cap``."""
+    ranked = full.drop("position").join(volumes, "item_id", "left").withColumn("volume", F.coalesce("volume", F.lit(0)))
+    order = [F.desc("watched"), F.when(F.col("watched") == 0, F.col("volume")).desc(), F.col("name"), F.col("item_id")]
+    return top_n(ranked, order, cap, "position").select("item_id", "name", "watched", "volume", "position")
+
+
 def quota_select(wanted: DataFrame, volumes: DataFrame, cap: int) -> DataFrame:
     """Items to capture within a quota: watched ones first, the rest by volume, then by name.
 

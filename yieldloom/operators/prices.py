@@ -122,6 +122,11 @@ def kept_ladder(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("offers") > 0).select("item_id", "side", "price", "units")
 
 
+def offer_ladder(judged: DataFrame) -> DataFrame:
+    """Ladder to publish: kept offers and their units per item, side and price."""
+    return judged.filter(F.col("offers") > 0).select("item_id", "side", "price", "units", "offers")
+
+
 def _fair(side_points: Column, total: Column, trim_bp: int) -> Column:
     """VWAP of what is left after the dearest ``trim_bp`` basis points of units are cut off."""
     left = total.cast("decimal(28,0)") * (10000 - trim_bp)

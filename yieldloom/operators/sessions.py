@@ -144,15 +144,15 @@ def kpi_best(stats: DataFrame) -> DataFrame:
     return best[0].unionByName(best[1])
 
 
-def run_metrics(profit: DataFrame, exp: DataFrame, excluded: DataFrame, as_of: Column) -> DataFrame:
-    """Counts of one run, one row per metric; excluded sessions are counted once."""
+def run_metrics(profit: DataFrame, exp: DataFrame, excluded: DataFrame, as_of: Column, **tables: DataFrame) -> DataFrame:
+    """Counts of one run, one row per metric; excluded sessions are counted once. Further tables count by their names."""
     age = F.datediff(as_of, F.col("hunt_date"))
 
     def long(df: DataFrame, **counts: Column) -> DataFrame:
         wide = df.agg(*[c.cast("bigint").alias(n) for n, c in counts.items()])
         return wide.unpivot([], list(counts), "metric", "value")
 
-    return (
+    out = (
         long(profit, hunts=F.count(F.lit(1)))
         .unionByName(
             long(
@@ -164,3 +164,6 @@ def run_metrics(profit: DataFrame, exp: DataFrame, excluded: DataFrame, as_of: C
         )
         .unionByName(long(excluded, events_excluded=F.count_distinct("id")))
     )
+    for name, table in tables.items():
+        out = out.unionByName(long(table, **{name: F.count(F.lit(1))}))
+    return out

@@ -121,8 +121,8 @@ def ladder_long(d):
     """Ladder of kept offers written as a long table and read back."""
     path = fresh_path(d.spark, "ladder")
     judged = prices.judged_levels(d.offers(), d.averages(), d.rules())
-    sinks.write_ladder(prices.kept_ladder(judged).select("item_id", "side", "price", "units"), path)
-    return d.spark.read.parquet(path).select("item_id", "side", "price", "units")
+    sinks.write_ladder(prices.offer_ladder(judged), path)
+    return d.spark.read.parquet(path).select("item_id", "side", "price", "units", "offers")
 
 
 @query
@@ -143,7 +143,11 @@ def build_info(d):
     rows = d.sessions()
     fresh = sessions.recent(rows, d.as_of, 365)
     excluded = sessions.flag_events(fresh, d.event_days()).filter("event_flag = 1")
-    return sessions.run_metrics(d.profit_sessions(), d.exp_sessions(), excluded, d.as_of)
+    tags = demand.item_tags(d.imbuing(), d.delivery(), d.saved_prices)
+    return sessions.run_metrics(
+        d.profit_sessions(), d.exp_sessions(), excluded, d.as_of, price_items=d.saved_prices, tagged_items=tags,
+        spawn_items=spawn_items(d), events_days=d.event_days(), manual_prices=manual_prices(d),
+    )
 
 
 # ---- scalar parsing -----------------------------------------------------------------------------
@@ -375,7 +379,7 @@ def demand_view(d):
 @query
 def guide_fallback(d):
     agreed = con.consensus(_compared(d)[0])
-    return con.guide_fallback(agreed, d.guides(), ["50_100", "100_200", "200_300"], least=250)
+    return con.guide_fallback(agreed, d.guides(), ["50_100", "100_200", "200_300", "300_up"])
 
 
 # ---- joins --------------------------------------------------------------------------------------
@@ -605,14 +609,28 @@ def volume_topn(d):
     return demand.refresh_by_volume(volumes, held, 150, 40).select("item_id", "volume", "position")
 
 
-@query
-def quota_select(d):
+def _wanted(d: Domain) -> DataFrame:
     """Items wanted for capture: size-1 parts are watched, the others come through the loot lists."""
-    wanted = d.table("part").select(
+    return d.table("part").select(
         F.col("p_partkey").alias("item_id"), F.lower(d.item_name()).alias("name"),
         F.when((F.col("p_size") == 1) & (F.col("p_brand") == "Brand#2"), 1).otherwise(0).cast("bigint").alias("watched"),
     )
-    return demand.quota_select(wanted, demand.monthly_volume(latest.last_captures(d.volumes(), 2)), 300)
+
+
+@query
+def quota_full(d):
+    return demand.quota_full(_wanted(d), 300)
+
+
+@query
+def quota_daily(d):
+    volumes = demand.monthly_volume(latest.last_captures(d.volumes(), 2))
+    return demand.quota_daily(demand.quota_full(_wanted(d), 300), volumes, 40)
+
+
+@query
+def quota_select(d):
+    return demand.quota_select(_wanted(d), demand.monthly_volume(latest.last_captures(d.volumes(), 2)), 300)
 
 
 @query

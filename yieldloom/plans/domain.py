@@ -324,6 +324,7 @@ class Domain:
         return self.table("documents").select(
             F.col("doc_id").alias("id"), F.col("source").alias("title"), body.alias("selftext"),
             (F.col("n_chars") % 100).alias("score"), (F.col("doc_id") % 40).alias("num_comments"),
+            F.concat(F.lit("https://example.org/post/"), _text(F.col("doc_id"))).alias("url"),
         )
 
     def comments(self) -> DataFrame:
@@ -343,7 +344,8 @@ class Domain:
         )
         amount = (F.col("s_acctbal") * 10).cast("bigint")
         return self.table("supplier").select(
-            spawn.alias("spawn"), _pick(bracket_tags(), key % 3).alias("bracket"),
+            spawn.alias("spawn"), F.when(key % 11 == 0, "300-up").otherwise(_pick(bracket_tags(), key % 3)).alias("bracket"),
+            _text(amount * 2).alias("exp_lo"), F.when(key % 3 == 0, "").otherwise(_text(amount * 3)).alias("exp_hi"),
             F.when(key % 4 == 0, "").otherwise(_text(amount)).alias("profit_lo"),
             F.when(key % 7 == 0, "n/a").otherwise(_text(amount + 50000)).alias("profit_hi"),
             F.concat(F.lit("guide "), _text(nat % 4)).alias("source"),

@@ -146,7 +146,7 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     )
     judged = save(judged, "price-levels")
     price_table = save(prices.price_measures(judged, silver.metadata, s.trim_percent), "prices")
-    tags_table = demand.item_tags(silver.imbuing, silver.delivery, price_table)
+    tags_table = save(demand.item_tags(silver.imbuing, silver.delivery, price_table), "item-tags")
 
     calibration = kills.calibration_sessions(usable, as_of)
     values = save(kills.value_per_kill(calibration, kill_rows), "values")
@@ -163,6 +163,9 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     rows = consensus.evidence(profit_table, stats, silver.guides, silver.claims, as_of, s.min_year, tags)
     compared, members = consensus.profit_compare(rows)
     excluded = widest.filter("event_flag = 1")
+    places = save(
+        kills.spawn_items(silver.all_sessions, kill_rows, silver.creature_items, price_table, silver.metadata), "spawn-items"
+    )
     ranked = {
         f"ranking_{name}": sessions.top_sessions(sessions.with_brackets(df, brackets=s.brackets), metric)
         for name, df, metric in (("exp", exp, "xp_h"), ("profit", profit, "loot_h"))
@@ -170,10 +173,10 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     return {
         **ranked,
         "price_stats": price_table,
-        "ladder": prices.kept_ladder(judged).select("item_id", "side", "price", "units"),
+        "ladder": prices.offer_ladder(judged),
         "history": prices.history_daily(silver.history),
         "item_tags": tags_table,
-        "spawn_items": kills.spawn_items(silver.all_sessions, kill_rows, silver.creature_items, price_table, silver.metadata),
+        "spawn_items": places,
         "hunt_kills_h": kills.kills_enriched(kill_rows, usable),
         "creature_value": values,
         "spawn_profit": profit_table,
@@ -185,7 +188,10 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
         "profit_compare": compared,
         "cluster_members": members,
         "profit_consensus": consensus.consensus(compared),
-        "build_info": sessions.run_metrics(profit, exp, excluded, as_of),
+        "build_info": sessions.run_metrics(
+            profit, exp, excluded, as_of, price_items=price_table, spawn_items=places, tagged_items=tags_table,
+            events_days=silver.event_days, manual_prices=silver.manual,
+        ),
         "manual_prices": silver.manual,
     }
 

@@ -149,16 +149,6 @@ oracle(
            CASE WHEN l_linenumber <> 2 THEN CAST(trunc(l_extendedprice) AS BIGINT) + 10 ELSE CAST(l_quantity AS BIGINT) + 1 END AS sell
          FROM lineitem) GROUP BY ALL""",
 )
-oracle(
-    "build_info",
-    """SELECT 'hunts' AS metric, count(*) AS value FROM profit_sessions
-       UNION ALL SELECT 'hunts_exp', count(*) FROM exp_sessions
-       UNION ALL SELECT 'sessions_le31d', count(*) FROM exp_sessions, as_of WHERE d - hunt_date <= 31
-       UNION ALL SELECT 'sessions_le62d', count(*) FROM exp_sessions, as_of WHERE d - hunt_date <= 62
-       UNION ALL SELECT 'events_excluded', count(DISTINCT id) FROM fresh365 WHERE hunt_date IN (SELECT date FROM event_days)""",
-    "profit_sessions", "exp_sessions", "fresh365", "as_of", "event_days",
-)
-
 # ---- scalar parsing -----------------------------------------------------------------------------
 
 oracle(
@@ -214,7 +204,8 @@ view(
     "guides",
     """SELECT CASE WHEN s_suppkey % 2 = 0 THEN lower(seg) || ' Nation_' || s_nationkey || ' (team)'
            ELSE 'Nation_' || s_nationkey || ' ' || seg || 's [solo]' END AS spawn,
-         ['50_100', '100_200', '200_300'][s_suppkey % 3 + 1] AS bracket,
+         CASE WHEN s_suppkey % 11 = 0 THEN '300_up' ELSE ['50_100', '100_200', '200_300'][s_suppkey % 3 + 1] END AS bracket,
+         a * 2 AS exp_lo, CASE WHEN s_suppkey % 3 <> 0 THEN a * 3 END AS exp_hi,
          CASE WHEN s_suppkey % 4 <> 0 THEN a END AS lo, CASE WHEN s_suppkey % 7 <> 0 THEN a + 50000 END AS hi,
          'guide ' || (s_nationkey % 4) AS source, CASE WHEN s_nationkey % 5 = 0 THEN '2025-11' ELSE '2026-03' END AS source_date,
          s_suppkey
@@ -428,7 +419,7 @@ oracle(
 # ---- prices -------------------------------------------------------------------------------------
 
 view("ladder", "SELECT item_id, side, price, CAST(sum(units) AS BIGINT) AS units FROM judged WHERE kept GROUP BY ALL", "judged")
-oracle("ladder_long", "SELECT * FROM ladder", "ladder")
+oracle("ladder_long", "SELECT item_id, side, price, CAST(sum(units) AS BIGINT) AS units, count(*) AS offers FROM judged WHERE kept GROUP BY ALL", "judged")
 view(
     "fair",
     """SELECT item_id, CAST(sum(price * kept) // nullif(sum(kept), 0) AS BIGINT) AS fair FROM (
@@ -506,6 +497,17 @@ oracle(
     "volumes",
 )
 
+_WANTED = f"SELECT p_partkey AS item_id, lower({ITEM}) AS name, CASE WHEN p_size = 1 AND p_brand = 'Brand#2' THEN 1 ELSE 0 END AS watched FROM part"
+view("full_quota", f"SELECT *, row_number() OVER (ORDER BY watched DESC, name, item_id) AS position FROM ({_WANTED}) QUALIFY position <= 300")
+oracle("quota_full", "SELECT * FROM full_quota", "full_quota")
+oracle(
+    "quota_daily",
+    """SELECT item_id, name, watched, coalesce(volume, 0) AS volume,
+         row_number() OVER (ORDER BY watched DESC, CASE WHEN watched = 0 THEN coalesce(volume, 0) END DESC NULLS LAST, name, item_id) AS position
+       FROM full_quota LEFT JOIN volumes USING (item_id) QUALIFY row_number() OVER (ORDER BY watched DESC, CASE WHEN watched = 0 THEN coalesce(volume, 0) END DESC NULLS LAST, name, item_id) <= 40""",
+    "full_quota", "volumes",
+)
+
 # ---- demand -------------------------------------------------------------------------------------
 
 view("name_prices", "SELECT * FROM prices WHERE item IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lower(item) ORDER BY item_id DESC) = 1", "prices")
@@ -698,9 +700,10 @@ oracle(
 oracle(
     "content_rank",
     f"""SELECT row_number() OVER (ORDER BY substance DESC, score DESC, kind, id) AS position, * FROM (
-         SELECT kind, id, score, {substance('body')} AS substance FROM (
-           SELECT 'POST' AS kind, CAST(id AS VARCHAR) AS id, score, title || chr(10) || selftext AS body FROM posts WHERE length(trim(title || chr(10) || selftext)) > 80
-           UNION ALL SELECT 'COMM', conv_id || '/' || turn, conv_id % 30, text FROM conversations WHERE length(text) > 120)) QUALIFY position <= 70""",
+         SELECT *, {substance('body')} AS substance FROM (
+           SELECT 'POST' AS kind, CAST(id AS VARCHAR) AS id, score, title, title || chr(10) || selftext AS body, 'https://example.org/post/' || id AS url
+             FROM posts WHERE length(trim(title || chr(10) || selftext)) > 80
+           UNION ALL SELECT 'COMM', conv_id || '/' || turn, conv_id % 30, '', text, '' FROM conversations WHERE length(text) > 120)) QUALIFY position <= 70""",
     "posts",
 )
 oracle(
@@ -779,7 +782,7 @@ view(
        UNION ALL SELECT b, spawn, 'guide', source, lo, hi, '', date, '' FROM (
          SELECT DISTINCT bracket, spawn, source || ' (' || source_date || ')' AS source, coalesce(nullif(lo, 0), hi, 0) AS lo,
            coalesce(nullif(hi, 0), lo, 0) AS hi, source_date AS date FROM guides
-         WHERE source_date >= '2026' AND s_suppkey % 7 <> 0 AND (lo IS NOT NULL OR hi IS NOT NULL)), unnest(['all', bracket]) u(b)
+         WHERE source_date >= '2026' AND s_suppkey % 7 <> 0 AND (lo IS NOT NULL OR hi IS NOT NULL)), unnest(['all', bracket]) u(b) WHERE b <> '300_up'
        UNION ALL SELECT b, spawn, 'community', 'players', lo, hi, '', date, url FROM claims, unnest(['all', '50_100', '100_200', '200_300']) u(b)
          WHERE date >= '2026' AND lo IS NOT NULL""",
     "computed", "bracket_stats", "guides", "claims", "as_of",
@@ -836,8 +839,23 @@ oracle(
 )
 oracle(
     "guide_fallback",
-    """SELECT bracket, 'consensus' AS origin, spawn, consensus_h AS profit_lo, consensus_h AS profit_hi, sources FROM agreed WHERE bracket <> 'all'
-       UNION ALL SELECT bracket, 'guide', spawn, lo, hi, source || ' (' || source_date || ')' FROM guides
-         WHERE (SELECT count(*) FROM agreed g WHERE g.bracket = guides.bracket) < 250""",
+    """SELECT bracket, 'consensus' AS origin, spawn, NULL::BIGINT AS exp_lo, NULL::BIGINT AS exp_hi, consensus_h AS profit_lo, consensus_h AS profit_hi, sources
+         FROM agreed WHERE bracket <> 'all'
+       UNION ALL SELECT bracket, 'guide', spawn, exp_lo, exp_hi, lo, hi, source || ' (' || source_date || ')' FROM guides
+         WHERE (SELECT count(*) FROM agreed g WHERE g.bracket = guides.bracket) < 3""",
     "agreed", "guides",
 )
+oracle(
+    "build_info",
+    """SELECT 'hunts' AS metric, count(*) AS value FROM profit_sessions
+       UNION ALL SELECT 'hunts_exp', count(*) FROM exp_sessions
+       UNION ALL SELECT 'sessions_le31d', count(*) FROM exp_sessions, as_of WHERE d - hunt_date <= 31
+       UNION ALL SELECT 'sessions_le62d', count(*) FROM exp_sessions, as_of WHERE d - hunt_date <= 62
+       UNION ALL SELECT 'events_excluded', count(DISTINCT id) FROM fresh365 WHERE hunt_date IN (SELECT date FROM event_days)
+       UNION ALL SELECT 'events_days', count(*) FROM (SELECT DISTINCT date FROM event_days)
+       UNION ALL SELECT 'price_items', count(*) FROM prices
+       UNION ALL SELECT 'tagged_items', count(*) FROM tags
+       UNION ALL SELECT 'spawn_items', count(*) FROM listed
+       UNION ALL SELECT 'manual_prices', count(DISTINCT l_partkey) FROM lineitem WHERE l_returnflag = 'R'""",
+    "profit_sessions", "exp_sessions", "fresh365", "as_of", "event_days", "prices", "tags", "listed",
+)
