@@ -105,29 +105,31 @@ def _rates(kills: DataFrame, sessions: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
-def _mean_rates(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean rate per creature over the sessions where it occurs."""
+def _mean_rates(folded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mean rate per creature over the sessions where it occurs, from rates folded by ``_folded``."""
     return (
-        rates.groupBy(*keys, "creature")
-        .agg(F.sum("rate").alias("rate_sum"), F.count(F.lit(1)).alias("n_sessions"))
-        .withColumn("avg_rate", F.expr("(2 * rate_sum + n_sessions) div (2 * n_sessions)"))
+        folded.groupBy(*keys, "creature")
+        .agg(F.sum("rate_sum").alias("rate_sum"), F.sum("n_sessions").alias("n_sessions"))
+        .withColumn("avg_rate", F.expr("cast((2 * rate_sum + n_sessions) div (2 * n_sessions) as bigint)"))
         .drop("rate_sum")
     )
 
 
-def spawn_profit(
-    sessions: DataFrame, kills: DataFrame, values: DataFrame, keys: Sequence[str] = ("spawn",)
-) -> DataFrame:
-    """Computed profit per hour of each spawn: mean kill rate times value per kill, summed over creatures.
+def _folded(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rates.groupBy(*keys, "creature").agg(F.sum("rate").alias("rate_sum"), F.count(F.lit(1)).alias("n_sessions"))
+
 
-    ``coverage`` is the valued part of the kill rate; creatures without a value are listed, not guessed.
-    The measured median over the same sessions stands beside it.
+def spawn_profit(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> DataFrame:
+    """Computed profit per hour of each spawn and bracket: mean kill rate times value per kill, summed over creatures.
+
+    ``sessions`` has one row per session with its list of ``brackets``. Kills are folded per set of brackets, and only
+    what is folded is counted in each bracket of the set. ``coverage`` is the valued part of the kill rate; creatures
+    without a value are listed, not guessed. The measured median over the same sessions stands beside it.
     """
-    keys = list(keys)
-    rates = save(_rates(kills, sessions, keys), "kill-rates")
-    per = save(
-        _mean_rates(rates, keys).join(values.select("creature", "value_per_kill"), "creature", "left"), "spawn-rates"
-    )
+    keys = ["bracket", "spawn"]
+    folded = _folded(_rates(kills, sessions, ["brackets", "spawn"]), ["brackets", "spawn"])
+    per = _mean_rates(folded.withColumn("bracket", F.explode("brackets")), keys)
+    per = save(per.join(values.select("creature", "value_per_kill"), "creature", "left"), "spawn-rates")
     valued = F.col("value_per_kill").isNotNull()
     amount = F.col("avg_rate").cast("decimal(19,0)") * F.col("value_per_kill").cast("decimal(18,0)")
     totals = per.groupBy(*keys).agg(
@@ -148,7 +150,9 @@ def spawn_profit(
         return F.array_join(F.transform(F.array_sort(F.collect_list(mine)), lambda p: p["text"]), separator)
 
     lists = listed.groupBy(*keys).agg(texts(True, ";").alias("valued"), texts(False, "|").alias("missing"))
-    hunts = rates.select(*keys, "hunt_id", "loot_h").distinct()
+    killing = kills.filter(F.col("killed") > 0).select(F.col("hunt_id").alias("id"))
+    hunts = sessions.filter(F.col("minutes") >= MIN_MINUTES).join(killing, "id", "left_semi")
+    hunts = hunts.select("spawn", "id", "loot_h", F.explode("brackets").alias("bracket"))
     counted = hunts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sessions"))
     measured = exact_median(hunts.filter(F.col("loot_h") != 0), keys, F.col("loot_h"), "measured_loot_h")
     return (
@@ -175,7 +179,7 @@ def spawn_loot(
     rates = _rates(kills, calibration.filter(F.col("spawn") != ""), ["spawn"])
     top = top_loot(creature_items, prices, tags)
     return (
-        _mean_rates(rates, ["spawn"])
+        _mean_rates(_folded(rates, ["spawn"]), ["spawn"])
         .join(values.select("creature", "value_per_kill"), "creature", "left")
         .join(top, "creature", "left")
         .select(

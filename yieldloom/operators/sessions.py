@@ -55,6 +55,18 @@ def with_brackets(
 
     ``when`` limits which rows enter the brackets; the overall view keeps all.
     """
+    sets = with_bracket_sets(df, level, brackets, overall, when)
+    return sets.withColumn("bracket", F.explode("brackets")).drop("brackets")
+
+
+def with_bracket_sets(
+    df: DataFrame,
+    level: str = "avg_lvl",
+    brackets: Sequence[tuple[int, int]] = BRACKETS,
+    overall: bool = True,
+    when: Column | None = None,
+) -> DataFrame:
+    """Like ``with_brackets``, but one row per session with all its brackets as a list (``brackets``)."""
     named = F.array(
         *[F.struct(F.lit(f"{lo}_{hi}").alias("tag"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in brackets]
     )
@@ -64,7 +76,7 @@ def with_brackets(
         F.filter(named, lambda b: enters & (lvl != 0) & (lvl >= b["lo"]) & (lvl <= b["hi"])), lambda b: b["tag"]
     )
     tags = F.concat(F.array(F.lit(OVERALL)), fitting) if overall else fitting
-    return df.withColumn("bracket", F.explode(tags))
+    return df.withColumn("brackets", tags)
 
 
 def spawn_stats(sessions: DataFrame, keys: Sequence[str] = ("spawn",)) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.extract import DELIVERY_TABS
 from ..operators.prices import price_stats
-from ..operators.sessions import bracket_tags, exclude_events, recent, spawn_stats, with_brackets
+from ..operators.sessions import bracket_tags, exclude_events, recent, spawn_stats, with_bracket_sets, with_brackets
 from ..operators.kills import calibration_sessions, spawn_profit, value_per_kill
 from ..operators.demand import delivery_rows
 from ..session import save
@@ -143,8 +143,7 @@ class Domain:
     def bracket_profit(self) -> DataFrame:
         """Computed profit overall (120 days) and per bracket (60 days), in one pass."""
         fresh = F.col("hunt_date") >= F.date_sub(self.as_of, PROFIT_DAYS)
-        split = with_brackets(self.calibration(), when=fresh)
-        return spawn_profit(split, self.calibration_kills, self.values, ("bracket", "spawn"))
+        return spawn_profit(with_bracket_sets(self.calibration(), when=fresh), self.calibration_kills, self.values)
 
     def bracket_stats(self) -> DataFrame:
         fresh = recent(self.saved_sessions, self.as_of, PROFIT_DAYS)

@@ -153,7 +153,7 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     fresh = F.col("hunt_date") >= F.date_sub(as_of, s.profit_days)
     profit_table = save(
         kills.spawn_profit(
-            sessions.with_brackets(calibration, brackets=s.brackets, when=fresh), kill_rows, values, ("bracket", "spawn")
+            sessions.with_bracket_sets(calibration, brackets=s.brackets, when=fresh), kill_rows, values
         ),
         "spawn-profit",
     )
