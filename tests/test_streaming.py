@@ -30,8 +30,20 @@ def test_upsert_in_runs(spark, tmp_path):
     # A batch written again leaves the state as it was.
     spark.createDataFrame(DAYS[1], SCHEMA).write.mode("overwrite").parquet(f"{state}/batch=1")
     assert sorted(incremental.read_latest(spark, state, ["id"], ["day", "v"]).collect()) == sorted(twin.collect())
-    incremental.compact(spark, state, f"{tmp_path}/compact", ["id"], ["day", "v"])
-    assert sorted(incremental.read_latest(spark, f"{tmp_path}/compact", ["id"], ["day", "v"]).collect()) == sorted(twin.collect())
+
+
+def test_upsert_writes_whole_states(spark, tmp_path):
+    source, state, log = (f"{tmp_path}/{n}" for n in ("in", "state", "log"))
+    everything = []
+    for rows in DAYS + DAYS[::-1]:
+        feed(spark, source, rows)
+        everything += rows
+        incremental.upsert_latest(spark.readStream.schema(SCHEMA).parquet(source), state, log, ["id"], ["day", "v"], every=2)
+    assert incremental._numbers(spark, state, "base") == [1, 3, 5]
+    twin = latest_by_key(spark.createDataFrame(everything, SCHEMA), ["id"], ["day", "v"])
+    now = incremental.read_latest(spark, state, ["id"], ["day", "v"])
+    assert sorted(now.collect()) == sorted(twin.collect())
+    assert all("base=5" in f for f in now.inputFiles())
 
 
 def test_append_in_runs(spark, tmp_path):

@@ -670,22 +670,30 @@ _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 
 def _event_stream(d: Domain) -> DataFrame:
-    reader = d.spark.readStream.schema(_EVENTS).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(d.sf_dir)
+    """The events as a stream of three batches, in the order of their numbers."""
+    path = fresh_path(d.spark, "event-files")
+    rows = d.table("events")
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // 3 + 1
+    for k in range(3):
+        part = rows.filter(F.col("event_id").between(low + k * step, low + (k + 1) * step - 1))
+        part.coalesce(1).write.parquet(f"{path}/part={k}")
+    reader = d.spark.readStream.schema(_EVENTS).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{path}/part=*")
 
 
 @query
 def stream_upsert(d):
-    """Newest event per user, folded in by a stream."""
+    """Newest event per user, folded in by a stream of several batches that writes its whole state every second one."""
     path, checkpoint = fresh_path(d.spark, "upsert"), fresh_path(d.spark, "upsert-log")
-    incremental.upsert_latest(_event_stream(d), path, checkpoint, ["user_id"], ["ts", "event_id"])
+    incremental.upsert_latest(_event_stream(d), path, checkpoint, ["user_id"], ["ts", "event_id"], every=2)
     state = incremental.read_latest(d.spark, path, ["user_id"], ["ts", "event_id"])
     return state.select("user_id", "event_id", "event_type", "value")
 
 
 @query
 def stream_append(d):
-    """First event per user and day's store, appended by a stream."""
+    """First event per user by batch, appended by a stream of several batches."""
     path, checkpoint = fresh_path(d.spark, "append"), fresh_path(d.spark, "append-log")
     incremental.append_unseen(_event_stream(d), path, checkpoint, "user_id", ["ts", "event_id"])
     return d.spark.read.parquet(path).select("user_id", "event_id", "event_type")

@@ -11,18 +11,51 @@ from ..operators.latest import latest_by_key
 from ..sources.documents import path_exists
 
 
+#: Batches after which an upsert writes its whole state anew, and buckets of a store's keys.
+COMPACT_EVERY, KEY_BUCKETS = 16, 64
+
+
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the folders ``<name>=<number>`` below a path, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
+    return sorted(int(f.getPath().getName().partition("=")[2]) for f in found)
+
+
+def _state(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """Rows of the newest whole state and of the batches behind it, with the number of their batch."""
+    bases = [n for n in _numbers(spark, path, "base") if before is None or n < before]
+    base = bases[-1] if bases else None
+    later = [n for n in _numbers(spark, path, "batch") if (base is None or n > base) and (before is None or n < before)]
+    parts = [(f"base={base}", base)] * (base is not None) + [(f"batch={n}", n) for n in later]
+    out = None
+    for folder, number in parts:
+        rows = spark.read.parquet(f"{path}/{folder}").withColumn("batch", F.lit(number))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def upsert_latest(
-    source: DataFrame, path: str, checkpoint: str, keys: Sequence[str], version: Sequence[str]
+    source: DataFrame, path: str, checkpoint: str, keys: Sequence[str], version: Sequence[str], every: int = COMPACT_EVERY
 ) -> None:
     """Fold everything that has arrived into the state at ``path`` and stop.
 
-    Each batch writes the newest row per key into its own folder, named by the batch. A batch that is
-    run again after a failure overwrites that folder with the same rows, so nothing counts twice, and
-    no batch rewrites the state of earlier ones. ``read_latest`` resolves the folders.
+    Each batch writes the newest row per key into its own folder, named by the batch; each ``every``-th one writes the
+    whole state up to itself instead, so a reader never needs more than one whole state and ``every`` batches. A batch
+    that is run again after a failure overwrites its folder with the same rows, so nothing counts twice. Older folders
+    stay for readers at work; whoever owns the store removes them.
     """
+    spark = source.sparkSession
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        latest_by_key(batch, keys, version).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows = latest_by_key(batch, keys, version)
+        if (batch_id + 1) % every:
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            return
+        held = _state(spark, path, batch_id)
+        rows = rows.withColumn("batch", F.lit(batch_id))
+        whole = rows if held is None else latest_by_key(held.unionByName(rows), keys, [*version, "batch"])
+        whole.drop("batch").write.mode("overwrite").parquet(f"{path}/base={batch_id}")
 
     (
         source.writeStream.foreachBatch(fold)
@@ -34,31 +67,29 @@ def upsert_latest(
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """Current state: newest row per key over all batch folders, later batches winning ties."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    return latest_by_key(rows, keys, [*version, "batch"]).drop("batch")
-
-
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], version: Sequence[str]) -> None:
-    """Write the resolved state as one folder of a new state path."""
-    read_latest(spark, path, keys, version).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    """Current state: newest row per key, later batches winning ties."""
+    return latest_by_key(_state(spark, path), keys, [*version, "batch"]).drop("batch")
 
 
 def append_unseen(source: DataFrame, path: str, checkpoint: str, key: str, version: Sequence[str]) -> None:
     """Append rows whose key no earlier batch brought; of repeats within a batch the earliest stays.
 
-    The store itself remembers the keys, so no streaming state grows without end.
+    The store itself remembers the keys, so no streaming state grows without end. It is laid out by a hash of the key,
+    and a batch reads the keys of the buckets it touches only.
     """
     from ..operators.latest import append_new
 
     spark = source.sparkSession
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(KEY_BUCKETS)).cast("int")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         store = batch.limit(0)
         if path_exists(spark, f"{path}/batch=*"):
+            touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # KEY_BUCKETS at most
             held = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-            store = held.filter(F.col("batch") != batch_id).drop("batch")
-        append_new(store, batch, key, version).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            store = held.filter((F.col("batch") != batch_id) & F.col("key_bucket").isin(touched)).drop("batch", "key_bucket")
+        fresh = append_new(store, batch, key, version).withColumn("key_bucket", bucket)
+        fresh.write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/batch={batch_id}")
 
     (
         source.writeStream.foreachBatch(fold)
