@@ -52,6 +52,29 @@ def snapshot_window(d):
     return newest.select("user_id", "event_id", "event_type", "value", _day("capture_date"))
 
 
+@query
+def json_snapshots(d):
+    """One JSON document per year as dated snapshots: the newest three are read, the others stay closed."""
+    root = fresh_path(d.spark, "json-snapshots")
+    years = d.table("orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("orders"))
+    for r in years.select("year", F.to_json(F.struct("year", "orders")).alias("value")).collect():  # one row a year
+        d.spark.createDataFrame([(r["value"],)], "value string").coalesce(1).write.text(f"{root}/{r['year']}-12-31")
+    read = snapshots.read_json_snapshots(d.spark, root, "part-*", "year bigint, orders bigint", 3)
+    return read.select("year", "orders", _day("capture_date"))
+
+
+@query
+def guide_list(d):
+    """The guide list written as CSV and read back as an optional list; a missing one is empty."""
+    path, schema = fresh_path(d.spark, "guides"), "spawn string, bracket string, profit_lo string, profit_hi string, source string, source_date string"
+    columns = [c.split()[0] for c in schema.split(", ")]
+    d.guides().select(*columns).write.option("header", True).csv(path)
+    lists = [documents.read_optional_csv(d.spark, p, schema) for p in (path, f"{path}-missing")]
+    rows = lists[0].unionByName(lists[1])
+    numbers = [F.col(c).try_cast("bigint").alias(c) for c in ("profit_lo", "profit_hi")]
+    return rows.select("spawn", F.replace(F.col("bracket"), F.lit("-"), F.lit("_")).alias("bracket"), *numbers, "source", "source_date")
+
+
 @query
 def snapshot_all_latest(d):
     """All captures, newest row per user."""

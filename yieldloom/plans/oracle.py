@@ -859,3 +859,9 @@ oracle(
        UNION ALL SELECT 'manual_prices', count(DISTINCT l_partkey) FROM lineitem WHERE l_returnflag = 'R'""",
     "profit_sessions", "exp_sessions", "fresh365", "as_of", "event_days", "prices", "tags", "listed",
 )
+oracle(
+    "json_snapshots",
+    """SELECT year(o_orderdate) AS year, count(*) AS orders, year(o_orderdate) || '-12-31' AS capture_date FROM orders GROUP BY 1
+       QUALIFY row_number() OVER (ORDER BY year(o_orderdate) DESC) <= 3""",
+)
+oracle("guide_list", "SELECT spawn, bracket, lo AS profit_lo, hi AS profit_hi, source, source_date FROM guides", "guides")
