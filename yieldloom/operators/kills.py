@@ -119,6 +119,19 @@ def _folded(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rates.groupBy(*keys, "creature").agg(F.sum("rate").alias("rate_sum"), F.count(F.lit(1)).alias("n_sessions"))
 
 
+def spawn_rates(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> DataFrame:
+    """Mean kill rate of each spawn, bracket and creature, with the value of a kill where it is known."""
+    folded = _folded(_rates(kills, sessions, ["brackets", "spawn"]), ["brackets", "spawn"])
+    per = _mean_rates(folded.withColumn("bracket", F.explode("brackets")), ["bracket", "spawn"])
+    return per.join(values.select("creature", "value_per_kill"), "creature", "left")
+
+
+def missing_values(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> DataFrame:
+    """The gaps as a table: every creature without a value, by spawn and bracket, with its mean kill rate."""
+    gaps = spawn_rates(sessions, kills, values).filter(F.col("value_per_kill").isNull())
+    return gaps.select("bracket", "spawn", "creature", ratio(F.col("avg_rate"), F.lit(_BILLION), 1).alias("avg_kills_h"))
+
+
 def spawn_profit(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> DataFrame:
     """Computed profit per hour of each spawn and bracket: mean kill rate times value per kill, summed over creatures.
 
@@ -127,9 +140,7 @@ def spawn_profit(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> Da
     without a value are listed, not guessed. The measured median over the same sessions stands beside it.
     """
     keys = ["bracket", "spawn"]
-    folded = _folded(_rates(kills, sessions, ["brackets", "spawn"]), ["brackets", "spawn"])
-    per = _mean_rates(folded.withColumn("bracket", F.explode("brackets")), keys)
-    per = save(per.join(values.select("creature", "value_per_kill"), "creature", "left"), "spawn-rates")
+    per = save(spawn_rates(sessions, kills, values), "spawn-rates")
     valued = F.col("value_per_kill").isNotNull()
     amount = F.col("avg_rate").cast("decimal(19,0)") * F.col("value_per_kill").cast("decimal(18,0)")
     totals = per.groupBy(*keys).agg(

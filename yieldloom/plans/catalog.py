@@ -472,6 +472,11 @@ def spawn_stats_brackets(d):
     )
 
 
+@query
+def missing_values(d):
+    return d.value_gaps()
+
+
 @query
 def spawn_items(d):
     return kills.spawn_items(save(d.sessions().select("id", "spawn"), "places"), d.saved_kills, d.creature_items(), d.saved_prices, d.metadata())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.extract import DELIVERY_TABS
 from ..operators.prices import price_stats
 from ..operators.sessions import bracket_tags, exclude_events, recent, spawn_stats, with_bracket_sets, with_brackets
-from ..operators.kills import calibration_sessions, spawn_profit, value_per_kill
+from ..operators.kills import calibration_sessions, missing_values, spawn_profit, value_per_kill
 from ..operators.demand import delivery_rows
 from ..session import save
 
@@ -145,6 +145,12 @@ class Domain:
         fresh = F.col("hunt_date") >= F.date_sub(self.as_of, PROFIT_DAYS)
         return spawn_profit(with_bracket_sets(self.calibration(), when=fresh), self.calibration_kills, self.values)
 
+    def value_gaps(self) -> DataFrame:
+        """Creatures without a value, as if every second value were unknown."""
+        fresh = F.col("hunt_date") >= F.date_sub(self.as_of, PROFIT_DAYS)
+        known = self.values.filter(F.length("creature") % 2 == 0)
+        return missing_values(with_bracket_sets(self.calibration(), when=fresh), self.calibration_kills, known)
+
     def bracket_stats(self) -> DataFrame:
         fresh = recent(self.saved_sessions, self.as_of, PROFIT_DAYS)
         return spawn_stats(with_brackets(fresh), ("bracket", "spawn"))

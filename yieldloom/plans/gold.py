@@ -180,6 +180,9 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
         "hunt_kills_h": kills.kills_enriched(kill_rows, usable),
         "creature_value": values,
         "spawn_profit": profit_table,
+        "missing_values": kills.missing_values(
+            sessions.with_bracket_sets(calibration, brackets=s.brackets, when=fresh), kill_rows, values
+        ),
         "spawn_loot": kills.spawn_loot(
             calibration, kill_rows, silver.creature_items, values, price_table,
             demand.demand_marks(silver.imbuing, silver.delivery),

@@ -865,3 +865,9 @@ oracle(
        QUALIFY row_number() OVER (ORDER BY year(o_orderdate) DESC) <= 3""",
 )
 oracle("guide_list", "SELECT spawn, bracket, lo AS profit_lo, hi AS profit_hi, source, source_date FROM guides", "guides")
+oracle(
+    "missing_values",
+    f"""SELECT bracket, spawn, creature, {ratio('avg_rate', '1000000000', 1)} AS avg_kills_h FROM mean_rates
+       WHERE value_per_kill IS NULL OR length(creature) % 2 = 1""",
+    "mean_rates",
+)
