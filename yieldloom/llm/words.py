@@ -132,15 +132,28 @@ def rolling_short(numbers: np.ndarray, words: int) -> np.ndarray:
     return mix(total)
 
 
+def slices(texts: list[bytes], limit: int = 4 * GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold about so many bytes."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > limit:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text) + 1
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Each text's distinct shingles, ascending as signed numbers."""
-    numbers, offsets = word_numbers(texts)
-    rolled = rolling_shingles(numbers).view(np.int64)
-    for begin, end in zip(offsets[:-1], offsets[1:]):
-        if end - begin >= SHINGLE:
-            yield np.unique(rolled[begin : end - SHINGLE + 1])
-        else:
-            yield rolling_short(numbers[begin:end], int(end - begin)).view(np.int64)
+    for low, high in slices(texts):
+        numbers, offsets = word_numbers(texts[low:high])
+        rolled = rolling_shingles(numbers).view(np.int64)
+        for begin, end in zip(offsets[:-1], offsets[1:]):
+            if end - begin >= SHINGLE:
+                yield np.unique(rolled[begin : end - SHINGLE + 1])
+            else:
+                yield rolling_short(numbers[begin:end], int(end - begin)).view(np.int64)
 
 
 def byte_texts(column) -> list[bytes]:
