@@ -19,7 +19,7 @@ def model():
 
 @pytest.mark.parametrize(
     "disguise, word",
-    [("1d10t", "idiot"), ("idiooot", "idiot"), ("m0r0n", "moron"), ("p@th3t!c", "pathetic"), ("p4thetic", "pathetic"), ("id*ot", "idiot"), ("i-d-i-o-t", "idiot"), ("mmmorooonn", "moron")],
+    [("1d10t", "idiot"), ("idiooot", "idiot"), ("m0r0n", "moron"), ("p@th3t!c", "pathetic"), ("p4thetic", "pathetic"), ("id*ot", "idiot"), ("i-d-i-o-t", "idiot"), ("mmmorooonn", "moron"), ("1d107", "idiot"), ("mmoorroonn", "moron"), ("i*iot", "idiot")],
 )
 def test_restores(model, disguise, word):
     core = toxicity.disguised(disguise)

@@ -22,6 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from string import ascii_lowercase
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,7 @@ WORD_SHARE = 2.0**-17
 ORDER = 5
 BEAM = 16
 #: Words and tokens a task remembers; beyond this it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 BEGINNINGS = (3, 4, 5, 6)
 LEAST_G = 24.0
 LEAST_PURITY = 0.5
@@ -49,7 +50,7 @@ WILD = "*#%?•"
 VOWELS = "aeiou"
 LETTERS = re.compile(r"[^\W\d_]+")
 ONE_BY_ONE = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
-THRICE = re.compile(r"([^\W\d_])\1\1")
+DRAWN_OUT = re.compile(r"([^\W\d_])\1\1|(?:([^\W\d_])\2){3}")
 
 
 class CharModel:
@@ -79,6 +80,8 @@ class CharModel:
                     break
                 weight = total / (total + 20.0)
                 chance = (1 - weight) * chance + weight * self.counts.get(own + c, 0) / total
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
             found = self.known[context, c] = math.log(chance)
         return found
 
@@ -100,7 +103,7 @@ def _options(unit: str, spaced: bool) -> list[list[tuple[str, float]]]:
             if spaced:
                 options += [(" " + x, math.log(0.6 / len(letters)) - 2.0) for x in letters]
         elif c in WILD:
-            options = [("", -1.5)] + [(x, -3.0) for x in VOWELS]
+            options = [("", -1.5)] + [(x, -3.0 if x in VOWELS else -4.0) for x in ascii_lowercase]
         else:
             options = [("", -0.7)]
         out.append(options)
@@ -135,10 +138,10 @@ def disguised(token: str) -> str | None:
     core = token.strip(".,;:\"'()[]{}…")
     core = re.sub(r"^([^\w\s])\1+|([^\w\s])\2+$", "", core)  # a run of one sign around a word
     if core.isalpha():
-        return core if THRICE.search(core) else None
+        return core if DRAWN_OUT.search(core) else None
     letters = sum(c.isalpha() for c in core)
     likely = sum(c.isalpha() or c in LOOKS_LIKE or c in WILD for c in core)
-    if letters < 1 or likely < 3 or letters * 3 < len(core):
+    if letters < 1 or likely < 3 or letters * 5 < len(core):
         return None
     return core
 
@@ -199,7 +202,8 @@ class Scorer:
         lower = text.lower()
         best = max(map(self._token, set(lower.split())), default=0.0)
         for m in ONE_BY_ONE.finditer(lower):
-            if sum(c.isalpha() for c in m[0]) >= 2 and len(set(m[0])) > 3:
+            seen = set(m[0])
+            if len(seen) > 3 and any(c.isalpha() for c in seen) and sum(c.isalpha() or c in LOOKS_LIKE for c in m[0]) >= 3:
                 for word in restore(m[0], self.model, spaced=True).split():
                     best = max(best, self._word(word))
         return round(best, 4)
