@@ -22,26 +22,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import small
+
 LONG_PIECE = 512
-#: Known pieces that a worker process keeps for its later batches and tasks; beyond this it starts anew.
-KNOWN_PIECES = 1_000_000
-#: Token rows that one decoding query aggregates.
-DECODE_ROWS = 1_000_000
+#: Known pieces that a task keeps for its later batches; beyond this it starts anew.
+KNOWN_PIECES = 300_000
+#: Pieces that one encoding query takes, and token rows that one decoding query aggregates.
+QUERY_PIECES = 10_000
+DECODE_ROWS = 400_000
 
 ENCODE = """
 WITH RECURSIVE parts AS (
-    SELECT piece, pos, id, 0 AS round FROM start
+    SELECT piece, pos, id, pos + 1 AS following, 0 AS round FROM start
     UNION ALL
-    SELECT piece, pos, CASE WHEN best = own THEN merged ELSE id END, round + 1
-    FROM (
-        SELECT *, min(own) OVER (PARTITION BY piece) AS best, lag(own) OVER (PARTITION BY piece ORDER BY pos) AS own_before
-        FROM (
-            SELECT t.*, m.merged, m.merged::BIGINT * 4294967296 + pos AS own
-            FROM (SELECT *, lead(id) OVER (PARTITION BY piece ORDER BY pos) AS next_id FROM parts) t
-            LEFT JOIN merges m ON m.first = t.id AND m.second = t.next_id
-        )
-    )
-    WHERE best IS NOT NULL AND (own_before IS NULL OR own_before <> best)
+    SELECT p.piece, p.pos, CASE WHEN p.pos = best.pos THEN best.merged ELSE p.id END,
+        CASE WHEN p.pos = best.pos THEN best.beyond ELSE p.following END, p.round + 1
+    FROM parts p JOIN (
+        SELECT one.piece, min(m.merged) AS merged,
+            arg_min(one.pos, m.merged::BIGINT * 4294967296 + one.pos) AS pos,
+            arg_min(two.pos, m.merged::BIGINT * 4294967296 + one.pos) AS gone,
+            arg_min(two.following, m.merged::BIGINT * 4294967296 + one.pos) AS beyond
+        FROM parts one
+        JOIN parts two ON two.pos = one.following AND two.piece = one.piece
+        JOIN merges m ON m.first = one.id AND m.second = two.id
+        GROUP BY one.piece
+    ) best ON best.piece = p.piece
+    WHERE p.pos <> best.gone
 )
 SELECT piece, id FROM parts WHERE (piece, round) IN (SELECT (piece, max(round)) FROM parts GROUP BY piece) ORDER BY piece, pos
 """
@@ -65,7 +71,7 @@ class Numbers(dict):
 
 
 class Tokenizer:
-    """One worker process's tokenizer: a DuckDB with the merge table and the vocabulary, and the pieces met so far."""
+    """A DuckDB with the merge table and the vocabulary, and the pieces that the task has met so far."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -74,7 +80,7 @@ class Tokenizer:
         self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
         self.pattern_text = pattern
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         pairs = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
             for token, rank in self.ranks.items()
@@ -87,7 +93,7 @@ class Tokenizer:
         self._table("vocabulary", id=pa.array(list(self.ranks.values()), pa.int32()), chars=[t.decode("latin-1") for t in self.ranks])
         self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
         self.long = None
-        self._forget()
+        self.forget()
 
     def _table(self, name: str, **columns) -> None:
         rows = pa.table(columns)
@@ -95,7 +101,8 @@ class Tokenizer:
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.con.unregister("given")
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the pieces met so far; the merge table and the vocabulary stay."""
         self.number = Numbers()
         self.ends = np.zeros(1, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
@@ -123,10 +130,9 @@ class Tokenizer:
         if rest:
             lengths = np.array([len(raw[i]) for i in rest])
             data = np.frombuffer(b"".join([raw[i] for i in rest]), np.uint8)
-            firsts = np.cumsum(lengths) - lengths
             start = pa.table({
                 "piece": np.repeat(np.arange(len(rest), dtype=np.int32), lengths),
-                "pos": (np.arange(len(data)) - np.repeat(firsts, lengths)).astype(np.int32),
+                "pos": np.arange(len(data), dtype=np.int32),  # over all pieces, so that a place names a row
                 "id": self.of_byte[data],
             })
             self.con.register("start", start)
@@ -142,7 +148,7 @@ class Tokenizer:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.number) > KNOWN_PIECES:
-            self._forget()
+            self.forget()
         number, known = self.number, len(self.number)
         cut = []
         for text in texts:
@@ -150,8 +156,8 @@ class Tokenizer:
             cut.append(np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces)))
         if len(number) > known:
             new = list(number)[known:]
-            for at in range(0, len(new), 50_000):
-                self._learn(new[at : at + 50_000])
+            for at in range(0, len(new), QUERY_PIECES):
+                self._learn(new[at : at + QUERY_PIECES])
         out = []
         for pieces in cut:
             begin = self.ends[pieces]
@@ -186,7 +192,7 @@ class Tokenizer:
 
 
 def worker_tokenizer(path: str, pattern: str) -> Tokenizer:
-    """The tokenizer of this worker process: Spark uses a process for many tasks, and most pieces come again."""
+    """The tokenizer of this worker process: Spark uses a process for many tasks, and the tables take time to load."""
     import sys
     import types
 
@@ -221,7 +227,7 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = None
-        for batch in batches:
+        for batch in small(batches):
             tokenizer = tokenizer or worker_tokenizer(path, pattern)
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for begin, end in _slices(texts):
@@ -230,6 +236,8 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
                 if decoded:
                     columns["decoded"] = pa.array(tokenizer.decode(ids), pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
+        if tokenizer:
+            tokenizer.forget()
 
     out = rows.mapInArrow(run, f"key {kind}, ids array<int>" + ", decoded binary" * decoded)
     return out.withColumnRenamed("key", key)
@@ -242,7 +250,7 @@ def decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = None
-        for batch in batches:
+        for batch in small(batches):
             tokenizer = tokenizer or worker_tokenizer(path, pattern)
             lists = [np.array([i for i in x if i is not None], dtype=np.int32) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"key": batch.column(0), "decoded": pa.array(tokenizer.decode(lists), pa.binary())})

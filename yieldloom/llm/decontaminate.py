@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .words import SHINGLE, byte_texts, mix, rolling_shingles, rolling_short, word_numbers
+from .words import SHINGLE, byte_texts, mix, rolling_shingles, rolling_short, small, word_numbers
 
 BLOCKS = 8
 RADIUS = 23
@@ -177,7 +177,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], block: list[tuple] = block) -> Iterator[pa.RecordBatch]:
             wanted = Items(block, percent)
-            for batch in batches:
+            for batch in small(batches):
                 texts = byte_texts(batch.column(1))
                 rows, out = [], []
                 at = 0

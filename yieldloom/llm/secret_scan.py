@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import save
+from .words import small
 
 # The kinds and their patterns. Keywords are in either case, by ASCII letters alone.
 KINDS = ["assign", "access", "hex", "format"]
@@ -200,7 +201,7 @@ def fit(labelled: DataFrame) -> dict[int, tuple[Automaton, float]]:
         return {}
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             kinds, own = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             yield pa.RecordBatch.from_pydict({"kind": batch.column(0), "score": pa.array([automata[k].score(v) for k, v in zip(kinds, own)], pa.float64())})
 
@@ -222,7 +223,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = []
             for own in batch.column(1).to_pylist():
                 spans = base_spans(own)
@@ -247,7 +248,7 @@ def found_secrets(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("over", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for spans in batch.column(1).to_pylist():
                 for s in spans:
@@ -283,7 +284,7 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFra
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for own in batch.column(names.index(text)).to_pylist():
                 spans = base_spans(own) if own else []

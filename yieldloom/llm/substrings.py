@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import save
-from .words import byte_texts, mix, word_numbers
+from .words import byte_texts, mix, small, word_numbers
 
 GEAR_BITS, GEAR_BELOW = 4, 3
 SHORT = 3
@@ -65,26 +65,24 @@ def _chunks(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = byte_texts(batch.column(1))
-            for low in range(0, len(texts), 1024):
-                numbers, offsets = word_numbers(texts[low : low + 1024])
-                if not len(numbers):
-                    continue
-                filled = np.flatnonzero(np.diff(offsets))
-                ends = joined_ends(chunk_ends(numbers, offsets[:-1][filled]), offsets[1:][filled])
-                sizes = np.diff(ends, prepend=0)
-                begins = ends - sizes
-                place = np.arange(len(numbers)) - np.repeat(begins, sizes)
-                digest = mix(np.add.reduceat(numbers * _PLACE[place % LONGEST_CHUNK], begins) + sizes.astype(np.uint64))
-                doc = np.searchsorted(offsets, begins, side="right") - 1
-                keep = sizes >= SHORT
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column(0).take(pa.array(low + doc[keep])),
-                    "start": pa.array((begins - offsets[doc])[keep].astype(np.int32)),
-                    "words": pa.array(sizes[keep].astype(np.int32)),
-                    "digest": pa.array(digest[keep].view(np.int64)),
-                })
+        for batch in small(batches):
+            numbers, offsets = word_numbers(byte_texts(batch.column(1)))
+            if not len(numbers):
+                continue
+            filled = np.flatnonzero(np.diff(offsets))
+            ends = joined_ends(chunk_ends(numbers, offsets[:-1][filled]), offsets[1:][filled])
+            sizes = np.diff(ends, prepend=0)
+            begins = ends - sizes
+            place = np.arange(len(numbers)) - np.repeat(begins, sizes)
+            digest = mix(np.add.reduceat(numbers * _PLACE[place % LONGEST_CHUNK], begins) + sizes.astype(np.uint64))
+            doc = np.searchsorted(offsets, begins, side="right") - 1
+            keep = sizes >= SHORT
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0).take(pa.array(doc[keep])),
+                "start": pa.array((begins - offsets[doc])[keep].astype(np.int32)),
+                "words": pa.array(sizes[keep].astype(np.int32)),
+                "digest": pa.array(digest[keep].view(np.int64)),
+            })
 
     return docs.mapInArrow(run, f"doc_id {kind}, start int, words int, digest long")
 
@@ -95,7 +93,7 @@ def _beside(docs: DataFrame, places: DataFrame, passage_words: int) -> DataFrame
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows, starts, sizes, before, behind = [], [], [], [], []
             for i, (text, own) in enumerate(zip(byte_texts(batch.column(1)), batch.column(2).to_pylist())):
                 numbers = word_numbers([text])[0].astype(np.uint32)
@@ -139,7 +137,7 @@ def _grown(docs: DataFrame, runs: DataFrame, shared: DataFrame, passage_words: i
         return int(differ.argmax()) if differ.any() else n
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [batch.column(name).to_pylist() for name in ("before", "other_before", "behind", "other_behind")]
             left = np.array([equal(a, b) for a, b in zip(texts[0], texts[1])], dtype=np.int64)
             right = np.array([equal(a, b) for a, b in zip(texts[2], texts[3])], dtype=np.int64)

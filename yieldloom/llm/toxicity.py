@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import save
-from .words import byte_texts, shingle_sets
+from .words import byte_texts, shingle_sets, small
 
 SAMPLE = 12_000
 WORD_SHARE = 2.0**-17
@@ -221,7 +221,7 @@ def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = save(docs.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text")), "labelled")
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             marks = [int(s[0]) if len(s) else 0 for s in shingle_sets(byte_texts(batch.column(2)))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64())], names=[*batch.schema.names, "mark"])
 
@@ -236,7 +236,7 @@ def _feature_counts(training: DataFrame) -> DataFrame:
     """Rows ``(feature, pos, neg)``: documents that hold a feature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, 4096):
             pos, neg = Counter(), Counter()
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = set(LETTERS.findall(text.lower()))
@@ -262,7 +262,7 @@ def _common_words(docs: DataFrame) -> dict[str, int]:
             counts.clear()
             return made
 
-        for batch in batches:
+        for batch in small(batches):
             for text in byte_texts(batch.column(0)):
                 counts.update(text.lower().split())
                 if len(counts) > 2 * REMEMBERED:
@@ -305,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     scorer = Scorer(chances, CharModel(words))
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             scores = [scorer.raw(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"toxic": batch.column(0), "raw": pa.array(scores, pa.float64())})
 
@@ -323,7 +323,7 @@ def scored(df: DataFrame, scorer: Scorer, text: str = "text", column: str = "sco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in small(batches):
             scores = [own.score(t or "") for t in batch.column(names.index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, column])
 

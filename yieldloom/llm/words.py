@@ -156,6 +156,13 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
                 yield rolling_short(numbers[begin:end], int(end - begin)).view(np.int64)
 
 
+def small(batches: Iterator, rows: int = 512) -> Iterator:
+    """Arrow batches in parts of so many rows: long texts are held as Python objects a part at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def byte_texts(column) -> list[bytes]:
     """An Arrow column of strings as bytes; null is empty."""
     import pyarrow as pa
