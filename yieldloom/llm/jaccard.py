@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import save
 from .interim import release
 from .graph import components
-from .words import byte_texts, shingle_sets
+from .words import byte_texts, shingle_sets, small
 
 #: A shingle is costly from this share of all prefix rows on, and from this number of documents on.
 COSTLY_SHARE = 2.0**-20
@@ -90,7 +90,7 @@ def _costly(docs: DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = sent.value
-            for batch in batches:
+            for batch in small(batches):
                 parts, size = [], 0
                 for s in shingle_sets(byte_texts(batch.column(0))):
                     size_of = len(s) - _need(len(s), percent) + 1 if len(s) else 0
@@ -168,9 +168,8 @@ def _signatures(docs: DataFrame, percent: int, costly: tuple[np.ndarray, np.ndar
         })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                yield of_rows(batch.slice(low, 1024))
+        for batch in small(batches, 1024):
+            yield of_rows(batch)
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, node long, ell int, base int, heat int, prefix array<long>")
 
@@ -183,7 +182,7 @@ def _whole_sets(docs: DataFrame, signatures: DataFrame, nodes: DataFrame) -> Dat
         wanted = F.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             for s in shingle_sets(byte_texts(batch.column(0))):
                 if len(s):
                     yield pa.RecordBatch.from_pydict({
@@ -228,6 +227,7 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     rows = keyed.select("node", F.posexplode("prefix").alias("pos", "shingle"))
     shared = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     shared = save(shared.select("shingle"), "shared-shingles")
+    release(docs.sparkSession)
     live = rows.join(shared, "shingle").dropDuplicates(["shingle", "node"])
     facts = keyed.select("node", "n", "ell", "heat").distinct()
     live = save(live.join(facts, "node"), "shared-prefixes")
@@ -238,6 +238,7 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     for turn in range(HUB_ROUNDS):
         if turn:
             open_rows = save(_contested(open_rows, links), "open-prefixes")
+            release(docs.sparkSession)
         # Documents in the middle of a group of copies first, and others each turn.
         luck = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(200)) if turn else F.lit(0)
         hub = F.max(F.struct((F.col("heat") + luck).alias("lot"), F.xxhash64("node", F.lit(turn)).alias("tie"), "node", "root", "n")).alias("hub")
@@ -265,6 +266,7 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     largest = largest.groupBy("shingle").agg(F.max(F.struct("held", "root")).alias("largest"))
     open_rows = open_rows.join(largest.select("shingle", F.col("largest.root").alias("largest")), "shingle")
     open_rows = save(open_rows, "open-prefixes")
+    release(docs.sparkSession)
     x, y = open_rows.filter("root <> largest").alias("x"), open_rows.alias("y")
     need = _overlap(F.col("x.n"), F.col("y.n"), percent)
     ell = F.least("x.ell", "y.ell")
@@ -277,6 +279,7 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     counts = met.groupBy(low.alias("a"), high.alias("b")).agg(F.count(F.lit(1)).alias("times"), F.first(ell).alias("ell"))
     pairs = save(counts.filter("times >= ell").select("a", "b"), "rest-pairs")
     sets = _with_sets(docs, signatures, pairs, sets)
+    release(docs.sparkSession)
     found = save(_verified(pairs, sets, percent), "links")
     return found if links is None else links.unionByName(found)
 
