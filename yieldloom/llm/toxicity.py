@@ -174,6 +174,11 @@ class Scorer:
         self.curve: list[tuple[float, float]] = []
         self.tokens: dict[str, float] = {}
 
+    def forget(self) -> None:
+        """Drop what tokens are worth; a worker process keeps the scorer for later tasks."""
+        self.tokens.clear()
+        self.model.known.clear()
+
     def _word(self, word: str) -> float:
         return max((self.chances.get(f, 0.0) for f in features_of(word)), default=0.0)
 
@@ -326,6 +331,7 @@ def scored(df: DataFrame, scorer: Scorer, text: str = "text", column: str = "sco
         for batch in small(batches):
             scores = [own.score(t or "") for t in batch.column(names.index(text)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, column])
+        own.forget()
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{kind}, `{column}` double")

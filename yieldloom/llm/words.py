@@ -7,7 +7,9 @@ of a corpus of 10^12 get the same number with a chance of about 10^-8 for any gi
 
 from __future__ import annotations
 
+import ctypes
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,10 +159,25 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
 
 
 def small(batches: Iterator, rows: int = 512) -> Iterator:
-    """Arrow batches in parts of so many rows: long texts are held as Python objects a part at a time."""
+    """Arrow batches in parts of so many rows: long texts are held as Python objects a part at a time.
+
+    Behind the last one the task's freed memory goes back to the system, since Spark keeps its worker processes.
+    """
     for batch in batches:
         for low in range(0, batch.num_rows, rows):
             yield batch.slice(low, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that Arrow and the C library hold unused back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def byte_texts(column) -> list[bytes]:
