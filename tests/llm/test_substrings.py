@@ -53,3 +53,36 @@ def test_cuts_what_others_keep(spark):
 
 def test_empty_table(spark):
     assert substrings.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_whoever_else_holds_the_parts(spark):
+    rng = random.Random(9)
+    own = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    docs, wanted = {}, {}
+    for at in range(0, 3000, 1000):
+        p = own(60)
+        for other, part in ((1, p[:30]), (900, p[:30]), (2, p[30:]), (901, p[30:])):
+            docs[at + other] = own(20) + part + own(20)
+        docs[at + 50], docs[at + 60] = own(13) + p + own(8), own(31) + p + own(5)
+        wanted |= {at + 50: (13, 60, at + 60, True), at + 60: (31, 60, at + 50, False)}
+    # Passages in one document twice, and behind a text's begin and before its end.
+    p = own(50)
+    docs |= {5000: p + own(3) + p, 5001: own(4) + p, 5002: own(70)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    found = [(r["doc_id"], tuple(r)[1:]) for r in substrings.repeated_passages(df).collect()]
+    assert sorted(found) == sorted([*wanted.items(), (5000, (0, 50, 5001, True)), (5000, (53, 50, 5001, True)), (5001, (4, 50, 5000, False))])
+
+
+def test_every_shared_window_is_found(spark):
+    rng = random.Random(11)
+    docs = []
+    for _ in range(150):
+        p = [rng.choice("abcdefghijklmnopq") for _ in range(50)]
+        docs += [[rng.choice("rstuv") for _ in range(rng.randrange(12))] + p + [rng.choice("wxyz") for _ in range(rng.randrange(12))] for _ in range(2)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {(r["doc_id"], r["start_word"] + k) for r in substrings.repeated_passages(df).collect() for k in range(r["n_words"] - 49)}
+    holders = {}
+    for i, w in enumerate(docs):
+        for k in range(len(w) - 49):
+            holders.setdefault(tuple(w[k : k + 50]), []).append((i, k))
+    assert got == {place for places in holders.values() if len({i for i, _ in places}) > 1 for place in places}

@@ -2,10 +2,13 @@
 
 A gear hash rolls over a text's words: it is doubled, and the next word's number is added. A chunk ends where the hash's low
 four bits are below three, so an end depends on four words alone, and chunks find their places again behind an insertion.
-Chunks of one or two words say little and are joined to the next one. Chunks are compared by digest. A run of chunks that
-another document holds as well is a passage. Runs of ``passage_words`` or more are proven by their digests; shorter ones,
-down to ``LEAST_RUN`` words, are grown word by word against the other document, since a passage's first and last chunk
-usually reach beyond it, and stay if they reach ``passage_words``. Only the words beside a run are moved for that.
+Chunks of one or two words say little and are joined to the next one. Chunks are compared by digest.
+
+Where a window of ``passage_words`` words stands in two documents, its chunks stand in both: all but those that begin in its
+first ``SETTLES`` words, where what lies before still decides, or end with the text. Windows with a chunk that no other
+document holds are therefore out. The digests of all other windows are compared, with every document that holds them, so a
+passage is found whoever else holds its parts. Runs of windows that share the other document are a passage. Results are exact
+up to 64-bit hashes.
 
 The first document by id keeps a passage, the others repeat it. Null or empty texts hold no passage, and rows without a
 ``doc_id`` are not compared. Rows that repeat are the same document. Passages that occur within one document only
@@ -18,19 +21,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import save
+from .interim import release
 from .words import byte_texts, mix, small, word_numbers
 
 GEAR_BITS, GEAR_BELOW = 4, 3
 SHORT = 3
-LEAST_RUN = 10
+#: Words after which the ends of chunks no longer depend on what lies before a window.
+SETTLES = GEAR_BITS + SHORT - 1
 LONGEST_CHUNK = 4096
 
 _RNG = np.random.default_rng(7)
 _PLACE = _RNG.integers(1, 2**63, LONGEST_CHUNK, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = int(_RNG.integers(1, 2**62)) * 4 + 3
+_BACK = pow(_STEP, -1, 2**64)
 
 
 def chunk_ends(numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -87,107 +94,74 @@ def _chunks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, start int, words int, digest long")
 
 
-def _beside(docs: DataFrame, places: DataFrame, passage_words: int) -> DataFrame:
-    """Adds ``before`` (nearest first) and ``behind``: 32 bits of each word beside the places ``(doc_id, start, words)``."""
-    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("start", "words")).alias("places"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            rows, starts, sizes, before, behind = [], [], [], [], []
-            for i, (text, own) in enumerate(zip(byte_texts(batch.column(1)), batch.column(2).to_pylist())):
-                numbers = word_numbers([text])[0].astype(np.uint32)
-                for place in own:
-                    start, words = place["start"], place["words"]
-                    if start + words > len(numbers):
-                        continue  # another text under the same id
-                    need = passage_words - words
-                    rows.append(i)
-                    starts.append(start)
-                    sizes.append(words)
-                    before.append(numbers[max(0, start - need) : start][::-1].tobytes())
-                    behind.append(numbers[start + words : start + words + need].tobytes())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0).take(pa.array(rows, pa.int64())), "start": pa.array(starts, pa.int32()),
-                "words": pa.array(sizes, pa.int32()), "before": pa.array(before, pa.binary()), "behind": pa.array(behind, pa.binary()),
-            })
-
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "places")
-    return texts.mapInArrow(run, f"doc_id {kind}, start int, words int, before binary, behind binary")
-
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
-def _grown(docs: DataFrame, runs: DataFrame, shared: DataFrame, passage_words: int) -> DataFrame:
-    """Short runs grown against the other document; those that reach a passage's length."""
-    spots = shared.select(F.col("doc_id").alias("other"), "digest", F.col("start").alias("other_start"))
-    runs = runs.join(spots, ["other", "digest"]).groupBy("doc_id", "start", "words", "other").agg(F.min("other_start").alias("other_start"))
-    runs = save(runs, "short-runs")
-    places = runs.select("doc_id", "start", "words").unionByName(
-        runs.select(F.col("other").alias("doc_id"), F.col("other_start").alias("start"), "words")
-    )
-    beside = save(_beside(docs, places.distinct(), passage_words), "beside-runs")
-    others = beside.select(
-        F.col("doc_id").alias("other"), F.col("start").alias("other_start"), "words",
-        F.col("before").alias("other_before"), F.col("behind").alias("other_behind"),
-    )
-    met = runs.join(beside, ["doc_id", "start", "words"]).join(others, ["other", "other_start", "words"])
 
-    def equal(a: bytes, b: bytes) -> int:
-        n = min(len(a), len(b)) // 4
-        differ = np.frombuffer(a, np.uint32, n) != np.frombuffer(b, np.uint32, n)
-        return int(differ.argmax()) if differ.any() else n
+def _windows(docs: DataFrame, shared: DataFrame, passage_words: int) -> DataFrame:
+    """Rows ``(doc_id, start, digest)`` of all windows without a chunk of their document's own."""
+    known = shared.groupBy("doc_id").agg(F.collect_set("start").alias("known"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            texts = [batch.column(name).to_pylist() for name in ("before", "other_before", "behind", "other_behind")]
-            left = np.array([equal(a, b) for a, b in zip(texts[0], texts[1])], dtype=np.int64)
-            right = np.array([equal(a, b) for a, b in zip(texts[2], texts[3])], dtype=np.int64)
-            start, words = (np.array(batch.column(name).to_pylist(), dtype=np.int64) for name in ("start", "words"))
-            long = left + words + right >= passage_words
-            rows = pa.array(np.flatnonzero(long))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(rows), "other": batch.column("other").take(rows),
-                "start": pa.array((start - left)[long].astype(np.int32)), "words": pa.array((left + words + right)[long]),
-            })
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    met = met.select("doc_id", "other", "start", "words", "before", "other_before", "behind", "other_behind")
-    return met.mapInArrow(grow, f"doc_id {kind}, other {kind}, start int, words long")
+            for i, (text, own) in enumerate(zip(byte_texts(batch.column(1)), batch.column(2))):
+                numbers = word_numbers([text])[0]
+                n = len(numbers)
+                if n < passage_words:
+                    continue
+                ends = joined_ends(chunk_ends(numbers, np.zeros(1, np.int64)), np.array([n]))
+                begins = np.concatenate([[0], ends[:-1]])
+                alone = ends < n
+                if own.is_valid:
+                    alone &= ~np.isin(begins, np.asarray(own.values))
+                # A window that begins from end - passage_words to begin - SETTLES holds the chunk.
+                first = np.maximum(ends[alone] - passage_words, 0)
+                behind = begins[alone] - SETTLES + 1
+                some = behind > first
+                marks = np.zeros(n + 1, dtype=np.int64)
+                np.add.at(marks, first[some], 1)
+                np.add.at(marks, behind[some], -1)
+                starts = np.flatnonzero(np.cumsum(marks)[: n - passage_words + 1] == 0)
+                if not len(starts):
+                    continue
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers * _powers(_STEP, n), dtype=np.uint64)])
+                digest = mix((sums[starts + passage_words] - sums[starts]) * _powers(_BACK, n)[starts])
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column(0).take(pa.array(np.full(len(starts), i))),
+                    "start": pa.array(starts.astype(np.int32)), "digest": pa.array(digest.view(np.int64)),
+                })
+
+    texts = docs.join(known, "doc_id", "left").select("doc_id", "text", "known")
+    return texts.mapInArrow(run, f"doc_id {kind}, start int, digest long")
 
 
 def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", passage_words: int = 50) -> DataFrame:
     """Rows ``(key, start_word, n_words, other, keeps)``: passages that another document holds as well.
 
-    ``other`` is the smallest other document that holds the passage's chunks, or the greatest for the document that
-    keeps it; ``keeps`` is true in the first document by id. A passage may go on beyond what is given by part of a chunk.
+    ``other`` is the smallest document that holds each of the passage's windows of ``passage_words`` words, or the greatest
+    for the document that keeps them; ``keeps`` is true in the first document by id. Passages with different ``other``
+    may overlap.
     """
+    spark = df.sparkSession
     docs = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null")
     chunks = save(_chunks(docs), "chunks")
-    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high")
-    shared = save(chunks.join(shared, "digest").dropDuplicates(["doc_id", "start"]), "shared-chunks")
-    order = Window.partitionBy("doc_id").orderBy("start")
-
-    def goes_on(side: str) -> Column:
-        return (F.lag(side).over(order) == F.col(side)) & (F.col(side) != F.col("doc_id"))
-
-    goes = (F.lag(F.col("start") + F.col("words")).over(order) == F.col("start")) & (goes_on("low") | goes_on("high"))
-    numbered = shared.withColumn("opens", F.coalesce((~goes).cast("int"), F.lit(1)))
-    numbered = numbered.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    other = F.when(F.col("low") == F.col("doc_id"), F.col("high")).otherwise(F.col("low"))
-    runs = numbered.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"),
-        F.sum("words").cast("int").alias("words"),
-        F.min(other).alias("other"),
-        F.min("low").alias("low"),
-        F.min_by("digest", "start").alias("digest"),
-    )
-    runs = save(runs.filter(F.col("words") >= LEAST_RUN), "runs").withColumn("keeps", F.col("low") == F.col("doc_id"))
-    proven = runs.filter(F.col("words") >= passage_words).select("doc_id", "start", F.col("words").cast("long").alias("words"), "other", "keeps")
-    short = runs.filter(F.col("words") < passage_words).select("doc_id", "start", "words", "other", "digest")
-    grown = _grown(docs, short, shared.select("doc_id", "digest", "start"), passage_words)
-    grown = grown.withColumn("keeps", F.col("doc_id") < F.col("other")).select("doc_id", "start", "words", "other", "keeps")
-    return proven.unionByName(grown).select(
-        F.col("doc_id").alias(key), F.col("start").cast("long").alias("start_word"), F.col("words").alias("n_words"), "other", "keeps"
-    ).distinct()
+    held = chunks.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high")
+    shared = save(chunks.join(held.select("digest"), "digest").select("doc_id", "start"), "shared-chunks")
+    release(spark)
+    windows = save(_windows(docs, shared, passage_words), "windows")
+    release(spark)
+    held = windows.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high")
+    held = save(held, "shared-windows")
+    release(spark)
+    keeps = F.col("low") == F.col("doc_id")
+    met = windows.join(held, "digest").select("doc_id", "start", F.when(keeps, F.col("high")).otherwise(F.col("low")).alias("other"), keeps.alias("keeps"))
+    order = Window.partitionBy("doc_id", "other", "keeps").orderBy("start")
+    runs = met.withColumn("run", F.col("start") - F.dense_rank().over(order)).groupBy("doc_id", "other", "keeps", "run")
+    runs = runs.agg(F.min("start").cast("long").alias("start_word"), (F.max("start") - F.min("start") + passage_words).cast("long").alias("n_words"))
+    return runs.select(F.col("doc_id").alias(key), "start_word", "n_words", "other", "keeps")
 
 
 def without_repeats(df: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
