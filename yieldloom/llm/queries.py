@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, class_lm, decontaminate, embeddings, jaccard, secret_scan, substrings, toxicity, wrappers
+from . import (
+    bpe,
+    chat,
+    class_lm,
+    collocations,
+    decontaminate,
+    embeddings,
+    jaccard,
+    packing,
+    secret_scan,
+    substrings,
+    toxicity,
+    whitening,
+    wrappers,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE_FILE = "word_bpe_49k.json"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -179,3 +194,54 @@ def op3_lm_scoring(spark, sf_dir):
 @query
 def op1_html_extraction(spark, sf_dir):
     return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
+# The SQL oracle has no eigenvectors; tests hold the query against numpy's dense solvers.
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), runs AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM runs
+), grams AS (
+    SELECT lang, w[i:i] AS p FROM places
+    UNION ALL SELECT lang, w[i:i + 1] FROM places WHERE i + 1 <= len(w)
+    UNION ALL SELECT lang, w[i:i + 2] FROM places WHERE i + 2 <= len(w)
+), f AS MATERIALIZED (SELECT lang, p, count(*)::HUGEINT AS a FROM grams GROUP BY ALL),
+whole AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, p, a FROM f WHERE len(p) >= 2 AND a >= 10),
+longest AS (
+    SELECT lang, p, max(a) AS longest FROM (
+        SELECT lang, p[1:2] AS p, a FROM candidates WHERE len(p) = 3 UNION ALL SELECT lang, p[2:3], a FROM candidates WHERE len(p) = 3
+    ) GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r, 1000000 * c.a * c.a // (l.a * r.a) AS score
+    FROM (SELECT *, unnest(generate_series(1, len(p) - 1)) AS k FROM candidates) c
+    JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:len(c.p)]
+), least AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), ranked AS (
+    SELECT c.lang, array_to_string(c.p, ' ') AS phrase, c.a, c.l, c.r, c.score,
+        row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, array_to_string(c.p, ' ')) AS rank
+    FROM least c LEFT JOIN longest m ON m.lang = c.lang AND m.p = c.p WHERE m.longest IS NULL OR 100 * m.longest < 50 * c.a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN whole USING (lang) WHERE rank <= 2000
+"""
+
+
+# Token ids are beyond SQL; tests hold the query against the tokenizer library and the bound of full sequences.
+@query
+def op13_best_fit_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE_FILE))
