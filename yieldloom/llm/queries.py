@@ -213,12 +213,9 @@ WITH pieces AS (
     FROM documents
 ), runs AS (
     SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
-), places AS (
-    SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM runs
 ), grams AS (
-    SELECT lang, w[i:i] AS p FROM places
-    UNION ALL SELECT lang, w[i:i + 1] FROM places WHERE i + 1 <= len(w)
-    UNION ALL SELECT lang, w[i:i + 2] FROM places WHERE i + 2 <= len(w)
+    SELECT lang, unnest(list_transform(w, lambda x: [x]) || list_zip(w[:-2], w[2:]).list_transform(lambda z: [z[1], z[2]])
+        || list_zip(w[:-3], w[2:-2], w[3:]).list_transform(lambda z: [z[1], z[2], z[3]])) AS p FROM runs
 ), f AS MATERIALIZED (SELECT lang, p, count(*)::HUGEINT AS a FROM grams GROUP BY ALL),
 whole AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY lang),
 candidates AS MATERIALIZED (SELECT lang, p, a FROM f WHERE len(p) >= 2 AND a >= 10),
