@@ -77,6 +77,13 @@ def test_parts_of_long_texts_and_forgetting(spark, monkeypatch):
     assert list(next(encoder.texts([long.encode()], 0))) == ids_of(long)
 
 
+def test_words_of_latin_letters():
+    letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+    words = [a + b + tail for a in letters for b in "aZéÿßÅ" for tail in ("", ".", "),", "'s", "$$$", "\u0301", "…")]
+    encoder = packing.Encoder(PATH)
+    assert [list(x) for x in encoder.texts([w.encode() for w in words], 0)] == [ids_of(w) for w in words]
+
+
 def test_common_length_and_repeated_ids(spark, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK_ROWS", 7)
     rows = [(None, "one two three")] * 50 + [(1, "one two three")] * 30 + [(i, "four") for i in range(40)]

@@ -18,6 +18,7 @@ tokens inside a text are what the tokenizer file makes of them.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,11 +33,22 @@ from ..session import save
 from .words import GROUP_BYTES, _parts, byte_texts, small
 
 #: Chunks between white space whose ids a task remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST_CHUNK = 400_000, 200
+REMEMBERED, LONGEST_CHUNK = 600_000, 200
+#: A word that the tokenizer's rules leave in one piece but for its case, and marks behind it that they take together.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{}~]*)")
 #: Pieces of one length that are numbered in one go, and the most blocks a length is dealt into.
 BLOCK_ROWS, MOST_BLOCKS = 1000, 10_000
 
 
+def _byte_letters() -> dict[int, int]:
+    """Letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 @dataclass(frozen=True)
 class Capacities:
     """What a sequence holds. The defaults of documents and attention never bind before the tokens do."""
@@ -78,15 +90,30 @@ class Encoder:
 
     def _forget(self) -> None:
         self.numbers: dict[bytes, int] = {}
+        self.tails: dict[str, list[int]] = {}
         self.flat, self.begins = array("I"), array("q", [0])
 
+    def _coded(self, chunk: str) -> list[int]:
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+
     def _learn(self, chunks: list[bytes]) -> None:
-        for low in range(0, len(chunks), 4096):
-            part = chunks[low : low + 4096]
-            for chunk, coded in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
-                self.numbers[chunk] = len(self.begins) - 1
-                self.flat.extend(coded.ids)
-                self.begins.append(len(self.flat))
+        """Plain words go to the tokenizer's model at once, which is what its rules would hand on; others through the rules."""
+        model, tails = self.tokenizer.model, self.tails
+        for chunk in chunks:
+            text = chunk.decode()
+            plain = _PLAIN.fullmatch(text)
+            if plain:
+                word, tail = plain.groups()
+                ids = [t.id for t in model.tokenize(word.lower().encode().decode("latin-1").translate(_BYTE_LETTERS))]
+                if tail:
+                    if tail not in tails:
+                        tails[tail] = self._coded(tail)
+                    ids += tails[tail]
+            else:
+                ids = self._coded(text)
+            self.numbers[chunk] = len(self.begins) - 1
+            self.flat.extend(ids)
+            self.begins.append(len(self.flat))
 
     def ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks in a row, and where each chunk's begin (one more entry)."""
