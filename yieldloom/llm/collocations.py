@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import save
+from .interim import release
 
 #: Positions whose stripes a task holds before they are handed on.
-HELD = 1 << 22
+HELD = 1 << 19
 #: Bytes of text that are split at once.
 SPLIT_BYTES = 1 << 20
 FILTER_BITS = 1 << 27
@@ -243,11 +244,13 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, subsumed: in
     Counts may reach 10^16.
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    stripes = save(word_stripes(texts), "word-stripes")
+    # Totals and frequent elements are all that later steps read.
+    stripes = save(word_stripes(texts).filter((F.col("next") == "") | (F.col("count") >= least)), "word-stripes")
     totals = stripes.filter("next = ''").select("lang", F.col("w1").alias("w"), "count")
     whole = totals.groupBy("lang").agg(F.sum("count").alias("n"))
     frequent = totals.filter(F.col("count") >= least)
-    pairs = save(stripes.filter((F.col("next") != "") & (F.col("count") >= least)), "frequent-pairs")
+    pairs = stripes.filter(F.col("next") != "")
+    release(docs.sparkSession)
     longer = save(pair_stripes(texts, pair_filter(pairs)).filter(F.col("count") >= least), "frequent-triples")
     first, last = (frequent.select("lang", F.col("w").alias(w), F.col("count").alias(f)) for w, f in (("w1", "f1"), ("next", "f2")))
     pairs = save(pairs.join(first, ["lang", "w1"]).join(last, ["lang", "next"]), "pairs-and-parts")
