@@ -1,8 +1,12 @@
 """Streams give the same state as their batch twins, also over several runs and after a repeated batch."""
 
+import glob
+import os
+
 from pyspark.sql import functions as F
 
 from yieldloom.operators.latest import append_new, cooled_down, latest_by_key, pending_keys, replace_rows
+from yieldloom.sources import keyed_store, snapshots
 from yieldloom.streaming import incremental
 
 SCHEMA = "id string, v int, day string"
@@ -27,23 +31,75 @@ def test_upsert_in_runs(spark, tmp_path):
         incremental.upsert_latest(stream, state, log, ["id"], ["day", "v"])
         twin = latest_by_key(spark.createDataFrame(everything, SCHEMA), ["id"], ["day", "v"])
         assert sorted(incremental.read_latest(spark, state, ["id"], ["day", "v"]).collect()) == sorted(twin.collect())
-    # A batch written again leaves the state as it was.
-    spark.createDataFrame(DAYS[1], SCHEMA).write.mode("overwrite").parquet(f"{state}/batch=1")
+    # A batch run again leaves the state as it was.
+    keyed_store.fold(spark.createDataFrame(DAYS[2], SCHEMA), state, 2, ["id"], ["day", "v"])
     assert sorted(incremental.read_latest(spark, state, ["id"], ["day", "v"]).collect()) == sorted(twin.collect())
 
 
-def test_upsert_writes_whole_states(spark, tmp_path):
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     source, state, log = (f"{tmp_path}/{n}" for n in ("in", "state", "log"))
     everything = []
-    for rows in DAYS + DAYS[::-1]:
+    for rows in DAYS + DAYS[::-1] + [[(None, 3, "d4"), (None, 4, "d1")], [("a", 9, "d9")], [("a", 1, "d9")]]:
         feed(spark, source, rows)
         everything += rows
+        before = {f for f in glob.glob(f"{state}/part=*/**/*.parquet", recursive=True)}
         incremental.upsert_latest(spark.readStream.schema(SCHEMA).parquet(source), state, log, ["id"], ["day", "v"], every=2)
-    assert incremental._numbers(spark, state, "base") == [1, 3, 5]
+        written = {f for f in glob.glob(f"{state}/part=*/**/*.parquet", recursive=True)} - before
+        assert {f.split("key_bucket=")[1].split("/")[0] for f in written} == {
+            str(r[0]) for r in spark.createDataFrame(rows, SCHEMA).select(keyed_store.bucket_of(["id"], 64)).distinct().collect()
+        }
     twin = latest_by_key(spark.createDataFrame(everything, SCHEMA), ["id"], ["day", "v"])
     now = incremental.read_latest(spark, state, ["id"], ["day", "v"])
-    assert sorted(now.collect()) == sorted(twin.collect())
-    assert all("base=5" in f for f in now.inputFiles())
+    order = lambda rows: sorted(map(str, rows))
+    assert order(now.collect()) == order(twin.collect()) and now.filter("id is null").count() == 1
+    held = keyed_store.manifest(spark, state)["buckets"]
+    assert all(len(e["deltas"]) < 2 for e in held.values()) and any(e["base"] is not None for e in held.values())
+
+
+def test_a_run_without_manifest_does_not_count(spark, tmp_path):
+    state = f"{tmp_path}/state"
+    keyed_store.fold(spark.createDataFrame(DAYS[0], SCHEMA), state, 0, ["id"], ["day", "v"])
+    spark.createDataFrame(DAYS[1], SCHEMA).withColumn("kind", F.lit("delta")).withColumn("key_bucket", F.lit(1)).write.partitionBy("kind", "key_bucket").parquet(f"{state}/part=1")
+    assert sorted(map(tuple, keyed_store.read(spark, state, ["id"], ["day", "v"]).collect())) == [("a", 2, "d1"), ("b", 1, "d1")]
+
+
+def test_deduplicated_stream_restarts_and_expires(spark, tmp_path):
+    source, out, log = (f"{tmp_path}/{n}" for n in ("in", "out", "log"))
+    schema = "id string, ts timestamp, v int"
+
+    def deliver(*rows):
+        stamped = spark.createDataFrame([(k, f"2026-01-01 00:{m:02d}:00", v) for k, m, v in rows], "id string, ts string, v int")
+        stamped.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(source)
+        incremental.append_deduplicated(spark.readStream.schema(schema).parquet(source), out, log, "id", "ts", "10 minutes")
+
+    deliver(("a", 1, 1), ("b", 2, 1), (None, 2, 1), (None, 2, 2))
+    deliver(("a", 5, 2), ("c", 5, 1), (None, 5, 3))  # a restarted query still knows "a"
+    deliver(("d", 40, 1))
+    deliver(("a", 41, 3), ("b", 41, 2), ("c", 3, 9))  # forgotten by now; the last is late
+    got = sorted((r["id"] or "", r["v"]) for r in spark.read.parquet(out).collect())
+    assert got == [("", 1), ("", 2), ("", 3), ("a", 1), ("a", 3), ("b", 1), ("b", 2), ("c", 1), ("d", 1)]
+
+
+def test_folding_captures_opens_new_days_only(spark, tmp_path):
+    root, store = f"{tmp_path}/raw", f"{tmp_path}/store"
+
+    def now():
+        return sorted((r["id"], r["v"], str(r["capture_date"])) for r in keyed_store.read(spark, store, ["id"], ["capture_date"]).collect())
+
+    def land_flat(day, rows):
+        os.makedirs(f"{root}/{day}", exist_ok=True)
+        with open(f"{root}/{day}/y.csv", "w") as f:
+            f.write("id,v\n" + "".join(f"{a},{b}\n" for a, b in rows))
+
+    fold = lambda: snapshots.fold_captures(spark, root, "y.csv", "id string, v string", store, ["id"])
+    land_flat("2026-01-02", [("a", 2), ("b", 2)])
+    land_flat("2026-01-03", [("a", 3)])
+    assert fold() == ["2026-01-02", "2026-01-03"] and fold() == []
+    land_flat("2026-01-04", [("c", 4)])
+    land_flat("2026-01-01", [("a", 1), ("d", 1)])
+    land_flat("2026-01-03", [("a", "changed, and not read again")])
+    assert fold() == ["2026-01-01", "2026-01-04"]
+    assert now() == [("a", "3", "2026-01-03"), ("b", "2", "2026-01-02"), ("c", "4", "2026-01-04"), ("d", "1", "2026-01-01")]
 
 
 def test_append_in_runs(spark, tmp_path):

@@ -15,9 +15,10 @@ from ..functions.text import (
     epoch_text, event_days, first_number, lenient_int, parse_duration, parse_money_range, parse_session_date, year_of,
 )
 from ..operators import consensus as con
-from ..operators import content, demand, events, extract, kills, latest, names, order_stats, prices, sessions, topk
+from ..operators import capture, content, demand, events, extract, kills, latest, names, order_stats, prices, sessions, topk
 from ..session import fresh_path, save
-from ..sources import documents, sinks, snapshots
+from ..sources import documents, keyed_store, sinks, snapshots
+from ..sources.capture_store import CaptureStore
 from ..streaming import incremental
 from .domain import MIN_YEAR, Domain
 
@@ -57,12 +58,52 @@ def json_snapshots(d):
     """One JSON document per year as dated snapshots: the newest three are read, the others stay closed."""
     root = fresh_path(d.spark, "json-snapshots")
     years = d.table("orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("orders"))
-    for r in years.select("year", F.to_json(F.struct("year", "orders")).alias("value")).collect():  # one row a year
-        d.spark.createDataFrame([(r["value"],)], "value string").coalesce(1).write.text(f"{root}/{r['year']}-12-31")
+    texts = years.select(F.concat("year", F.lit("-12-31")).alias("capture_date"), F.to_json(F.struct("year", "orders")).alias("value"))
+    texts.write.partitionBy("capture_date").text(root)
     read = snapshots.read_json_snapshots(d.spark, root, "part-*", "year bigint, orders bigint", 3)
     return read.select("year", "orders", _day("capture_date"))
 
 
+def _year_documents(d: Domain, opening: str, closing: str, record: Column) -> str:
+    """A document of one year's orders each, lines of records between brackets; their folder."""
+    root, year = fresh_path(d.spark, "year-documents"), F.year("o_orderdate")
+    rows = d.table("orders").select(F.concat(year, F.lit("-12-31")).alias("capture_date"), "o_orderkey", record.alias("record"))
+    ends = rows.groupBy("capture_date").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+    lines = rows.join(ends, "capture_date").select(
+        "capture_date", "o_orderkey",
+        F.concat(
+            F.when(F.col("o_orderkey") == F.col("low"), opening).otherwise(""), "record",
+            F.when(F.col("o_orderkey") == F.col("high"), closing).otherwise(","),
+        ).alias("value"),
+    )
+    # A document is one file, so a year is written by one task; it is read by as many as it has splits.
+    lines.repartition("capture_date").sortWithinPartitions("capture_date", "o_orderkey").drop("o_orderkey").write.partitionBy("capture_date").text(root)
+    return root
+
+
+def _noted() -> Column:
+    """Text with what a reader of splits could stumble over: quotes, commas, brackets and backslashes inside strings."""
+    return F.concat(F.lit('", [{'), F.col("o_orderpriority"), F.lit("\\"))
+
+
+@query
+def json_map_records(d):
+    """Every year's orders as one JSON map document; of all documents each record is a row."""
+    fields = F.struct(F.floor("o_totalprice").alias("total"), _noted().alias("note"), F.array("o_orderstatus", F.lit("},")).alias("tags"))
+    root = _year_documents(d, "{", "}", F.concat(F.lit('"'), F.col("o_orderkey"), F.lit('": '), F.to_json(fields)))
+    rows = snapshots.read_map_snapshots(d.spark, root, "part-*", "struct<total:bigint,note:string,tags:array<string>>")
+    return rows.select("key", "total", "note", F.element_at("tags", 1).alias("status"), _day("capture_date"))
+
+
+@query
+def json_array_records(d):
+    """Every year's orders as one JSON array document, the newest three years read."""
+    fields = F.struct(F.col("o_orderkey").alias("id"), _noted().alias("note"))
+    root = _year_documents(d, "[", "]", F.to_json(fields))
+    rows = snapshots.read_json_snapshots(d.spark, root, "part-*", "id bigint, note string", 3)
+    return rows.select("id", "note", _day("capture_date"))
+
+
 @query
 def guide_list(d):
     """The guide list written as CSV and read back as an optional list; a missing one is empty."""
@@ -102,6 +143,66 @@ def capture_merge(d):
     return latest.replace_rows(old, new, "id").select("id", "spawn", "loot_h", _day("capture_date"))
 
 
+def _captured(d: Domain, day: str, keep: Column, more: int) -> dict[str, DataFrame]:
+    """Sessions of a capture with their kills, numbers raised by ``more``."""
+    rows = d.session_captures().filter((F.col("capture_date") == "2026-01-01") & keep)
+    kills = d.kills().select("hunt_id", "creature", (F.col("killed") + more).alias("killed"))
+    if more:
+        kills = kills.filter(F.length("creature") % 2 == 0)
+    return {"sessions": rows.select("id", "spawn", (F.col("loot_h") + more).alias("loot_h")), "kills": kills}
+
+
+@query
+def capture_append(d):
+    """Two captures in a store; a later one is added to the second day: its sessions replace theirs with all their kills.
+
+    The same rows are added once more, which changes nothing. Kills of sessions that were not captured are left out.
+    """
+    tables = {"sessions": "id string, spawn string, loot_h bigint", "kills": "hunt_id string, creature string, killed bigint"}
+    store = CaptureStore(d.spark, fresh_path(d.spark, "captures"), tables)
+    number = F.col("id").cast("bigint")
+    store.append("2026-01-01", _captured(d, "2026-01-01", number % 3 == 0, 0))
+    store.append("2026-01-02", _captured(d, "2026-01-02", number % 2 == 0, 0))
+    later = {t: save(rows, "later-capture") for t, rows in _captured(d, "2026-01-02", number % 5 == 0, 7).items()}
+    for _ in range(2):
+        store.append("2026-01-02", later)
+    kills = store.read("kills").groupBy(F.col("hunt_id").alias("id"), "capture_date").agg(
+        F.count(F.lit(1)).alias("creatures"), F.sum("killed").alias("killed")
+    )
+    rows = store.read("sessions").join(kills, ["id", "capture_date"], "left")
+    zero = F.lit(0).cast("bigint")
+    return rows.select("id", "spawn", "loot_h", F.coalesce("creatures", zero).alias("creatures"), F.coalesce("killed", zero).alias("killed"), _day("capture_date"))
+
+
+@query
+def capture_build(d):
+    """Listing and detail pages to sessions, members and kills, appended to a capture store and read from it.
+
+    Three listings with their own parameters; a session that several found carries the last one's.
+    """
+    key = F.col("o_orderkey")
+    link = F.concat(F.lit('<tr data-row-click-url-value="/hunt_sessions/'), key, F.lit('">'))
+    by_run = F.array(*[F.when(key % m == 0, r) for r, m in ((1, 2), (2, 3), (3, 5))])
+    listings = (
+        d.table("orders").select(F.explode(F.array_compact(by_run)).alias("run"), F.floor(key / 100).alias("page"), link.alias("link"))
+        .groupBy("run", "page").agg(F.array_join(F.collect_list("link"), "\n").alias("html"))  # a hundred links a page at most
+    )
+    runs = d.spark.createDataFrame(
+        [(1, 100, 201, "Solo", ""), (2, 50, 301, "Duo", ""), (3, 0, 0, "x3", "quara")],
+        "run int, query_min bigint, query_max bigint, query_party string, query_search string",
+    )
+    details = d.session_pages().select("id", F.concat(F.lit("https://example.org/s/"), "id").alias("url"), "html")
+    store = CaptureStore(d.spark, fresh_path(d.spark, "capture"), capture.TABLES)
+    store.append("2026-01-01", capture.build_capture(listings, details, runs))
+    members = store.read("members").groupBy(F.col("hunt_id").alias("id")).agg(F.count(F.lit(1)).alias("members"), F.sum("level").alias("levels"))
+    kills = store.read("kills").groupBy(F.col("hunt_id").alias("id")).agg(F.count(F.lit(1)).alias("creatures"), F.sum("killed").alias("killed"))
+    rows = store.read("sessions").join(members, "id", "left").join(kills, "id", "left")
+    return rows.select(
+        "id", "url", "spawn", "minutes", "party_size", "avg_lvl", "balance", "supplies_total", "query_min", "query_max", "query_search",
+        F.coalesce("members", F.lit(0).cast("bigint")).alias("members"), "levels", "creatures", "killed",
+    )
+
+
 @query
 def json_map_explode(d):
     """Entries of the JSON map documents in the event table."""
@@ -697,36 +798,78 @@ def days_from_news(d):
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _event_stream(d: Domain) -> DataFrame:
-    """The events as a stream of three batches, in the order of their numbers."""
+def _in_batches(d: Domain, rows: DataFrame, ddl: str, run: Callable[[DataFrame], None]) -> None:
+    """Deliver rows part by part to a stream that is started anew for each: a part's files, however many, are a batch."""
     path = fresh_path(d.spark, "event-files")
+    for k in range(3):
+        rows.filter(F.col("part") == k).drop("part").write.parquet(f"{path}/part={k}")
+        run(d.spark.readStream.schema(ddl).parquet(f"{path}/part=*"))
+
+
+def _numbered_events(d: Domain) -> DataFrame:
+    """The events in three parts in the order of their numbers; events without a number come first."""
     rows = d.table("events")
     low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
-    step = (high - low) // 3 + 1
-    for k in range(3):
-        part = rows.filter(F.col("event_id").between(low + k * step, low + (k + 1) * step - 1))
-        part.coalesce(1).write.parquet(f"{path}/part={k}")
-    reader = d.spark.readStream.schema(_EVENTS).option("maxFilesPerTrigger", 1)
-    return reader.parquet(f"{path}/part=*")
+    step = ((high or 0) - (low or 0)) // 3 + 1
+    return rows.withColumn("part", F.coalesce(F.floor((F.col("event_id") - F.lit(low)) / step), F.lit(0)).cast("int"))
 
 
 @query
 def stream_upsert(d):
-    """Newest event per user, folded in by a stream of several batches that writes its whole state every second one."""
+    """Newest event per user, folded into a bucketed store by a stream of three batches; a bucket's second delta makes a new base."""
     path, checkpoint = fresh_path(d.spark, "upsert"), fresh_path(d.spark, "upsert-log")
-    incremental.upsert_latest(_event_stream(d), path, checkpoint, ["user_id"], ["ts", "event_id"], every=2)
-    state = incremental.read_latest(d.spark, path, ["user_id"], ["ts", "event_id"])
-    return state.select("user_id", "event_id", "event_type", "value")
+    keys, version = ["user_id"], ["ts", "event_id"]
+    _in_batches(d, _numbered_events(d), _EVENTS, lambda s: incremental.upsert_latest(s, path, checkpoint, keys, version, every=2))
+    return incremental.read_latest(d.spark, path, keys, version).select("user_id", "event_id", "event_type", "value")
 
 
 @query
 def stream_append(d):
-    """First event per user by batch, appended by a stream of several batches."""
+    """First event per user by batch, appended by a stream of three batches."""
     path, checkpoint = fresh_path(d.spark, "append"), fresh_path(d.spark, "append-log")
-    incremental.append_unseen(_event_stream(d), path, checkpoint, "user_id", ["ts", "event_id"])
+    _in_batches(d, _numbered_events(d), _EVENTS, lambda s: incremental.append_unseen(s, path, checkpoint, "user_id", ["ts", "event_id"]))
     return d.spark.read.parquet(path).select("user_id", "event_id", "event_type")
 
 
+@query
+def stream_dedup(d):
+    """Events that are delivered again with the next batch count once, by the state of a stream that is restarted twice.
+
+    Parts are thirds of the events' time; what falls into the last sixth of a part comes again with the next one. Error
+    events carry no key, so every delivery of them stays.
+    """
+    second = F.expr("timestampdiff(second, timestamp_ntz'1970-01-01 00:00:00', ts)")
+    rows = d.table("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), second.alias("second"))
+    low, high = rows.agg(F.min("second"), F.max("second")).first()
+    third = ((high or 0) - (low or 0)) // 3 + 1
+    since = F.col("second") - F.lit(low)
+    rows = rows.withColumn("part", F.floor(since / third).cast("int"))
+    again = rows.filter(F.pmod(since, F.lit(third)) >= third - third // 6).withColumn("part", F.col("part") + 1)
+    key = F.when(F.col("event_type") != "error", F.col("event_id"))
+    delivered = rows.unionByName(again).filter("part < 3").select("part", key.alias("key"), "event_id", "event_type", "ts")
+    path, checkpoint = fresh_path(d.spark, "dedup"), fresh_path(d.spark, "dedup-log")
+    ddl = "key bigint, event_id bigint, event_type string, ts timestamp"
+    _in_batches(d, delivered, ddl, lambda s: incremental.append_deduplicated(s, path, checkpoint, "key", "ts", f"{third} seconds"))
+    return d.spark.read.parquet(path).select("event_id", "event_type")
+
+
+@query
+def captures_fold(d):
+    """The mapping that never expires: newest event per user over daily captures, folded in two runs.
+
+    The second run opens only the captures that the first has not seen; a third finds none.
+    """
+    root, store = fresh_path(d.spark, "daily"), fresh_path(d.spark, "mapping")
+    daily = latest.latest_by_key(_event_captures(d), ["user_id", "capture_date"], ["ts", "event_id"])
+    daily = save(daily.select("user_id", "event_id", "event_type", "capture_date"), "daily-events")
+    middle = daily.agg(F.expr("date_add(min(capture_date), int(datediff(max(capture_date), min(capture_date)) div 2))")).scalar()
+    for due in (F.col("capture_date") <= middle, F.col("capture_date") > middle, F.lit(False)):
+        daily.filter(due).write.mode("append").option("header", True).partitionBy("capture_date").csv(root)
+        snapshots.fold_captures(d.spark, root, "part-*", "user_id bigint, event_id bigint, event_type string", store, ["user_id"])
+    rows = keyed_store.read(d.spark, store, ["user_id"], ["capture_date"])
+    return rows.select("user_id", "event_id", "event_type", _day("capture_date"))
+
+
 @query
 def append_new(d):
     """Users' first events of the second half that the first half did not bring."""

@@ -84,7 +84,8 @@ def read_silver(spark: SparkSession, root: str, reference: str, research: str, w
     averages = snapshots.read_json_snapshots(spark, root, f"market_values_{world}.json", AVERAGES, 1)
     metadata = snapshots.read_json_snapshots(spark, root, "market_metadata_all.json", METADATA, 1)
     creatures = _rows_of_maps(spark, root, "creatures.json", CREATURE, "creature")
-    history = snapshots.read_text_snapshots(spark, root, "market_history_top.json", 1).select(F.explode(F.from_json("value", f"map<string,array<{SNAPSHOT}>>")).alias("item_id", "rows"))
+    history = snapshots.read_map_snapshots(spark, root, "market_history_top.json", f"array<{SNAPSHOT}>", "item_id", 1)
+    history = history.select("item_id", F.col("record").alias("rows"))
     news = snapshots.read_json_snapshots(spark, root, "events.json", "date string, name string")
 
     def listed(path: str, schema: str) -> DataFrame:

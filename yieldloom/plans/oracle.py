@@ -128,6 +128,27 @@ oracle(
     "json_map_explode",
     """SELECT event_id, e.key AS key, CAST(e.value AS BIGINT) AS value FROM events, json_each(CAST(props AS JSON)) e""",
 )
+NOTE = """'", [{' || o_orderpriority || chr(92)"""
+oracle(
+    "json_map_records",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(floor(o_totalprice) AS BIGINT) AS total, {NOTE} AS note, o_orderstatus AS status,
+         year(o_orderdate) || '-12-31' AS capture_date FROM orders""",
+)
+oracle(
+    "json_array_records",
+    f"""SELECT o_orderkey AS id, {NOTE} AS note, year(o_orderdate) || '-12-31' AS capture_date FROM orders
+       WHERE year(o_orderdate) IN (SELECT DISTINCT year(o_orderdate) AS y FROM orders ORDER BY y DESC LIMIT 3)""",
+)
+oracle(
+    "capture_append",
+    """SELECT * FROM (WITH held AS (
+         SELECT '2026-01-01' AS capture_date, id, spawn, loot_h, 0 AS more FROM sessions WHERE CAST(id AS BIGINT) % 3 = 0
+         UNION ALL SELECT '2026-01-02', id, spawn, loot_h, 0 FROM sessions WHERE CAST(id AS BIGINT) % 2 = 0 AND CAST(id AS BIGINT) % 5 <> 0
+         UNION ALL SELECT '2026-01-02', id, spawn, loot_h + 7, 7 FROM sessions WHERE CAST(id AS BIGINT) % 5 = 0)
+       SELECT h.id, spawn, loot_h, count(creature) AS creatures, CAST(coalesce(sum(killed + more), 0) AS BIGINT) AS killed, capture_date
+       FROM held h LEFT JOIN kills k ON k.hunt_id = h.id AND (more = 0 OR length(creature) % 2 = 0) GROUP BY ALL)""",
+    "sessions", "kills",
+)
 oracle("jsonl_tolerant", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'")
 oracle(
     "manual_prices",
@@ -340,6 +361,20 @@ oracle(
        UNION ALL SELECT p_type, {TABS}[(p_partkey + 4) % 9 + 1], p_size * 1000 + p_partkey % 1000, 'Low' FROM part""",
 )
 
+oracle(
+    "capture_build",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, 'https://example.org/s/' || o_orderkey AS url, spawn || ' & co' AS spawn, o_orderkey % 90 AS minutes,
+         coalesce(n, CASE run WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END) AS party_size,
+         coalesce(avg_lvl, CASE run WHEN 1 THEN 150 WHEN 2 THEN 175 END) AS avg_lvl, -CAST(trunc(o_totalprice) AS BIGINT) AS balance,
+         coalesce(spent, 0) AS supplies_total, [100, 50, 0][run] AS query_min, [201, 301, 0][run] AS query_max, ['', '', 'quara'][run] AS query_search,
+         coalesce(n, 0) AS members, levels, 1 + o_orderkey % 4 AS creatures,
+         CAST((1 + o_orderkey % 4) * (2 + o_orderkey % 4) * 500 + (1 + o_orderkey % 4) * (o_orderkey % 1000) AS BIGINT) AS killed
+       FROM (SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 WHEN o_orderkey % 2 = 0 THEN 1 END AS run FROM places)
+       LEFT JOIN party_sums ON id = CAST(o_orderkey AS VARCHAR)
+       LEFT JOIN (SELECT id AS lid, CAST(sum(level) AS BIGINT) AS levels FROM party GROUP BY id) ON lid = CAST(o_orderkey AS VARCHAR) WHERE run IS NOT NULL""",
+    "places", "party_sums", "party",
+)
+
 # ---- filters and joins --------------------------------------------------------------------------
 
 oracle(
@@ -732,6 +767,15 @@ oracle(
     """SELECT user_id, event_id, event_type FROM events, (SELECT min(event_id) AS low, (max(event_id) - min(event_id)) // 3 + 1 AS step FROM events)
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY (event_id - low) // step, ts, event_id) = 1""",
 )
+oracle(
+    "stream_dedup",
+    """SELECT event_id, event_type FROM events UNION ALL
+       SELECT event_id, event_type FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS second FROM events),
+         (SELECT min(CAST(floor(epoch(ts)) AS BIGINT)) AS low, max(CAST(floor(epoch(ts)) AS BIGINT)) AS high FROM events)
+       WHERE event_type = 'error' AND (second - low) % ((high - low) // 3 + 1) >= ((high - low) // 3 + 1) - ((high - low) // 3 + 1) // 6
+         AND (second - low) // ((high - low) // 3 + 1) < 2""",
+)
+oracle("captures_fold", "SELECT * EXCLUDE (value) FROM (" + USERS.format(where="") + ")")
 oracle(
     "append_new",
     """WITH m AS (SELECT min(ts) + to_seconds(date_diff('second', min(ts), max(ts)) // 2) AS t FROM events)

@@ -23,9 +23,13 @@ SESSION_NUMBERS = (
 ).split()
 
 
+#: The folder of a snapshot, as a plain date or as a partition.
+DAY_FOLDER = r"/(?:capture_date=)?(\d{4}-\d{2}-\d{2})/[^/]+$"
+
+
 def with_capture_date(df: DataFrame) -> DataFrame:
     """Add the capture date from the path; files outside a dated folder drop out."""
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
+    day = F.regexp_extract(F.col("_metadata.file_path"), DAY_FOLDER, 1)
     return df.select("*", day.try_cast("date").alias(CAPTURE)).filter(F.col(CAPTURE).isNotNull())
 
 
@@ -56,15 +60,13 @@ def read_csv_snapshots(spark: SparkSession, root: str, file: str, schema: str |
 
 
 def read_json_snapshots(spark: SparkSession, root: str, file: str, schema: str | StructType, n: int | None = None) -> DataFrame:
-    """The last n snapshots (or all) of a JSON document (an array of objects, or one object) with a known schema."""
-    reader = spark.read.schema(schema).option("multiLine", True)
-    return _load(spark, snapshot_paths(spark, root, file, n), schema, reader.json)
+    """The last n snapshots (or all) of a JSON document (an array of objects, or one object) with a known schema.
 
+    A document is read by as many tasks as it has splits. One that is cut off gives no rows.
+    """
+    from .json_records import read_array_captures
 
-def read_text_snapshots(spark: SparkSession, root: str, file: str, n: int | None = None) -> DataFrame:
-    """The last n snapshots (or all) of a file as one text each. A file is one task's work: land large ones once."""
-    reader = spark.read.option("wholetext", True)
-    return _load(spark, snapshot_paths(spark, root, file, n), "value string", reader.text)
+    return read_array_captures(spark, root, file, schema, n)
 
 
 def read_map_snapshots(
@@ -72,9 +74,12 @@ def read_map_snapshots(
 ) -> DataFrame:
     """The last n snapshots (or all) of a JSON document that maps a name to a record: one row per name.
 
-    ``value`` is the record's DDL type. The newest document counts even when it is empty.
+    ``value`` is the record's DDL type. The newest document counts even when it is empty. A document is read by as many
+    tasks as it has splits.
     """
-    return explode_map_documents(read_text_snapshots(spark, root, file, n), F.col("value"), value, key)
+    from .json_records import read_map_captures
+
+    return read_map_captures(spark, root, file, value, key, n)
 
 
 def explode_map_documents(df: DataFrame, document, value: str, key: str = "key") -> DataFrame:
@@ -112,3 +117,26 @@ def land(df: DataFrame, path: str) -> None:
     df.repartition(CAPTURE, F.pmod(F.xxhash64(*[c for c in df.columns if c != CAPTURE]), F.lit(16))).write.mode(
         "overwrite"
     ).partitionBy(CAPTURE).parquet(path)
+
+
+def fold_captures(spark: SparkSession, root: str, file: str, schema: str, store: str, keys: list[str]) -> list[str]:
+    """Fold the CSV snapshots that a store has not seen yet into it; which days these were.
+
+    The store is the mapping that never expires: newest row per key over all captures (``keyed_store.read(store, keys,
+    ["capture_date"])``). It notes the days it holds, so a later run opens only the files of other days, whichever they
+    are: a capture that lands late is folded too, and rows of newer captures stay. Days are read from folder names.
+    """
+    from . import keyed_store
+
+    seen = set(keyed_store.manifest(spark, store)["notes"].get("days", []))
+    listed = with_capture_date(spark.read.format("binaryFile").load(f"{root}/*/{file}").select("path", "_metadata"))
+    unseen = listed.filter(~F.col(CAPTURE).cast("string").isin(sorted(seen)))
+    new = sorted({(str(r[CAPTURE]), r["path"]) for r in unseen.select(CAPTURE, "path").collect()})  # names of new files only
+    if not new:
+        return []
+    days = sorted({day for day, _ in new})
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+    rows = with_capture_date(reader.csv([path for _, path in new]))
+    number = max(keyed_store.runs(spark, store), default=-1) + 1
+    keyed_store.fold(rows, store, number, keys, [CAPTURE], {"days": sorted(seen | set(days))})
+    return days

@@ -7,68 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.latest import latest_by_key
+from ..sources import keyed_store
 from ..sources.documents import path_exists
 
-
-#: Batches after which an upsert writes its whole state anew, and buckets of a store's keys.
-COMPACT_EVERY, KEY_BUCKETS = 16, 64
-
-
-def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Numbers of the folders ``<name>=<number>`` below a path, ascending."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
-    return sorted(int(f.getPath().getName().partition("=")[2]) for f in found)
-
-
-def _state(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Rows of the newest whole state and of the batches behind it, with the number of their batch."""
-    bases = [n for n in _numbers(spark, path, "base") if before is None or n < before]
-    base = bases[-1] if bases else None
-    later = [n for n in _numbers(spark, path, "batch") if (base is None or n > base) and (before is None or n < before)]
-    parts = [(f"base={base}", base)] * (base is not None) + [(f"batch={n}", n) for n in later]
-    out = None
-    for folder, number in parts:
-        rows = spark.read.parquet(f"{path}/{folder}").withColumn("batch", F.lit(number))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+#: Buckets of a store's keys.
+KEY_BUCKETS = 64
 
 
 def upsert_latest(
-    source: DataFrame, path: str, checkpoint: str, keys: Sequence[str], version: Sequence[str], every: int = COMPACT_EVERY
+    source: DataFrame, path: str, checkpoint: str, keys: Sequence[str], version: Sequence[str], every: int = keyed_store.EVERY
 ) -> None:
-    """Fold everything that has arrived into the state at ``path`` and stop.
+    """Fold everything that has arrived into the store at ``path`` and stop.
 
-    Each batch writes the newest row per key into its own folder, named by the batch; each ``every``-th one writes the
-    whole state up to itself instead, so a reader never needs more than one whole state and ``every`` batches. A batch
-    that is run again after a failure overwrites its folder with the same rows, so nothing counts twice. Older folders
-    stay for readers at work; whoever owns the store removes them.
+    Each batch is a run of the store: it rewrites only the buckets of keys it touches, and a batch that is run again after
+    a failure overwrites its own part, so nothing counts twice. Rows without a key are one key.
     """
-    spark = source.sparkSession
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_by_key(batch, keys, version)
-        if (batch_id + 1) % every:
-            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-            return
-        held = _state(spark, path, batch_id)
-        rows = rows.withColumn("batch", F.lit(batch_id))
-        whole = rows if held is None else latest_by_key(held.unionByName(rows), keys, [*version, "batch"])
-        whole.drop("batch").write.mode("overwrite").parquet(f"{path}/base={batch_id}")
-
-    (
-        source.writeStream.foreachBatch(fold)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+        keyed_store.fold(batch, path, batch_id, keys, version, every=every)
+
+    _run(source.writeStream.foreachBatch(fold), checkpoint)
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
     """Current state: newest row per key, later batches winning ties."""
-    return latest_by_key(_state(spark, path), keys, [*version, "batch"]).drop("batch")
+    return keyed_store.read(spark, path, keys, version)
+
+
+def _run(writer, checkpoint: str) -> None:
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def deduplicated(source: DataFrame, key: str, event_time: str, within: str) -> DataFrame:
+    """A stream whose repeats of a key, arriving within so much event time, are dropped; rows without a key all stay.
+
+    The keys seen are the query's own state, in its state store and checkpoint: a restarted query knows them. A key is
+    forgotten once the watermark has passed it by ``within``, so state is bounded by the keys of that span, not by the
+    whole history; a row that comes later than that is late and dropped, with or without a key.
+    """
+    timed = source.withWatermark(event_time, within)
+    keyed = timed.filter(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return keyed.unionByName(timed.filter(F.col(key).isNull()))
+
+
+def append_deduplicated(source: DataFrame, path: str, checkpoint: str, key: str, event_time: str, within: str) -> None:
+    """Append a stream without repeats of keys to the Parquet files at ``path``, each batch exactly once, and stop."""
+    stream = deduplicated(source, key, event_time, within)
+    _run(stream.writeStream.format("parquet").outputMode("append").option("path", path), checkpoint)
 
 
 def append_unseen(source: DataFrame, path: str, checkpoint: str, key: str, version: Sequence[str]) -> None:
@@ -91,10 +76,4 @@ def append_unseen(source: DataFrame, path: str, checkpoint: str, key: str, versi
         fresh = append_new(store, batch, key, version).withColumn("key_bucket", bucket)
         fresh.write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/batch={batch_id}")
 
-    (
-        source.writeStream.foreachBatch(fold)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    _run(source.writeStream.foreachBatch(fold), checkpoint)
