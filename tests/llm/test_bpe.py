@@ -50,3 +50,18 @@ def test_decode_alone(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(df, PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_many_long_unbroken_pieces(tmp_path, monkeypatch):
+    import os
+    import random
+    import time
+
+    monkeypatch.chdir(tmp_path)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("abcdefghijklmnop") for _ in range(300)) for _ in range(400)]
+    tokenizer = bpe.Tokenizer(PATH, public_tokenizers.PATTERN)
+    begun = time.time()
+    got = [list(x) for x in tokenizer.encode(texts)]
+    assert time.time() - begun < 30 and not os.listdir(tmp_path)
+    assert got == [list(tokenizer._encode_long(t.encode())) for t in texts]

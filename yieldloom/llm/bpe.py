@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 from .words import small
 
 LONG_PIECE = 512
-#: Known pieces that a task keeps for its later batches; beyond this it starts anew.
-KNOWN_PIECES = 300_000
-#: Pieces that one encoding query takes, and token rows that one decoding query aggregates.
+#: Known pieces that a worker keeps for later batches and tasks; beyond this it starts anew.
+KNOWN_PIECES = 500_000
+#: Pieces that one encoding query takes, and rows of all its rounds, which its recursion keeps: a piece has at most as many
+#: rounds as bytes, so a query takes pieces up to this sum of squared lengths. Token rows that one decoding query aggregates.
 QUERY_PIECES = 10_000
+QUERY_ROWS = 3_000_000
 DECODE_ROWS = 400_000
 
 ENCODE = """
@@ -80,7 +82,7 @@ class Tokenizer:
         self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
         self.pattern_text = pattern
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         pairs = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
             for token, rank in self.ranks.items()
@@ -127,24 +129,33 @@ class Tokenizer:
                 ids[i] = self._encode_long(piece)
             else:
                 rest.append(i)
-        if rest:
-            lengths = np.array([len(raw[i]) for i in rest])
-            data = np.frombuffer(b"".join([raw[i] for i in rest]), np.uint8)
-            start = pa.table({
-                "piece": np.repeat(np.arange(len(rest), dtype=np.int32), lengths),
-                "pos": np.arange(len(data), dtype=np.int32),  # over all pieces, so that a place names a row
-                "id": self.of_byte[data],
-            })
-            self.con.register("start", start)
-            found = self.con.execute(ENCODE).fetchnumpy()
-            self.con.unregister("start")
-            sizes = np.bincount(found["piece"], minlength=len(rest))
-            for i, part in zip(rest, np.split(np.asarray(found["id"]), np.cumsum(sizes)[:-1])):
+        squares = np.cumsum([len(raw[i]) ** 2 for i in rest])
+        begin = 0
+        while begin < len(rest):
+            taken = squares[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(squares, taken + QUERY_ROWS, side="right")))
+            for i, part in zip(rest[begin:end], self._contracted([raw[i] for i in rest[begin:end]])):
                 ids[i] = part
+            begin = end
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         self.flat = np.concatenate([self.flat, *[np.asarray(x, dtype=np.int32) for x in ids]])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
 
+    def _contracted(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of pieces by the recursive query."""
+        lengths = np.array([len(p) for p in pieces])
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        start = pa.table({
+            "piece": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths),
+            "pos": np.arange(len(data), dtype=np.int32),  # over all pieces, so that a place names a row
+            "id": self.of_byte[data],
+        })
+        self.con.register("start", start)
+        found = self.con.execute(ENCODE).fetchnumpy()
+        self.con.unregister("start")
+        sizes = np.bincount(found["piece"], minlength=len(pieces))
+        return np.split(np.asarray(found["id"]), np.cumsum(sizes)[:-1])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.number) > KNOWN_PIECES:
@@ -236,9 +247,6 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
                 if decoded:
                     columns["decoded"] = pa.array(tokenizer.decode(ids), pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
-        if tokenizer:
-            tokenizer.forget()
-
     out = rows.mapInArrow(run, f"key {kind}, ids array<int>" + ", decoded binary" * decoded)
     return out.withColumnRenamed("key", key)
 
