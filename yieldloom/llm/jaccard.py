@@ -224,13 +224,12 @@ def _contested(rows: DataFrame, links: DataFrame | None) -> DataFrame:
 def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """Links that give the right components: not every pair of a component is among them."""
     keyed = signatures.filter("node is not null and doc_id is not null")
-    rows = keyed.select("node", F.posexplode("prefix").alias("pos", "shingle"))
+    # What is known of a document travels with its rows: they meet no second join.
+    rows = keyed.select("node", "n", "ell", "heat", F.posexplode("prefix").alias("pos", "shingle"))
     shared = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     shared = save(shared.select("shingle"), "shared-shingles")
     release(docs.sparkSession)
-    live = rows.join(shared, "shingle").dropDuplicates(["shingle", "node"])
-    facts = keyed.select("node", "n", "ell", "heat").distinct()
-    live = save(live.join(facts, "node"), "shared-prefixes")
+    live = save(rows.join(shared, "shingle").dropDuplicates(["shingle", "node"]), "shared-prefixes")
     release(docs.sparkSession)
 
     open_rows, links, sets = _contested(live, None), None, None
