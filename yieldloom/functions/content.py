@@ -6,20 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Place and creature words that mark a post as substantive.
-PLACE_WORDS = (
-    "quara,werehyena,cults,tiger,spectre,vampire,asura,demon,"
-    "roshamuul,medusa,lizard,hero,banuta,oramond,glooth,lava,"
-    "reaper,edron,darashia,feyrist,werelion,carnivor,pirate,"
-    "naga,falcon,cobra,library,soul war,ingol,bashmu,gazers,"
-    "burster,ripper,werefox,werebadger,werebear,grimvale,carlin,"
-    "yalahar,port hope,ankrahmun,krailos,wreckoning,nag,court,"
-    "ros,feru,prison,catacombs,wildlife,corym,stonerefiner,"
-    "scarabs,wyrms,dragons,heroes,tomb,crypt"
-).split(",")
+PLACE_WORDS = [
+    "quara", "werehyena", "cults", "tiger", "spectre", "vampire", "asura", "demon", "roshamuul", "medusa", "lizard",
+    "hero", "banuta", "oramond", "glooth", "lava", "reaper", "edron", "darashia", "feyrist", "werelion", "carnivor",
+    "pirate", "naga", "falcon", "cobra", "library", "soul war", "ingol", "bashmu", "gazers", "burster", "ripper",
+    "werefox", "werebadger", "werebear", "grimvale", "carlin", "yalahar", "port hope", "ankrahmun", "krailos",
+    "wreckoning", "nag", "court", "ros", "feru", "prison", "catacombs", "wildlife", "corym", "stonerefiner",
+    "scarabs", "wyrms", "dragons", "heroes", "tomb", "crypt",
+]
 
 # Patterns for a money rate and for a level mention.
 MONEY_RATE = r"\d[\d.,]*\s*(kk?/h|k/h|k\b|kk\b|gp|gold)"
-LEVEL_MENTION = r"\b(1[0-9]{2}|[2-9][0-9]{2}|1000)\b[^\n]*\b(lvl|level|ek|ed|rp|ms|ek)\b"
+LEVEL_MENTION = r"\b(1[0-9]{2}|[2-9][0-9]{2}|1000)\b[^\n]*\b(lvl|level|ek|ed|rp|ms)\b"
 
 
 def content_score(text: Column, words: list[str] = PLACE_WORDS) -> Column:

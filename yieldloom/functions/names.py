@@ -6,15 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that do not tell places apart.
-STOPWORDS = (
-    "the solo duo trio team ed ek rp ms em "
-    "druid knight paladin sorcerer monk hunt party "
-    "north south east west upper lower depot dp "
-    "fullmoon full moon double rapid boosted boost "
-    "post nerf teste test bestiary bounty with and "
-    "na de com en w z ze do no nos das "
-    "adept massive soloo hunts boost dmg dobre xp"
-).split()
+STOPWORDS = [
+    "the", "solo", "duo", "trio", "team", "ed", "ek", "rp", "ms", "em", "druid", "knight", "paladin", "sorcerer",
+    "monk", "hunt", "party", "north", "south", "east", "west", "upper", "lower", "depot", "dp", "fullmoon", "full",
+    "moon", "double", "rapid", "boosted", "boost", "post", "nerf", "teste", "test", "bestiary", "bounty", "with",
+    "and", "na", "de", "com", "en", "w", "z", "ze", "do", "no", "nos", "das", "adept", "massive", "soloo", "hunts",
+    "boost", "dmg", "dobre", "xp",
+]
 
 
 def canon_tokens(name: Column) -> Column:
