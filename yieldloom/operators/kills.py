@@ -224,11 +224,18 @@ def top_loot(creature_items: DataFrame, prices: DataFrame, tags: DataFrame, k: i
 def spawn_items(
     sessions: DataFrame, kills: DataFrame, creature_items: DataFrame, prices: DataFrame, metadata: DataFrame
 ) -> DataFrame:
-    """What drops where: items of the creatures met at a spawn, with prices and the first six creatures."""
+    """What drops where: items of the creatures met at a spawn, with prices and the first six creatures.
+
+    Kills meet their places once: one fold gives both the creatures and the sessions of each spawn.
+    """
     place = sessions.filter(F.coalesce(F.col("spawn"), F.lit("")) != "").select(F.col("id").alias("hunt_id"), "spawn")
-    met = kills.join(place, "hunt_id").select("spawn", "creature").distinct()
-    with_kills = place.join(kills.select("hunt_id"), "hunt_id", "left_semi").distinct()
-    n_sessions = with_kills.groupBy("spawn").agg(F.count(F.lit(1)).alias("n_sessions_spawn"))
+    placed = kills.select("hunt_id", "creature").join(place, "hunt_id")
+    folded = save(
+        placed.groupingSets([["spawn", "creature"], ["spawn", "hunt_id"]], "spawn", "creature", "hunt_id").agg(F.grouping("hunt_id").alias("by_creature")),
+        "spawn-kills",
+    )
+    met = folded.filter("by_creature = 1").select("spawn", "creature")
+    n_sessions = folded.filter("by_creature = 0").groupBy("spawn").agg(F.count(F.lit(1)).alias("n_sessions_spawn"))
     drops = (
         met
         .join(creature_items.select("creature", "item").distinct(), "creature")

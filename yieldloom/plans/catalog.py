@@ -580,7 +580,7 @@ def missing_values(d):
 
 @query
 def spawn_items(d):
-    return kills.spawn_items(save(d.sessions().select("id", "spawn"), "places"), d.saved_kills, d.creature_items(), d.saved_prices, d.metadata())
+    return kills.spawn_items(d.sessions().select("id", "spawn"), d.kills(), d.creature_items(), d.saved_prices, d.metadata())
 
 
 @query
@@ -640,7 +640,7 @@ def spawn_profit(d):
 @query
 def spawn_loot(d):
     return kills.spawn_loot(
-        d.calibration(), d.saved_kills, d.creature_items(), d.values, d.saved_prices, demand.demand_marks(d.imbuing(), d.delivery())
+        d.calibration(), d.calibration_kills, d.creature_items(), d.values, d.saved_prices, demand.demand_marks(d.imbuing(), d.delivery())
     )
 
 
@@ -819,7 +819,7 @@ def stream_upsert(d):
     """Newest event per user, folded into a bucketed store by a stream of three batches; a bucket's second delta makes a new base."""
     path, checkpoint = fresh_path(d.spark, "upsert"), fresh_path(d.spark, "upsert-log")
     keys, version = ["user_id"], ["ts", "event_id"]
-    _in_batches(d, _numbered_events(d), _EVENTS, lambda s: incremental.upsert_latest(s, path, checkpoint, keys, version, every=2))
+    _in_batches(d, _numbered_events(d), _EVENTS, lambda s: incremental.upsert_latest(s, path, checkpoint, keys, version, every=2, buckets=8))
     return incremental.read_latest(d.spark, path, keys, version).select("user_id", "event_id", "event_type", "value")
 
 

@@ -91,7 +91,8 @@ def fold(
         new = out.filter("kind = 'base'").drop("kind").withColumn(PART, F.lit(number).cast("bigint"))
         merged = latest_by_key(old.unionByName(new), [*keys, "key_bucket"], [*version, PART]).drop(PART)
         out = out.filter("kind = 'delta'").unionByName(merged.withColumn("kind", F.lit("base")))
-    out.write.mode("overwrite").partitionBy("kind", "key_bucket").parquet(f"{path}/{PART}={number}")
+    # Buckets are dealt out whole, large ones in several parts: few files, none of them huge.
+    out.hint("rebalance", "kind", "key_bucket").write.mode("overwrite").partitionBy("kind", "key_bucket").parquet(f"{path}/{PART}={number}")
     for bucket in touched:
         entry = entries.get(bucket, {"base": None, "deltas": []})
         entries[bucket] = {"base": number, "deltas": []} if bucket in ripe else {"base": entry["base"], "deltas": entry["deltas"] + [number]}

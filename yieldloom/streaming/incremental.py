@@ -15,16 +15,18 @@ KEY_BUCKETS = 64
 
 
 def upsert_latest(
-    source: DataFrame, path: str, checkpoint: str, keys: Sequence[str], version: Sequence[str], every: int = keyed_store.EVERY
+    source: DataFrame, path: str, checkpoint: str, keys: Sequence[str], version: Sequence[str], every: int = keyed_store.EVERY,
+    buckets: int = keyed_store.BUCKETS,
 ) -> None:
     """Fold everything that has arrived into the store at ``path`` and stop.
 
     Each batch is a run of the store: it rewrites only the buckets of keys it touches, and a batch that is run again after
-    a failure overwrites its own part, so nothing counts twice. Rows without a key are one key.
+    a failure overwrites its own part, so nothing counts twice. Rows without a key are one key. ``buckets`` is fixed when a
+    store begins: about the bytes of the state over 200 MB.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        keyed_store.fold(batch, path, batch_id, keys, version, every=every)
+        keyed_store.fold(batch, path, batch_id, keys, version, every=every, buckets=buckets)
 
     _run(source.writeStream.foreachBatch(fold), checkpoint)
 
