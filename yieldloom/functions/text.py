@@ -142,6 +142,7 @@ def event_days(text: Column, year: Column) -> Column:
     ``between the server saves of <Month> d and [<Month>] d`` gives every day of the range. Only when
     no range yields a day do single ``<Month> d`` mentions count.
     """
+    # Fixed value: how the texts put a range.
     ranged = r"between the server saves of ([A-Z][a-z]+) (\d{1,2}) and ([A-Z][a-z]+)? ?(\d{1,2})"
     single = "(" + "|".join(m.capitalize() for m in MONTH_NAMES) + r") (\d{1,2})"
     months = _literals(MONTH_NAMES)
@@ -149,19 +150,22 @@ def event_days(text: Column, year: Column) -> Column:
     def day(month_name: Column, number: Column) -> Column:
         return calendar_date(year, F.array_position(months, F.lower(month_name)), number.try_cast("int"))
 
-    def parts(pattern: str, n: int) -> Column:
-        found = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i + 1)).alias(f"p{i + 1}") for i in range(n)]
-        return F.arrays_zip(*found)
+    def mentioned(pattern: str) -> Column:
+        """Matches as they stand in the text: one pass over it; groups are read from the short matches."""
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def group(match: Column, pattern: str, n: int) -> Column:
+        return F.regexp_extract(match, pattern, n)
 
     spans = F.transform(
-        parts(ranged, 4),
-        lambda p: F.struct(
-            day(p["p1"], p["p2"]).alias("a"),
-            day(F.when(p["p3"] == "", p["p1"]).otherwise(p["p3"]), p["p4"]).alias("b"),
+        mentioned(ranged),
+        lambda m: F.struct(
+            day(group(m, ranged, 1), group(m, ranged, 2)).alias("a"),
+            day(F.coalesce(F.nullif(group(m, ranged, 3), F.lit("")), group(m, ranged, 1)), group(m, ranged, 4)).alias("b"),
         ),
     )
     spans = F.filter(spans, lambda s: s["a"] <= s["b"])
     days = F.flatten(F.transform(spans, lambda s: F.sequence(s["a"], s["b"])))
-    mentions = F.transform(parts(single, 2), lambda p: day(p["p1"], p["p2"]))
+    mentions = F.transform(mentioned(single), lambda m: day(group(m, single, 1), group(m, single, 2)))
     mentions = F.filter(mentions, lambda d: d.isNotNull())
     return F.array_sort(F.array_distinct(F.when(F.size(days) > 0, days).otherwise(mentions)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prices import price_by_name
-from .topk import top_n
+from .topk import first_values, top_n
 
 # A tab name that stands for a buyer, a tab that is no buyer, and the two demand marks.
 BUYER_RENAMES = {"RashidTab": "Rashid"}
@@ -14,11 +14,14 @@ NO_BUYER = "Everything"
 IMBUING_MARK, DELIVERY_MARK = "🧪", "📦"
 
 
+#: Labels of one kind that an item's text lists; ``item_labels`` holds all of them.
+LISTED = 1000
+
+
 def _label_list(labels: DataFrame, alias: str) -> DataFrame:
-    """Sorted distinct labels of an item as one text. Labels come from a closed list (tiers, buyers,
-    price bands), so a list stays short however many rows name it; duplicates go before the shuffle."""
-    ordered = F.array_sort(F.collect_set("label"))
-    return labels.filter(F.col("label") != "").groupBy("item_key").agg(F.array_join(ordered, "|").alias(alias))
+    """First sorted distinct labels of an item as one text, cut to ``LISTED`` before the shuffle: a list stays short however
+    many labels an item has."""
+    return first_values(labels.filter(F.col("label") != ""), ["item_key"], "label", LISTED, "|", alias)
 
 
 def imbuing_labels(imbuing: DataFrame) -> DataFrame:
@@ -50,17 +53,30 @@ def delivery_rows(*lists: DataFrame) -> DataFrame:
     return out
 
 
-def item_tags(imbuing: DataFrame, delivery: DataFrame, prices: DataFrame) -> DataFrame:
-    """One row per item any list names, with its labels, best buyer price and fair price."""
-    materials = _label_list(imbuing_labels(imbuing), "imbuements")
+def _buyer_labels(delivery: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(item_key, label)`` of buyers and of price bands."""
     rows = delivery.withColumn("item_key", F.lower("item"))
     npc = F.col("npc")
     for old, new in BUYER_RENAMES.items():
         npc = F.when(F.col("npc") == old, F.lit(new)).otherwise(npc)
-    buyers = _label_list(
-        rows.filter(F.col("npc") != NO_BUYER).select("item_key", npc.alias("label")).distinct(), "delivery_npcs"
-    )
-    bands = _label_list(rows.select("item_key", F.col("market_band").alias("label")).distinct(), "delivery_bands")
+    buyers = rows.filter(F.col("npc") != NO_BUYER).select("item_key", npc.alias("label")).distinct()
+    return buyers, rows.select("item_key", F.col("market_band").alias("label")).distinct()
+
+
+def item_labels(imbuing: DataFrame, delivery: DataFrame) -> DataFrame:
+    """Every label of every item, a row each: ``(item_key, kind, label)``. Texts of ``item_tags`` list the first ones only."""
+    buyers, bands = _buyer_labels(delivery)
+    kinds = {"imbuement": imbuing_labels(imbuing), "buyer": buyers, "band": bands}
+    tables = [rows.select("item_key", F.lit(kind).alias("kind"), "label") for kind, rows in kinds.items()]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2]).filter(F.col("label") != "")
+
+
+def item_tags(imbuing: DataFrame, delivery: DataFrame, prices: DataFrame) -> DataFrame:
+    """One row per item any list names, with its labels, best buyer price and fair price."""
+    materials = _label_list(imbuing_labels(imbuing), "imbuements")
+    rows = delivery.withColumn("item_key", F.lower("item"))
+    buyers, bands = _buyer_labels(delivery)
+    buyers, bands = _label_list(buyers, "delivery_npcs"), _label_list(bands, "delivery_bands")
     facts = rows.groupBy("item_key").agg(
         F.min("item").alias("delivery_name"),
         F.max(F.when(F.col("npc_price") != 0, F.col("npc_price"))).alias("npc_price"),

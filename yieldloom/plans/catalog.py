@@ -548,6 +548,12 @@ def item_tags(d):
     return demand.item_tags(d.imbuing(), d.delivery(), d.saved_prices)
 
 
+@query
+def item_labels(d):
+    """Every label of every listed item."""
+    return demand.item_labels(d.imbuing(), d.delivery())
+
+
 @query
 def similar_names(d):
     keys = names.name_keys(d.names())

@@ -585,6 +585,13 @@ oracle(
     "SELECT item, fair, delivery_npcs, npc_price FROM tags WHERE delivery_npcs <> '' AND contains(lower(item), 'e')",
     "tags",
 )
+oracle(
+    "item_labels",
+    """SELECT DISTINCT item_key, 'imbuement' AS kind, label FROM imbuing WHERE label <> ''
+       UNION ALL SELECT DISTINCT lower(item), 'buyer', CASE npc WHEN 'RashidTab' THEN 'Rashid' ELSE npc END FROM delivery WHERE npc NOT IN ('Everything', '')
+       UNION ALL SELECT DISTINCT lower(item), 'band', band FROM delivery WHERE band <> ''""",
+    "imbuing", "delivery",
+)
 oracle("distinct_names", "SELECT DISTINCT lower(item) AS item FROM creature_items", "creature_items")
 view(
     "marks",
