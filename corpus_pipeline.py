@@ -4,8 +4,9 @@ Each stage reads the documents that the one before kept, written as Parquet belo
 one operator of ``yieldloom.llm``. All but the last return the columns of documents; ``n_chars`` follows a changed text.
 
 Nulls: a null text is empty to every stage and stays null until the last. A document without id is judged for toxicity and
-secrets, links with nothing and is never a duplicate; its passages of benchmark items still reject it. Rows that repeat
-in all columns are copies of each other, of which one stays. An empty table gives empty stages.
+secrets, links with nothing and is never a duplicate; its passages of benchmark items still reject it. Rows of one id
+with different texts are judged each by its own text. Rows that repeat in id and text are copies of each other, of which
+one stays (the first by its other columns). Input columns may have any names. An empty table gives empty stages.
 """
 
 from __future__ import annotations
@@ -23,23 +24,33 @@ from yieldloom.session import fresh_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not use."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likelier toxic than not go."""
     scorer = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = toxicity.scored(docs, scorer, column="toxicity__")
-    return judged.filter(F.col("toxicity__") < 0.5).drop("toxicity__")
+    score = free_name(docs, "toxicity")
+    return toxicity.scored(docs, scorer, column=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near duplicates stays; of rows that share that id, one."""
-    groups = jaccard.near_duplicates(docs)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    stays = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    order = [F.col(c) for c in docs.columns if c != "doc_id"]
-    repeated = stays.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    single = stays.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    first = stays.join(repeated, "doc_id", "left_semi").withColumn("row__", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)))
-    return single.unionByName(first.filter("row__ = 1").select(*docs.columns)).unionByName(docs.filter("doc_id is null"))
+    """The document of least id of each group of near duplicates stays; of rows that share id and text, one."""
+    row, place = free_name(docs, "row"), free_name(docs, "place")
+    # A row goes by its id and its text's hash, ordered by id first: so the least of a group is its least id.
+    named = docs.filter("doc_id is not null").withColumn(row, F.struct("doc_id", F.xxhash64("text").alias("text")))
+    groups = jaccard.near_duplicates(named.select(row, "text"), key=row)
+    kept = groups.filter(F.col(row) == F.col("component_id")).groupBy(row).agg(F.count(F.lit(1)).alias("rows"))
+    stays = named.join(kept.select(row), row, "left_semi")
+    repeated = kept.filter("rows > 1").select(row)
+    single = stays.join(repeated, row, "left_anti").select(*docs.columns)
+    order = Window.partitionBy(row).orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(1)])
+    first = stays.join(repeated, row, "left_semi").withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1)
+    return single.unionByName(first.select(*docs.columns)).unionByName(docs.filter("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
