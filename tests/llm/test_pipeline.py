@@ -76,3 +76,12 @@ def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", SCHEMA), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    b, z = (" ".join(f"{w}{i}" for i in range(40)) for w in "bz")
+    rows = [(3, b, "x", 1, 1), (5, b + " more", "x", 2, 2), (5, z, "x", 3, 3), (5, z, "x", 4, 4), (7, None, "x", 5, 5), (7, None, "x", 6, 6), (None, b, "x", 7, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, row int, place int")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["row"]) for r in left) == sorted([(3, b, 1), (5, z, 3), (7, "", 5), (0, b, 7)])
+    assert docs.columns == list(left[0].asDict())

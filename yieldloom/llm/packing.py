@@ -37,7 +37,7 @@ REMEMBERED, LONGEST_CHUNK = 600_000, 200
 #: A word that the tokenizer's rules leave in one piece but for its case, and marks behind it that they take together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{}~]*)")
 #: Pieces of one length that are numbered in one go, and the most blocks a length is dealt into.
-BLOCK_ROWS, MOST_BLOCKS = 1000, 10_000
+BLOCK_ROWS, MOST_BLOCKS = 100, 10_000
 
 
 def _byte_letters() -> dict[int, int]:
