@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from yieldloom.operators import kills as kill_ops
 from yieldloom.operators import latest
+from yieldloom.operators import sessions
 from yieldloom.plans import gold
+from yieldloom.session import save_counted
 from yieldloom.sources import documents, sinks, snapshots
 
 AS_OF = dt.date(2026, 11, 20)
@@ -145,11 +147,11 @@ def by(rows, *keys):
 
 def test_sessions_of_the_windows(tables):
     info = {r["metric"]: r["value"] for r in tables[0]["build_info"]}
-    sessions = {"hunts": 6, "hunts_exp": 8, "events_excluded": 1, "sessions_le31d": 4, "sessions_le62d": 7}
+    windows = {"hunts": 6, "hunts_exp": 8, "events_excluded": 1, "sessions_le31d": 4, "sessions_le62d": 7}
     counted = {"price_items": "price_stats", "spawn_items": "spawn_items", "tagged_items": "item_tags", "manual_prices": "manual_prices"}
     lengths = {metric: len(tables[0][name]) for metric, name in counted.items()}
     assert info.pop("events_days") >= 1
-    assert info == sessions | lengths
+    assert info == windows | lengths
 
 
 def test_spawn_stats(tables):
@@ -303,3 +305,23 @@ def test_kills_follow_their_sessions_newest_snapshot(spark, tmp_path):
     write_csv(tmp_path / "2026-11-02" / "hunt_kills.csv", fields, [dict(zip(fields, r)) for r in [(1, "Ork", 7)]])
     got = sorted((r["hunt_id"], r["creature"], r["killed"]) for r in snapshots.recent_kills_of(spark, str(tmp_path)).collect())
     assert got == [("1", "Ork", 7), ("2", "Bat", 1)]
+
+
+def test_run_metrics_pass_over_the_sessions_once(spark):
+    day = dt.date(2026, 11, 28)
+    ages = [(1, 0, 0), (2, 31, 0), (3, 61, 0), (4, 63, 0), (5, 400, 0), (6, 3, 1), (6, 2, 1), (None, 2, 1), (None, 1, 0)]
+    rows = [(i, day - dt.timedelta(days=age), flag, "x") for i, age, flag in ages] + [(7, None, 0, "x")]
+    flagged = spark.createDataFrame(rows, "id int, hunt_date date, event_flag long, metric string")
+    out = sessions.run_metrics(flagged, F.lit(day), 365, 60, items=12)
+    expected = {"hunts": 3, "hunts_exp": 5, "sessions_le31d": 3, "sessions_le62d": 4, "events_excluded": 1, "items": 12}
+    assert {r["metric"]: r["value"] for r in out.collect()} == expected
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    none = sessions.run_metrics(flagged.limit(0), F.lit(day), 365, 60)
+    assert {r["value"] for r in none.collect()} == {0}
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_a_write_counts_its_rows(spark, n):
+    saved, counted = save_counted(spark.range(n).repartition(5), "counted")
+    assert counted == n == saved.count()

@@ -156,26 +156,21 @@ def kpi_best(stats: DataFrame) -> DataFrame:
     return best[0].unionByName(best[1])
 
 
-def run_metrics(profit: DataFrame, exp: DataFrame, excluded: DataFrame, as_of: Column, **tables: DataFrame) -> DataFrame:
-    """Counts of one run, one row per metric; excluded sessions are counted once. Further tables count by their names."""
-    age = F.datediff(as_of, F.col("hunt_date"))
+def run_metrics(flagged: DataFrame, as_of: Column, exp_days: int, profit_days: int, **n_rows: int) -> DataFrame:
+    """Counts of one run, one row per metric, by a single pass over the sessions with their ``event_flag``.
 
-    def long(df: DataFrame, **counts: Column) -> DataFrame:
-        wide = df.agg(*[c.cast("bigint").alias(n) for n, c in counts.items()])
-        return wide.unpivot([], list(counts), "metric", "value")
-
-    out = (
-        long(profit, hunts=F.count(F.lit(1)))
-        .unionByName(
-            long(
-                exp,
-                hunts_exp=F.count(F.lit(1)),
-                sessions_le31d=F.count_if(age <= 31),
-                sessions_le62d=F.count_if(age <= 62),
-            )
-        )
-        .unionByName(long(excluded, events_excluded=F.count_distinct("id")))
-    )
-    for name, table in tables.items():
-        out = out.unionByName(long(table, **{name: F.count(F.lit(1))}))
-    return out
+    Excluded sessions are counted once. ``n_rows`` are the sizes of further tables, as their writes counted them.
+    """
+    age = F.datediff(as_of, F.col("hunt_date"))
+    usable = F.col("event_flag") == 0
+    exp = usable & (age <= exp_days)
+    counts = {
+        "hunts": F.count_if(usable & (age <= profit_days)),
+        "hunts_exp": F.count_if(exp),
+        "sessions_le31d": F.count_if(exp & (age <= 31)),
+        "sessions_le62d": F.count_if(exp & (age <= 62)),
+        "events_excluded": F.count_distinct(F.when(F.col("event_flag") == 1, F.col("id"))),
+        **{name: F.lit(n) for name, n in n_rows.items()},
+    }
+    wide = flagged.agg(*[c.cast("bigint").alias(name) for name, c in counts.items()])
+    return wide.unpivot([], list(counts), "metric", "value")

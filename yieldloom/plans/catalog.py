@@ -16,11 +16,11 @@ from ..functions.text import (
 )
 from ..operators import consensus as con
 from ..operators import capture, content, demand, events, extract, kills, latest, names, order_stats, prices, sessions, topk
-from ..session import fresh_path, save
+from ..session import fresh_path, save, save_counted
 from ..sources import documents, keyed_store, sinks, snapshots
 from ..sources.capture_store import CaptureStore
 from ..streaming import incremental
-from .domain import MIN_YEAR, Domain
+from .domain import EXP_DAYS, MIN_YEAR, PROFIT_DAYS, Domain
 
 QUERIES: dict[str, Callable[[Domain], DataFrame]] = {}
 
@@ -264,14 +264,15 @@ def history_daily(d):
 
 @query
 def build_info(d):
-    rows = d.sessions()
-    fresh = sessions.recent(rows, d.as_of, 365)
-    excluded = sessions.flag_events(fresh, d.event_days()).filter("event_flag = 1")
-    tags = demand.item_tags(d.imbuing(), d.delivery(), d.saved_prices)
-    return sessions.run_metrics(
-        d.profit_sessions(), d.exp_sessions(), excluded, d.as_of, price_items=d.saved_prices, tagged_items=tags,
-        spawn_items=spawn_items(d), events_days=d.event_days(), manual_prices=manual_prices(d),
-    )
+    days, n_days = save_counted(d.event_days(), "event-days")
+    flagged = sessions.flag_events(sessions.recent(d.sessions(), d.as_of, EXP_DAYS), days)
+    prices_table, n_prices = d.counted_prices
+    written = {
+        "tagged_items": demand.item_tags(d.imbuing(), d.delivery(), prices_table),
+        "spawn_items": spawn_items(d), "manual_prices": manual_prices(d),
+    }
+    sizes = {name: save_counted(df, name)[1] for name, df in written.items()}
+    return sessions.run_metrics(flagged, d.as_of, EXP_DAYS, PROFIT_DAYS, price_items=n_prices, events_days=n_days, **sizes)
 
 
 # ---- scalar parsing -----------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from ..operators.prices import price_stats
 from ..operators.sessions import bracket_tags, exclude_events, recent, spawn_stats, with_bracket_sets, with_brackets
 from ..operators.kills import calibration_sessions, missing_values, spawn_profit, value_per_kill
 from ..operators.demand import delivery_rows
-from ..session import save
+from ..session import save, save_counted
 
 PROFIT_DAYS, EXP_DAYS, MIN_YEAR = 60, 365, 2026
 TIERS = ("Basic", "Intricate", "Powerful")
@@ -96,8 +96,12 @@ class Domain:
         return save(self.kills(self.calibration()), "calibration-kills")
 
     @cached_property
+    def counted_prices(self) -> tuple[DataFrame, int]:
+        return save_counted(self.prices(), "prices")
+
+    @property
     def saved_prices(self) -> DataFrame:
-        return save(self.prices(), "prices")
+        return self.counted_prices[0]
 
     def exp_sessions(self) -> DataFrame:
         return exclude_events(recent(self.sessions(), self.as_of, EXP_DAYS), self.event_days())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import consensus, demand, events, kills, prices, sessions
 from ..operators.latest import latest_by_key
-from ..session import save
+from ..session import save, save_counted
 from ..sources import documents, sinks, snapshots
 
 OFFER_SIDE = "array<struct<name:string,price:bigint,amount:bigint>>"
@@ -136,7 +136,9 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     as_of = F.lit(s.as_of)
     tags = sessions.bracket_tags(s.brackets)
     dated = sessions.year_floor(silver.sessions, F.year("hunt_date"), s.min_year, keep_undated=True)
-    widest = save(sessions.flag_events(sessions.recent(dated, as_of, max(s.exp_days, s.profit_days)), silver.event_days), "sessions")
+    event_days, n_event_days = save_counted(silver.event_days, "event-days")
+    manual, n_manual = save_counted(silver.manual, "manual-prices")
+    widest = save(sessions.flag_events(sessions.recent(dated, as_of, max(s.exp_days, s.profit_days)), event_days), "sessions")
     usable = widest.filter("event_flag = 0")
     exp = sessions.recent(usable, as_of, s.exp_days)
     profit = sessions.recent(usable, as_of, s.profit_days)
@@ -146,8 +148,8 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
         silver.offers, silver.averages, item_rules(silver, s), s.use_unfair_filter, s.exclude_anonymous, s.max_sell_cap
     )
     judged = save(judged, "price-levels")
-    price_table = save(prices.price_measures(judged, silver.metadata, s.trim_percent), "prices")
-    tags_table = save(demand.item_tags(silver.imbuing, silver.delivery, price_table), "item-tags")
+    price_table, n_prices = save_counted(prices.price_measures(judged, silver.metadata, s.trim_percent), "prices")
+    tags_table, n_tags = save_counted(demand.item_tags(silver.imbuing, silver.delivery, price_table), "item-tags")
 
     calibration = kills.calibration_sessions(usable, as_of)
     values = save(kills.value_per_kill(calibration, kill_rows), "values")
@@ -163,8 +165,7 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
     )
     rows = consensus.evidence(profit_table, stats, silver.guides, silver.claims, as_of, s.min_year, tags)
     compared, members = consensus.profit_compare(rows)
-    excluded = widest.filter("event_flag = 1")
-    places = save(
+    places, n_places = save_counted(
         kills.spawn_items(silver.all_sessions, kill_rows, silver.creature_items, price_table, silver.metadata), "spawn-items"
     )
     ranked = {
@@ -193,10 +194,10 @@ def build_tables(silver: Silver, s: Settings) -> dict[str, DataFrame]:
         "cluster_members": members,
         "profit_consensus": consensus.consensus(compared),
         "build_info": sessions.run_metrics(
-            profit, exp, excluded, as_of, price_items=price_table, spawn_items=places, tagged_items=tags_table,
-            events_days=silver.event_days, manual_prices=silver.manual,
+            widest, as_of, s.exp_days, s.profit_days, price_items=n_prices, spawn_items=n_places, tagged_items=n_tags,
+            events_days=n_event_days, manual_prices=n_manual,
         ),
-        "manual_prices": silver.manual,
+        "manual_prices": manual,
     }
 
 

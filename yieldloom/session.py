@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "8", app: str = "yieldloom") -> SparkSession:
@@ -57,6 +58,13 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``save`` with the number of rows, which the write counts as it goes: no scan of its own."""
+    written = Observation()
+    saved = save(df.observe(written, F.count(F.lit(1)).alias("n_rows")), label)
+    return saved, written.get["n_rows"]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so an iterative job neither grows its plan nor loses its rounds."""
     context = df.sparkSession.sparkContext
