@@ -824,6 +824,7 @@ oracle(
        FROM keyed LEFT JOIN title_root ON node = array_to_string(tokens, ' ')""",
     "keyed", "title_root",
 )
+oracle("name_clusters_grown", ORACLE["name_clusters"])
 view(
     "evidence",
     """SELECT bracket, spawn, 'computed' AS kind, 'sessions+kills model' AS source, profit_computed_h AS lo, profit_computed_h AS hi,

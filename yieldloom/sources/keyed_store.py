@@ -99,9 +99,14 @@ def fold(
     _publish(spark, path, number, {"schema": rows.schema.json(), "buckets": entries, "notes": {**held["notes"], **(notes or {})}})
 
 
-def read(spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str], only: Column | None = None) -> DataFrame:
-    """The store's state: newest row per key. ``only`` is applied to keys before rows are compared."""
-    now = manifest(spark, path)
+def read(
+    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str], only: Column | None = None, before: int | None = None
+) -> DataFrame:
+    """The store's state: newest row per key. ``only`` is applied to keys before rows are compared.
+
+    With ``before`` the state is the one that the runs before that number left.
+    """
+    now = manifest(spark, path, before)
     rows = _rows(spark, path, StructType.fromJson(json.loads(now["schema"])), now["buckets"])
     rows = rows if only is None else rows.filter(only)
     return latest_by_key(rows, keys, [*version, PART]).drop(PART)
