@@ -15,10 +15,11 @@ from ..functions.text import (
     epoch_text, event_days, first_number, lenient_int, parse_duration, parse_money_range, parse_session_date, year_of,
 )
 from ..operators import consensus as con
-from ..operators import capture, content, demand, events, extract, kills, latest, names, order_stats, prices, sessions, topk
+from ..operators import capture, content, demand, events, extract, kills, latest, names, order_stats, prices, sessions, targets, topk
 from ..session import fresh_path, save, save_counted
 from ..sources import documents, keyed_store, sinks, snapshots
 from ..sources.capture_store import CaptureStore
+from ..sources.lookup_cache import LookupCache
 from ..streaming import incremental
 from .domain import EXP_DAYS, MIN_YEAR, PROFIT_DAYS, Domain
 
@@ -544,6 +545,45 @@ def retry_cooldown(d):
     return latest.cooled_down(pending, failures, "creature", d.as_of)
 
 
+@query
+def lookup_cache(d):
+    """Two days of creature lookups, half of the creatures and then all; what is held and what failed when."""
+    cache = LookupCache(d.spark, fresh_path(d.spark, "lookup-cache"), "creature")
+    wanted = save(latest.distinct_names(d.kills(), "creature"), "wanted-creatures")
+    source = d.creature_items().filter(~F.col("item").startswith("SMALL"))
+    source = source.groupBy("creature").agg(F.count_distinct("item").alias("n_items"))
+    first = F.md5("creature") < "8"
+    for number, (asked, days) in enumerate([(wanted.filter(first), 10), (wanted, 5)], 1):
+        day = F.date_sub(d.as_of, days)
+        tried = save(cache.pending(asked, day), "tried-creatures")
+        cache.record(number, tried, save(source.join(tried, "creature", "left_semi"), "answers"), day)
+    held = cache.answers().select("creature", "n_items", F.lit("held").alias("state"), F.col("answered_on").alias("noted_on"))
+    failed = cache.failures().select(
+        "creature", F.lit(None).cast("bigint").alias("n_items"), F.lit("failed").alias("state"), F.col("failed_on").alias("noted_on")
+    )
+    return held.unionByName(failed).select("creature", "n_items", "state", _day("noted_on"))
+
+
+def _order_targets(d: Domain, daily: int | None) -> DataFrame:
+    plural = F.when(F.col("p_partkey") % 2 == 0, "s").otherwise("")
+    watch = d.table("part").filter("p_size = 1 and p_brand = 'Brand#2'").select(F.concat(d.item_name(), plural).alias("name"))
+    wanted = targets.wanted_items(watch, d.creature_items(), d.metadata())
+    volumes = demand.monthly_volume(latest.last_captures(d.volumes(), 2))
+    return targets.capture_targets(wanted, volumes, d.rules(), 300, daily)
+
+
+@query
+def order_targets(d):
+    """Items today's order-book capture has still to fetch."""
+    return _order_targets(d, 40)
+
+
+@query
+def order_targets_full(d):
+    """Items the weekly order-book capture has still to fetch."""
+    return _order_targets(d, None)
+
+
 @query
 def item_tags(d):
     return demand.item_tags(d.imbuing(), d.delivery(), d.saved_prices)

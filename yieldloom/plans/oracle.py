@@ -535,6 +535,39 @@ oracle(
 _WANTED = f"SELECT p_partkey AS item_id, lower({ITEM}) AS name, CASE WHEN p_size = 1 AND p_brand = 'Brand#2' THEN 1 ELSE 0 END AS watched FROM part"
 view("full_quota", f"SELECT *, row_number() OVER (ORDER BY watched DESC, name, item_id) AS position FROM ({_WANTED}) QUALIFY position <= 300")
 oracle("quota_full", "SELECT * FROM full_quota", "full_quota")
+view(
+    "target_items",
+    f"""SELECT coalesce(e.id, s.id) AS item_id, max(watched) AS watched, min(w.name) AS name
+       FROM (SELECT lower({ITEM}) || CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END AS name, 1 AS watched FROM part WHERE p_size = 1 AND p_brand = 'Brand#2'
+             UNION ALL SELECT lower(item), 0 FROM creature_items) w
+       LEFT JOIN named_items e ON e.key = w.name LEFT JOIN named_items s ON w.name LIKE '%s' AND s.key = left(w.name, length(w.name) - 1)
+       GROUP BY 1 HAVING item_id IS NOT NULL""",
+    "creature_items", "named_items",
+)
+view(
+    "target_quota",
+    """SELECT item_id, t.name, watched, coalesce(volume, 0) AS volume, position FROM (
+         SELECT *, row_number() OVER (ORDER BY watched DESC, name, item_id) AS position FROM target_items) t
+       LEFT JOIN volumes USING (item_id) WHERE position <= 300""",
+    "target_items", "volumes",
+)
+_HELD = "item_id IN (SELECT p_partkey FROM part WHERE p_size <= 2)"
+oracle("order_targets_full", f"SELECT * FROM target_quota WHERE NOT {_HELD}", "target_quota")
+oracle(
+    "order_targets",
+    f"""SELECT * FROM (SELECT item_id, name, watched, volume,
+           row_number() OVER (ORDER BY watched DESC, CASE WHEN watched = 0 THEN volume END DESC NULLS LAST, name, item_id) AS position
+         FROM target_quota) WHERE position <= 40 AND NOT {_HELD}""",
+    "target_quota",
+)
+oracle(
+    "lookup_cache",
+    """SELECT creature, n_items, CASE WHEN n_items IS NULL THEN 'failed' ELSE 'held' END AS state,
+         strftime(d - CASE WHEN md5(creature) < '8' THEN 10 ELSE 5 END, '%Y-%m-%d') AS noted_on
+       FROM (SELECT DISTINCT creature FROM kills) LEFT JOIN (
+         SELECT creature, count(DISTINCT item) AS n_items FROM creature_items WHERE item NOT LIKE 'SMALL%' GROUP BY creature) USING (creature), as_of""",
+    "kills", "creature_items", "as_of",
+)
 oracle(
     "quota_daily",
     """SELECT item_id, name, watched, coalesce(volume, 0) AS volume,
