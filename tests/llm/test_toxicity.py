@@ -1,5 +1,7 @@
 """Restoration of disguised words, calibration, and held-out accuracy on planted documents."""
 
+import itertools
+import math
 import random
 import zlib
 
@@ -19,13 +21,52 @@ def model():
 
 @pytest.mark.parametrize(
     "disguise, word",
-    [("1d10t", "idiot"), ("idiooot", "idiot"), ("m0r0n", "moron"), ("p@th3t!c", "pathetic"), ("p4thetic", "pathetic"), ("id*ot", "idiot"), ("i-d-i-o-t", "idiot"), ("mmmorooonn", "moron"), ("1d107", "idiot"), ("mmoorroonn", "moron"), ("i*iot", "idiot")],
+    [("1d10t", "idiot"), ("idiooot", "idiot"), ("m0r0n", "moron"), ("p@th3t!c", "pathetic"), ("p4thetic", "pathetic"), ("id*ot", "idiot"), ("i-d-i-o-t", "idiot"), ("mmmorooonn", "moron"), ("1d107", "idiot"), ("mmoorroonn", "moron"), ("i*iot", "idiot"), ("morron", "moron"), ("i**ot", "idiot"), ("pa**etic", "pathetic"), ("p*t*e*ic", "pathetic")],
 )
 def test_restores(model, disguise, word):
     core = toxicity.disguised(disguise)
     assert core and toxicity.restore(core, model) == word
 
 
+def exhaustive(unit, model, spaced):
+    """Best log chance over every path of the lattice, with whole contexts."""
+    best = -math.inf
+    for path in itertools.product(*toxicity._options(unit, spaced)):
+        text = " "
+        total = sum(chance for _, chance in path)
+        for c in "".join(letters for letters, _ in path) + " ":
+            total += model.log(text.split(" ")[-1][-4:] if len(text.split(" ")[-1]) >= 4 else " " + text.split(" ")[-1], c)
+            text += c
+        best = max(best, total)
+    return best
+
+
+def test_search_is_exhaustive(model):
+    rng = random.Random(3)
+    for _ in range(150):
+        spaced = rng.random() < 0.3
+        unit = "".join(rng.choice("idotmrnpahe1034@!xq") for _ in range(rng.randint(1, 4 if spaced else 6)))
+        if not spaced and rng.random() < 0.5:
+            at = rng.randrange(len(unit))
+            unit = unit[:at][:2] + "*" + rng.choice(["", "*"]) + unit[at:][:2]
+        assert toxicity.likeliest(unit, model, spaced)[0] == pytest.approx(exhaustive(unit, model, spaced), abs=1e-9), unit
+
+
+def test_long_unit(model):
+    unit = "m0r0n1d10t" * 5000
+    assert len(toxicity.restore(unit, model)) > 30_000
+
+
+def test_common_words_with_doubled_letters_stay():
+    assert toxicity.disguised("better,", frozenset(["better"])) is None and toxicity.disguised("bettter", frozenset(["bettter"])) == "bettter"
+    assert toxicity.disguised("morron", frozenset(["better"])) == "morron"
+
+
+def test_two_letters_one_by_one():
+    scorer = toxicity.Scorer({"ass ": 0.9}, toxicity.CharModel({"ass": 50, "the": 1000, "a": 1000}))
+    assert scorer.raw("you a s s !") == 0.9 and scorer.raw("- - - -") == 0.0 and scorer.raw("x x x") == 0.0
+
+
 def test_restores_letters_one_by_one(model):
     assert toxicity.restore("i d i o t", model, spaced=True) == "idiot"
     assert toxicity.restore("m 0 r 0 n", model, spaced=True) == "moron"

@@ -4,7 +4,8 @@
   1 / ``WORD_SHARE`` of them) give a character model of order ``ORDER``, with interpolated orders below.
 * Channel: a token whose letters are mixed with other characters or repeated, and letters written one by one, become a
   lattice: look-alike characters may stand for letters, a repeated letter or a foreign character for nothing, and between
-  single letters a word may end. A Viterbi search finds the likeliest text behind it.
+  single letters a word may end. A Viterbi search over all contexts of the character model finds the likeliest text
+  behind it. Plain words are looked at as well if a letter is doubled and they are not common words.
 * Score: features are words and word beginnings. Their chance of a toxic document is learned from labelled documents, from
   a bounded sample (``SAMPLE`` rows by hash of the id), in which near copies (equal least shingle) count once. A feature is used
   when its association is beyond chance among a million features. A text's raw score is the greatest chance of any feature
@@ -34,7 +35,6 @@ from .words import byte_texts, shingle_sets, small
 SAMPLE = 12_000
 WORD_SHARE = 2.0**-17
 ORDER = 5
-BEAM = 16
 #: Words and tokens a task remembers; beyond this it starts anew.
 REMEMBERED = 200_000
 BEGINNINGS = (3, 4, 5, 6)
@@ -51,12 +51,14 @@ VOWELS = "aeiou"
 LETTERS = re.compile(r"[^\W\d_]+")
 ONE_BY_ONE = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 DRAWN_OUT = re.compile(r"([^\W\d_])\1\1|(?:([^\W\d_])\2){3}")
+DOUBLED = re.compile(r"([^\W\d_])\1")
 
 
 class CharModel:
     """Interpolated character model of words."""
 
     def __init__(self, words: dict[str, int]):
+        self.words = frozenset(words)
         self.counts: Counter = Counter()
         self.totals: Counter = Counter()
         for word, n in words.items():
@@ -67,6 +69,31 @@ class CharModel:
                     self.counts[context + padded[i]] += n
                     self.totals[context] += n
         self.known: dict[tuple[str, str], float] = {}
+        self.taken: dict[tuple[str, str], tuple[float, str]] = {}
+
+    def forget(self) -> None:
+        """Drop chances and steps computed so far."""
+        self.known.clear()
+        self.taken.clear()
+
+    def step(self, state: str, letters: str) -> tuple[float, str]:
+        """Log chance of letters (none, one, or a blank and one) behind a state, and the state after them.
+
+        A state is the longest ending of a context that the model has counts for. Longer contexts give every
+        further character the same chance, so paths that meet in a state need not be told apart.
+        """
+        found = self.taken.get((state, letters))
+        if found is None:
+            own, total = state, 0.0
+            for c in letters:
+                total += self.log(own, c)
+                own = " " if c == " " else (own + c)[-(ORDER - 1) :]
+            while own and own not in self.totals:
+                own = own[1:]
+            if len(self.taken) > REMEMBERED:
+                self.taken.clear()
+            found = self.taken[state, letters] = total, own
+        return found
 
     def log(self, context: str, c: str) -> float:
         """Log chance of a character behind up to ``ORDER - 1`` others."""
@@ -111,34 +138,41 @@ def _options(unit: str, spaced: bool) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(unit: str, model: CharModel, spaced: bool = False) -> str:
-    """Likeliest text behind a disguised unit in lower case."""
+def likeliest(unit: str, model: CharModel, spaced: bool = False) -> tuple[float, str]:
+    """Likeliest text behind a disguised unit in lower case, with its log chance; no path through the lattice is cut."""
     observed = re.sub(r"[\s._\-]+", "", unit) if spaced else unit
-    paths = {" ": (0.0, "")}
+    # A state's best path: its log chance, and its letters as a chain that paths with a common start share.
+    paths: dict[str, tuple[float, tuple | None]] = {model.step("", " ")[1]: (0.0, None)}
+    step = model.step
     for options in _options(observed, spaced):
-        grown: dict[str, tuple[float, str]] = {}
-        for context, (score, text) in paths.items():
+        grown: dict[str, tuple[float, tuple | None]] = {}
+        for state, (score, chain) in paths.items():
             for letters, chance in options:
-                own, total = context, score + chance
-                for c in letters:
-                    total += model.log(own, c)
-                    own = (own + c)[-(ORDER - 1) :]
-                    if c == " ":
-                        own = " "
-                if own not in grown or total > grown[own][0]:
-                    grown[own] = (total, text + letters)
+                gained, own = step(state, letters)
+                total = score + chance + gained
+                held = grown.get(own)
+                if held is None or total > held[0]:
+                    grown[own] = total, (chain, letters) if letters else chain
         paths = grown
-        if len(paths) > BEAM:
-            paths = dict(sorted(paths.items(), key=lambda p: -p[1][0])[:BEAM])
-    return max(paths.items(), key=lambda p: (p[1][0] + model.log(p[0], " "), p[1][1]))[1][1].strip()
+    score, _, chain = max(((score + model.log(state, " "), state, chain) for state, (score, chain) in paths.items()), key=lambda p: p[:2])
+    parts = []
+    while chain is not None:
+        chain, letters = chain
+        parts.append(letters)
+    return score, "".join(reversed(parts)).strip()
+
+
+def restore(unit: str, model: CharModel, spaced: bool = False) -> str:
+    """Likeliest text behind a disguised unit in lower case."""
+    return likeliest(unit, model, spaced)[1]
 
 
-def disguised(token: str) -> str | None:
+def disguised(token: str, common: frozenset[str] = frozenset()) -> str | None:
     """The part of a token that needs restoring; none for plain words, numbers and punctuation."""
     core = token.strip(".,;:\"'()[]{}…")
     core = re.sub(r"^([^\w\s])\1+|([^\w\s])\2+$", "", core)  # a run of one sign around a word
     if core.isalpha():
-        return core if DRAWN_OUT.search(core) else None
+        return core if DRAWN_OUT.search(core) or (core not in common and DOUBLED.search(core)) else None
     letters = sum(c.isalpha() for c in core)
     likely = sum(c.isalpha() or c in LOOKS_LIKE or c in WILD for c in core)
     if letters < 1 or likely < 3 or letters * 5 < len(core):
@@ -177,7 +211,7 @@ class Scorer:
     def forget(self) -> None:
         """Drop what tokens are worth; a worker process keeps the scorer for later tasks."""
         self.tokens.clear()
-        self.model.known.clear()
+        self.model.forget()
 
     def _word(self, word: str) -> float:
         return max((self.chances.get(f, 0.0) for f in features_of(word)), default=0.0)
@@ -188,7 +222,7 @@ class Scorer:
             if len(self.tokens) > REMEMBERED:
                 self.tokens.clear()
             found = max((self._word(w) for w in LETTERS.findall(token)), default=0.0)
-            core = disguised(token)
+            core = disguised(token, self.model.words)
             if core:
                 found = max([found, *(self._word(w) for w in restore(core, self.model).split())])
             self.tokens[token] = found
@@ -207,8 +241,8 @@ class Scorer:
         lower = text.lower()
         best = max(map(self._token, set(lower.split())), default=0.0)
         for m in ONE_BY_ONE.finditer(lower):
-            seen = set(m[0])
-            if len(seen) > 3 and any(c.isalpha() for c in seen) and sum(c.isalpha() or c in LOOKS_LIKE for c in m[0]) >= 3:
+            seen = {c for c in m[0] if not c.isspace()}
+            if len(seen) > 1 and any(c.isalpha() for c in seen) and sum(c.isalpha() or c in LOOKS_LIKE for c in m[0]) >= 3:
                 for word in restore(m[0], self.model, spaced=True).split():
                     best = max(best, self._word(word))
         return round(best, 4)
