@@ -79,6 +79,25 @@ def test_constant_parts_among_equal_labels(spark):
         assert r["text"] == "\n\n".join([f"by {i}", f"lead {i}", f"some {i}", f"heading {i}", f"more {i}"])
 
 
+def test_wrapper_decides_below_named_articles(spark):
+    """Teasers named like articles and a text that the site puts into every article are none of it; copies prove nothing."""
+    teasers = "".join(f"<div class='post'><a href='/{k}'>See also number {k}</a></div>" for k in range(3))
+    rows = [
+        (i, "http://many/", page(f"<article><h1>Title {i}</h1><p>Own text {i}</p><div><p>We live on gifts</p></div></article><div class='x'>{teasers}</div>"))
+        for i in range(30)
+    ]
+    rows += [(100 + i, "http://copies/", page(f"<article><h1>One title</h1><p>Text {i % 2}</p></article>")) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for r in wrappers.extracted(df).collect():
+        i = r["page_id"]
+        assert r["text"] == (f"Title {i}\n\nOwn text {i}" if i < 100 else f"One title\n\nText {i % 2}")
+
+
+def test_article_below_many_elements():
+    source = page("<div>menu</div>" + "<div>" * 40 + "<article><p>deep</p></article>" + "</div>" * 40 + "<div>end</div>")
+    assert wrappers.main_text(source, None) == "deep"
+
+
 def test_union_free_expression():
     pages = ["<div><p>a</p><p>b</p></div><ul><li>x</ul>", "<div><p>c</p></div>", "<div><h2>t</h2><p>d</p></div><ul><li>x<li>y</ul>"]
     whole = None

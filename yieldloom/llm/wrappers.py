@@ -6,11 +6,15 @@ repeated group, whose rounds are aligned with each other in the same way. Where
 a repeated group of optional parts. There is no other alternative in it, so the expression is union-free.
 
 The wrapper tells how a host builds its pages: for each part whether its texts are the same on all pages (the site's own)
-or slots, how much text the slots hold, and how much of it is links. The main part is the article the markup names, or else
-the part below which most slot text outside links is found. A page's blocks inside the main part are its text, without what
-tags, roles, classes or ids mark as menu, header, footer, sidebar, notice, advert, form or comment. Outside a named
-article, texts that are the same on all of a host's pages go as well: blocks whose own text is that of such a part, not others that
-lie below the same labels.
+or slots, how much text the slots hold, and how much of it is links. On every page the wrapper says where the main parts lie.
+Names in the markup (``<article>``, role, class, id) are evidence for it: named parts whose slots hold text that is not
+mostly links, over all of the host's pages; lists of teasers and named parts that the site repeats are none. Where the
+wrapper has no such part it is the one below which most slot text outside links is found. A page's blocks inside the main parts
+are its text, without what tags, roles, classes or ids mark as menu, header, footer, sidebar, notice, advert, form or
+comment. Texts that are the same on all of a host's pages go as well: blocks whose own text is that of such a part, not
+others that lie below the same labels. Inside a named part that takes more proof: the part is on every page, and the host
+has at least ``PROVEN_PAGES`` pages whose texts differ, copies counted once. A page that the wrapper does not match is
+read by its own markup.
 
 Wrappers are built inside partitions first, a host's partial wrappers are then merged in two rounds, so a host with a third of
 all pages is no single group. A wrapper's size is bounded (``MOST_PARTS`` a level, ``MOST_DEPTH`` levels).
@@ -38,6 +42,9 @@ MOST_PARTS = 48
 MOST_DEPTH = 24
 #: Hosts whose wrappers a task holds; beyond this it hands them on and starts anew.
 HELD_HOSTS = 2000
+#: Different pages that show a text inside a named article to be the site's own, and links' share of a list of them.
+PROVEN_PAGES = 20
+MOSTLY_LINKS = 0.8
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|noscript|template|svg|iframe|textarea|select|object|canvas|math)\b"
@@ -73,7 +80,7 @@ MAIN_WORDS = set("article articlebody post entry story maincontent".split())
 class Part:
     """A node of a page or a wrapper."""
 
-    __slots__ = ("label", "children", "text", "same", "slot_chars", "link_chars", "seen", "optional", "repeated")
+    __slots__ = ("label", "children", "text", "same", "slot_chars", "link_chars", "seen", "optional", "repeated", "pages")
 
     def __init__(self, label: str):
         self.label = label
@@ -83,10 +90,11 @@ class Part:
         self.slot_chars = self.link_chars = 0
         self.seen = 1
         self.optional = self.repeated = False
+        self.pages: set[int] = set()  # of the whole page: smallest digests of the pages' texts, ``PROVEN_PAGES`` at most
 
     def packed(self) -> list:
         flags = self.optional + 2 * self.repeated + 4 * self.same
-        return [self.label, flags, self.text, self.slot_chars, self.link_chars, self.seen, [c.packed() for c in self.children]]
+        return [self.label, flags, self.text, self.slot_chars, self.link_chars, self.seen, [c.packed() for c in self.children], sorted(self.pages)]
 
     @staticmethod
     def unpacked(x: list) -> Part:
@@ -94,6 +102,7 @@ class Part:
         part.optional, part.repeated, part.same = bool(x[1] & 1), bool(x[1] & 2), bool(x[1] & 4)
         part.text, part.slot_chars, part.link_chars, part.seen = x[2:6]
         part.children = [Part.unpacked(c) for c in x[6]]
+        part.pages = set(x[7])
         return part
 
     def expression(self) -> str:
@@ -149,8 +158,10 @@ class Block:
 def read(page: str) -> tuple[Part, list[Block]]:
     """A page as nested parts, and its blocks in order. Markup errors are mended as browsers do, roughly."""
     root = Part("page")
-    # Open elements: tag, part, whether it or one around it is no main text, whether inside a link.
-    stack: list[tuple[str, Part, bool, bool]] = [("", root, False, False)]
+    # Open elements: tag, part, whether it or one around it is no main text, whether inside a link, whether inside a
+    # named article, place of the nearest block.
+    stack: list[tuple[str, Part, bool, bool, bool, int]] = [("", root, False, False, False, 0)]
+    paths: list[tuple] = [(root,)]  # of the open elements
     blocks: list[Block] = []
     block: Block | None = None
 
@@ -158,17 +169,16 @@ def read(page: str) -> tuple[Part, list[Block]]:
         nonlocal block
         if any(t[0] in BLOCKS for t in stack[depth:]):
             block = None
-        del stack[depth:]
+        del stack[depth:], paths[depth:]
 
     for m in TOKEN.finditer(page):
         token = m[0]
         if token[0] != "<" or token == "<":
-            _, _, out, link = stack[-1]
+            _, _, out, link, _, holder = stack[-1]
             if block is None:
                 if token.isspace():
                     continue
-                holder = max(k for k, s in enumerate(stack) if s[0] in BLOCKS or not s[0])
-                block = Block(tuple(s[1] for s in stack[: holder + 1]), stack[holder][2])
+                block = Block(paths[holder], stack[holder][2])
                 blocks.append(block)
             block.pieces.append((token, link, out))
             continue
@@ -209,18 +219,20 @@ def read(page: str) -> tuple[Part, list[Block]]:
                         break
                 elif stack[depth][0] in SCOPE.get(tag, ()):
                     break
-        label, away, hidden = label_of(tag, token[name.end() :], any(s[1].label.endswith("*") for s in stack))
+        label, away, hidden = label_of(tag, token[name.end() :], stack[-1][4])
         if tag in BLOCKS:
             block = None
-        out = stack[-1][2] or away or hidden or tag in SKIPPED
-        parent = stack[-1][1]
-        if len(stack) < MOST_DEPTH:
+        _, parent, around_out, around_link, named, holder = stack[-1]
+        part, path = parent, paths[-1]
+        # An article is a part however deep it lies.
+        if len(path) < MOST_DEPTH or label.endswith("*") and not named:
             part = Part(label)
             parent.children.append(part)
-        else:
-            part = parent
+            path = (*path, part)
         if not token.endswith("/>") or tag in BLOCKS:
-            stack.append((tag, part, out, stack[-1][3] or tag == "a"))
+            out = around_out or away or hidden or tag in SKIPPED
+            stack.append((tag, part, out, around_link or tag == "a", named or label.endswith("*"), len(stack) if tag in BLOCKS else holder))
+            paths.append(path)
     return root, blocks
 
 
@@ -236,13 +248,17 @@ def _digest(text: str) -> str:
 
 def skeleton(root: Part, blocks: list[Block]) -> Part:
     """A page's parts with the amounts of their texts, equal neighbours folded into repeated parts."""
+    whole = 0
     for block in blocks:
         part = block.path[-1]
         text = text_of(block, True)
+        if not block.out:
+            whole = zlib.crc32(text.encode("utf-8", "surrogatepass"), whole)
         linked = sum(len(t) for t, link, _ in block.pieces if link)
         part.text = _digest(text) if part.text is None else f"{part.text},{_digest(text)}"
         part.slot_chars += len(text)
         part.link_chars += min(linked, len(text))
+    root.pages = {whole}
     return _folded(root)
 
 
@@ -282,6 +298,7 @@ def align(a: Part, b: Part, one_page: bool = False) -> Part:
     else:
         a.same = a.same and b.same and a.text == b.text
         a.seen += b.seen
+        a.pages = set(sorted(a.pages | b.pages)[:PROVEN_PAGES])
     if not a.same:
         a.text = "#"
     a.slot_chars += b.slot_chars
@@ -323,33 +340,48 @@ def align(a: Part, b: Part, one_page: bool = False) -> Part:
 
 
 def rules(wrapper: Part) -> dict:
-    """What a wrapper says about its host's pages: the path of labels of the main part, and the site's own texts by path and digest."""
+    """What a wrapper says about its host's pages, by paths of labels: its named main parts, other named parts, the main part of pages
+    that hold none of the former, and the site's own texts by path and digest."""
+    proven = len(wrapper.pages) >= PROVEN_PAGES
 
-    def is_own(part: Part) -> bool:
-        return part.text is not None and part.same and part.seen >= 3
+    def is_own(part: Part, named: bool) -> bool:
+        if part.text is None or not part.same:
+            return False
+        return proven and part.seen == wrapper.seen and not (part.optional or part.repeated) if named else part.seen >= 3
 
     def skipped(part: Part) -> bool:
         return part.label.endswith("!") or part.label.split(".")[0] in SKIPPED
 
     own: list[tuple] = []
+    articles: dict[tuple, list[float]] = {}  # slot text of the outermost named parts, and what of it is links
 
-    def walk(part: Part, path: tuple) -> tuple[float, tuple]:
+    def walk(part: Part, path: tuple, article: tuple | None) -> tuple[float, tuple]:
         """Slot text outside links below a part, and the deepest path that still holds most of it."""
         if skipped(part):
             return 0.0, path
         path = (*path, part.label)
-        if is_own(part):
+        if article is None and part.label.endswith("*"):
+            article = path
+        constant = is_own(part, article is not None)
+        if constant:
             own.extend((path, text) for text in part.text.split(","))
-        weight = 0.0 if is_own(part) else float(part.slot_chars - part.link_chars)
-        found = [walk(c, path) for c in part.children]
+        elif article:
+            sums = articles.setdefault(article, [0.0, 0.0])
+            sums[0] += part.slot_chars
+            sums[1] += part.link_chars
+        weight = 0.0 if constant else float(part.slot_chars - part.link_chars)
+        found = [walk(c, path, article) for c in part.children]
         weight += sum(w for w, _ in found)
         best = max(zip(found, part.children), key=lambda x: x[0][0], default=None)
         if best and weight and best[0][0] >= 0.8 * weight and not _is_text_block(best[1].label):
             return weight, best[0][1]
         return weight, path
 
-    weight, main = walk(wrapper, ())
-    return {"main": list(main), "own": [[list(p), text] for p, text in own] if weight else []}
+    weight, main = walk(wrapper, (), None)
+    heaviest = max(articles, key=lambda a: articles[a][0] - articles[a][1], default=None)
+    named = [a for a, (slots, links) in articles.items() if a == heaviest or slots and links <= MOSTLY_LINKS * slots]
+    other = [a for a in articles if a not in named]
+    return {"named": [list(a) for a in named], "other": [list(a) for a in other], "main": list(main), "own": [[list(p), text] for p, text in own] if weight else []}
 
 
 def _is_text_block(label: str) -> bool:
@@ -357,23 +389,32 @@ def _is_text_block(label: str) -> bool:
 
 
 def main_text(page: str | None, known: dict | None) -> str:
-    """A page's main text under its host's rules."""
+    """A page's main text under its host's rules; without any, by its own markup."""
     if not page:
         return ""
     root, blocks = read(page)
     usable = [b for b in blocks if not b.out]
-    inside = [b for b in usable if any(p.label.endswith("*") for p in b.path)]
-    if not inside and known:
-        main, own = known["main"], {(tuple(p), text) for p, text in known["own"]}
-        paths = [tuple(p.label for p in b.path) for b in usable]
-        slots = [(b, p) for b, p in zip(usable, paths) if (p, _digest(text_of(b, True))) not in own]
-        inside = [b for b, p in slots if list(p[: len(main)]) == main] or [b for b, _ in slots]
-    elif not inside:
-        inside = usable
-    texts = [text_of(b) for b in inside]
+    marked = [b for b in usable if any(p.label.endswith("*") for p in b.path)] or usable
+    texts = [text_of(b) for b in (_main_blocks(usable, known) if known else marked) or marked]
     return "\n\n".join(t for t in texts if t)
 
 
+def _main_blocks(usable: list[Block], known: dict) -> list[Block]:
+    """Blocks that lie in the wrapper's main parts and are not the site's own; none if the page is not like that."""
+    own = {(tuple(p), text) for p, text in known["own"]}
+    placed = [(b, tuple(p.label for p in b.path)) for b in usable]
+    slots = [(b, p) for b, p in placed if (p, _digest(text_of(b, True))) not in own]
+    named = {tuple(p) for p in known["named"]}
+    article = [(b, next((p[:k] for k in range(1, len(p) + 1) if p[k - 1].endswith("*")), None)) for b, p in slots]
+    inside = [b for b, a in article if a in named]
+    other = {tuple(p) for p in known["other"]}
+    if inside or any(a and a not in other for _, a in article):
+        return inside
+    main = tuple(known["main"])
+    rest = [(b, p) for (b, p), (_, a) in zip(slots, article) if not a]
+    return [b for b, p in rest if p[: len(main)] == main] or [b for b, _ in rest]
+
+
 def _host(url: str = "url"):
     host = F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
     return F.coalesce(host, F.lit(""))
