@@ -84,6 +84,32 @@ def test_chances_sum_to_one(spark):
     assert np.allclose((10**model.transitions).sum(1), 1)
 
 
+def test_rare_words_get_classes_by_their_neighbours(spark, monkeypatch):
+    """Words beyond the core whose endings say nothing, in the head or joined."""
+    monkeypatch.setattr(class_lm, "UNITS", 30)
+    monkeypatch.setattr(class_lm, "CLASSES", 3)
+    rng = random.Random(5)
+    kinds = [[f"{c}{rng.randrange(10**6)}x" for _ in range(60)] for c in "nva"]
+    chances = [1 / (k + 1) for k in range(60)]
+    pick = lambda k: rng.choices(kinds[k], chances)[0]
+    texts = [" ".join(pick(k % 3) for k in range(rng.randrange(3), 60)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 == 2]
+    totals = []
+    for share in (2.0**-19, 1e-2):
+        monkeypatch.setattr(class_lm, "HEAD_SHARE", share)
+        _, counts = class_lm.fit(df)
+        found = {r["word"]: r["cls"] for r in counts.collect()}
+        seen = [sorted({w for t in texts for w in t.split()} & set(k)) for k in kinds]
+        ids = [np.unique(class_lm.words_and_endings([" ".join(k).encode()])[0].view(np.int64)) for k in seen]
+        assert len(found) == sum(len(k) for k in ids) > 150
+        most = [Counter(found[w] for w in k.tolist()).most_common(1)[0] for k in ids]
+        assert len({c for c, _ in most}) == 3 and sum(n for _, n in most) > 0.95 * len(found)
+        scored = {r["doc_id"]: r["score"] for r in class_lm.scores(df).collect()}
+        totals.append([scored[i] for i in held])
+    assert totals[0] == pytest.approx(totals[1], rel=1e-9)
+
+
 def test_exchange_finds_classes():
     rng = np.random.default_rng(0)
     truth = np.arange(60) % 3
