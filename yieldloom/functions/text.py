@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -102,6 +103,11 @@ def parse_money_range(text: Column) -> Column:
     )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used: inside array functions Spark repeats it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_markup(html: Column) -> Column:
     """Text of an HTML fragment: tags removed, trimmed, character references resolved."""
     return decode_references(F.trim(F.regexp_replace(html, "<[^>]+>", ""), F.lit(BLANKS)))
@@ -109,7 +115,11 @@ def strip_markup(html: Column) -> Column:
 
 def decode_references(text: Column) -> Column:
     """Numeric and named character references as their characters, each resolved once; unknown ones stay."""
-    names = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")
+    # By first letter, since a lookup reads a map from its beginning.
+    letters: dict[str, dict[str, str]] = {}
+    for name, char in NAMED_REFERENCES.items():
+        letters.setdefault(name[0], {})[name] = char
+    names = F.from_json(F.lit(json.dumps(letters)), "map<string,map<string,string>>")
 
     def of_code(code: Column) -> Column:
         usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
@@ -118,17 +128,20 @@ def decode_references(text: Column) -> Column:
     def resolved(piece: Column) -> Column:
         """A piece that stood behind an ampersand."""
         decimal, hexadecimal, name = (F.regexp_extract(piece, p, 1) for p in (r"^#(\d{1,7});", r"^#[xX]([0-9a-fA-F]{1,6});", r"^([a-zA-Z][a-zA-Z0-9]*);"))
-        char = (
+        char = lambda name: (
             F.when(decimal != "", of_code(decimal.try_cast("bigint")))
             .when(hexadecimal != "", of_code(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
-            .when(name != "", F.try_element_at(names, name))
+            .when(name != "", F.try_element_at(F.try_element_at(names, F.substr(name, F.lit(1), F.lit(1))), name))
         )
         rest = F.regexp_replace(piece, "^[^;]*;", "")
-        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+        return F.coalesce(F.concat(bound(name, char), rest), F.concat(F.lit("&"), piece))
+
+    def decoded(t: Column) -> Column:
+        pieces = F.split(t, "&")
+        joined = bound(pieces, lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, F.lit(2), F.size(p)), resolved), "")))
+        return F.when(t.contains("&"), joined).otherwise(t)
 
-    pieces = F.split(text, "&")
-    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), resolved), ""))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    return bound(text, decoded)
 
 
 def epoch_text(seconds: Column, pattern: str = "yyyy-MM-dd HH:mm") -> Column:
