@@ -218,7 +218,7 @@ def _neighbours(training: DataFrame, model: Model) -> DataFrame:
 
         def out(part: tuple) -> pa.RecordBatch:
             words, endings, places, counts = part
-            first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+            first = np.flatnonzero(np.append(np.ones(min(len(words), 1), bool), words[1:] != words[:-1]))
             ends = (np.append(first, len(words)) * NEAR.itemsize).tolist()
             packed = np.zeros(len(words), NEAR)
             packed["place"], packed["n"] = places, counts
