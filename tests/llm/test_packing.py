@@ -139,3 +139,15 @@ def test_few_sequences_against_best():
         got = sum(f.copies for f in packing.fillings({n: items.count(n) for n in set(items)}, packing.Capacities(20)))
         more += got - best(items, 20)
     assert more <= 2
+
+
+def test_chunks_are_numbered_once_and_kept_for_later_tasks():
+    encoder = packing.worker_encoder(PATH)
+    assert packing.worker_encoder(PATH) is encoder
+    text = "Hello world, (naïve) hello... Ünder x1y2 " + "W" * 300 + " HELLO! don't"
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.texts([text.encode(), b"", text.lower().encode()], 0)] == [ids_of(t) for t in (text, "", text.lower())]
+    assert b"W" * 300 not in encoder.numbers and b"HELLO!" in encoder.numbers
+    known = len(encoder.begins)
+    list(encoder.texts([b"hello... HELLO!", b"world,"], 0))
+    assert len(encoder.begins) == known

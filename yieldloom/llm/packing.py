@@ -36,6 +36,8 @@ from .words import GROUP_BYTES, _parts, byte_texts, small
 REMEMBERED, LONGEST_CHUNK = 600_000, 200
 #: A word that the tokenizer's rules leave in one piece but for its case, and marks behind it that they take together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{}~]*)")
+#: The same in bytes for words of A-Z alone, whose letters stand for themselves in a byte-level vocabulary.
+_PLAIN_ASCII = re.compile(rb"([A-Za-z]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{}~]*)")
 #: Pieces of one length that are numbered in one go, and the most blocks a length is dealt into.
 BLOCK_ROWS, MOST_BLOCKS = 100, 10_000
 
@@ -76,6 +78,25 @@ class Filling:
     uses: tuple[tuple[int, int], ...]
 
 
+class Numbers(dict):
+    """Numbers chunks as they are met, and lists those met since it was last asked."""
+
+    def __init__(self):
+        super().__init__()
+        self.met: list[bytes] = []
+        self.first = 0
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = self.first + len(self.met)
+        self.met.append(chunk)
+        return number
+
+    def taken(self) -> list[bytes]:
+        met, self.met = self.met, []
+        self.first += len(met)
+        return met
+
+
 class Encoder:
     """Ids of texts by a tokenizer file; chunks between white space are encoded once as long as they are remembered."""
 
@@ -89,8 +110,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.tails: dict[str, list[int]] = {}
+        self.numbers = Numbers()
+        self.tails: dict[bytes, list[int]] = {}
         self.flat, self.begins = array("I"), array("q", [0])
 
     def _coded(self, chunk: str) -> list[int]:
@@ -98,31 +119,40 @@ class Encoder:
 
     def _learn(self, chunks: list[bytes]) -> None:
         """Plain words go to the tokenizer's model at once, which is what its rules would hand on; others through the rules."""
-        model, tails = self.tokenizer.model, self.tails
+        tokenize, tails, ascii_word = self.tokenizer.model.tokenize, self.tails, _PLAIN_ASCII.fullmatch
+        ids: list[int] = []
+        ends: list[int] = []
         for chunk in chunks:
-            text = chunk.decode()
-            plain = _PLAIN.fullmatch(text)
-            if plain:
-                word, tail = plain.groups()
-                ids = [t.id for t in model.tokenize(word.lower().encode().decode("latin-1").translate(_BYTE_LETTERS))]
-                if tail:
-                    if tail not in tails:
-                        tails[tail] = self._coded(tail)
-                    ids += tails[tail]
+            found = ascii_word(chunk)
+            if found:
+                word, tail = found.groups()
+                ids += [t.id for t in tokenize(word.lower().decode())]
             else:
-                ids = self._coded(text)
-            self.numbers[chunk] = len(self.begins) - 1
-            self.flat.extend(ids)
-            self.begins.append(len(self.flat))
+                text = chunk.decode()
+                found = _PLAIN.fullmatch(text)
+                if found:
+                    letters, marks = found.groups()
+                    ids += [t.id for t in tokenize(letters.lower().encode().decode("latin-1").translate(_BYTE_LETTERS))]
+                    tail = marks.encode()
+                else:
+                    ids += self._coded(text)
+                    tail = b""
+            if tail:
+                if tail not in tails:
+                    tails[tail] = self._coded(tail.decode())
+                ids += tails[tail]
+            ends.append(len(ids))
+        self.begins.extend((np.array(ends, dtype=np.int64) + len(self.flat)).tolist())
+        self.flat.extend(ids)
 
     def ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks in a row, and where each chunk's begin (one more entry)."""
         if len(self.numbers) > REMEMBERED:
             self._forget()
         known = self.numbers
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
+        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        new = known.taken()
         self._learn(new)
-        at = np.array(list(map(known.__getitem__, chunks)), dtype=np.int64)
         for chunk in new:
             if len(chunk) > LONGEST_CHUNK:
                 del known[chunk]
@@ -157,13 +187,24 @@ class Encoder:
             low = high
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this worker process: Spark uses a process for many tasks, and their chunks are much the same."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_packing_of_this_worker", types.ModuleType("_packing_of_this_worker")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, longest: int, final: int = 0) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``: documents as tokens, cut only where longer than a sequence."""
 
     def tasks(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoder = Encoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         for batch in small(batches, 256):
             owner, piece, start, length, sums = [], [], [], [], []
             for row, ids in enumerate(encoder.texts(byte_texts(batch.column("text")), final)):
