@@ -65,3 +65,25 @@ def test_many_long_unbroken_pieces(tmp_path, monkeypatch):
     got = [list(x) for x in tokenizer.encode(texts)]
     assert time.time() - begun < 30 and not os.listdir(tmp_path)
     assert got == [list(tokenizer._encode_long(t.encode())) for t in texts]
+
+
+def test_new_pieces_cost_few_calls():
+    import random
+    import sys
+
+    rng = random.Random(4)
+    tokenizer = bpe.Tokenizer(PATH, public_tokenizers.PATTERN)
+    text = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 12))) for _ in range(3000))
+    pieces, calls = tokenizer.pattern.findall(text), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids = tokenizer.encode([text])[0]
+    finally:
+        sys.setprofile(None)
+    assert ids.tolist() == [i for p in pieces for i in tokenizer._encode_long(p.encode())]
+    assert len(set(pieces)) > 2000 and calls < 8 * len(set(pieces))  # 15 when each piece had an array of its own

@@ -119,30 +119,37 @@ class Tokenizer:
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces not met before and append their ids to the known ones."""
         raw = [p.encode("utf-8") for p in pieces]
-        ids: list = [None] * len(raw)
-        rest = []
-        for i, piece in enumerate(raw):
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                ids[i] = (whole,)
-            elif len(piece) > LONG_PIECE:
-                ids[i] = self._encode_long(piece)
-            else:
-                rest.append(i)
-        squares = np.cumsum([len(raw[i]) ** 2 for i in rest])
-        begin = 0
+        whole = np.fromiter((self.ranks.get(piece, -1) for piece in raw), np.int64, len(raw))
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        counts = np.ones(len(raw), dtype=np.int64)
+        long = {int(i): self._encode_long(raw[i]) for i in np.flatnonzero((whole < 0) & (lengths > LONG_PIECE))}
+        for i, ids in long.items():
+            counts[i] = len(ids)
+        rest = np.flatnonzero((whole < 0) & (lengths <= LONG_PIECE))
+        squares = np.cumsum(lengths[rest] ** 2)
+        contracted, begin = [], 0
         while begin < len(rest):
             taken = squares[begin - 1] if begin else 0
             end = max(begin + 1, int(np.searchsorted(squares, taken + QUERY_ROWS, side="right")))
-            for i, part in zip(rest[begin:end], self._contracted([raw[i] for i in rest[begin:end]])):
-                ids[i] = part
+            ids, counts[rest[begin:end]] = self._contracted([raw[i] for i in rest[begin:end]])
+            contracted.append(ids)
             begin = end
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.concatenate([self.flat, *[np.asarray(x, dtype=np.int32) for x in ids]])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
-
-    def _contracted(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces by the recursive query."""
+        # Every piece's ids behind those of the piece before.
+        ends = np.cumsum(counts)
+        flat = np.empty(int(ends[-1]), dtype=np.int32)
+        begins = ends - counts
+        flat[begins[whole >= 0]] = whole[whole >= 0]
+        for i, ids in long.items():
+            flat[begins[i] : ends[i]] = ids
+        if contracted:
+            ids = np.concatenate(contracted)
+            sizes = counts[rest]
+            flat[np.repeat(begins[rest] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(ids))] = ids
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+
+    def _contracted(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces by the recursive query, one piece's behind the other's, and how many each has."""
         lengths = np.array([len(p) for p in pieces])
         data = np.frombuffer(b"".join(pieces), np.uint8)
         start = pa.table({
@@ -153,8 +160,7 @@ class Tokenizer:
         self.con.register("start", start)
         found = self.con.execute(ENCODE).fetchnumpy()
         self.con.unregister("start")
-        sizes = np.bincount(found["piece"], minlength=len(pieces))
-        return np.split(np.asarray(found["id"]), np.cumsum(sizes)[:-1])
+        return np.asarray(found["id"]), np.bincount(found["piece"], minlength=len(pieces))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
