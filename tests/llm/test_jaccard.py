@@ -90,3 +90,17 @@ def test_word_numbers():
             assert names.setdefault(w, x) == x
     assert len(set(names.values())) == len(names)
     assert [len(s) for s in shingle_sets(raw[:4])] == [0, 1, 1, 1]
+
+
+def test_hashing_holds_little_beside_the_texts():
+    import tracemalloc
+
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(400)).encode() for _ in range(600)]
+    tracemalloc.start()
+    try:
+        made = sum(len(s) for s in shingle_sets(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made == 600 * 396 and peak < 24_000_000  # 37 MB when a megabyte was hashed at once

@@ -181,14 +181,27 @@ def _whole_sets(docs: DataFrame, signatures: DataFrame, nodes: DataFrame) -> Dat
     if wanted.count() <= SENT_IDS:
         wanted = F.broadcast(wanted)
 
+    def of_sets(parts: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(s) for s in parts], np.int32)
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.RecordBatch.from_pydict({
+            "node": pa.array([_set_number(s) for s in parts], pa.int64()), "n": pa.array(sizes),
+            "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))),
+        })
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
+            parts: list[np.ndarray] = []
+            size = 0
             for s in shingle_sets(byte_texts(batch.column(0))):
                 if len(s):
-                    yield pa.RecordBatch.from_pydict({
-                        "node": pa.array([_set_number(s)], pa.int64()), "n": pa.array([len(s)], pa.int32()),
-                        "shingles": pa.array([s], pa.list_(pa.int64())),
-                    })
+                    parts.append(s)
+                    size += len(s)
+                if size > 500_000:
+                    yield of_sets(parts)
+                    parts, size = [], 0
+            if parts:
+                yield of_sets(parts)
 
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("text")
     return texts.mapInArrow(run, "node long, n int, shingles array<long>")

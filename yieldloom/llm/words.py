@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Bytes that are worked on at once.
+#: Bytes that are worked on at once, and bytes that are hashed at once: hashing takes some 80 bytes of arrays for each of them.
 GROUP_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 SHINGLE = 5
 
 _rng = np.random.default_rng(20240607)
@@ -69,11 +70,11 @@ def _hash_group(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(sums + lengths.astype(np.uint64)), starts, before * 256 + last
 
 
-def _parts(text: bytes) -> Iterator[bytes]:
+def _parts(text: bytes, limit: int = GROUP_BYTES) -> Iterator[bytes]:
     """A long text cut at white space."""
     at = 0
-    while len(text) - at > GROUP_BYTES:
-        found = _SPACES.search(text, at + GROUP_BYTES)
+    while len(text) - at > limit:
+        found = _SPACES.search(text, at + limit)
         if not found:
             break
         yield text[at : found.end()]
@@ -87,11 +88,11 @@ def words_and_endings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     at = 0
     while at < len(texts):
         to, size = at, 0
-        while to < len(texts) and (to == at or size + len(texts[to]) <= GROUP_BYTES):
+        while to < len(texts) and (to == at or size + len(texts[to]) <= HASH_BYTES):
             size += len(texts[to]) + 1
             to += 1
         if to == at + 1:
-            for part in _parts(texts[at]):
+            for part in _parts(texts[at], HASH_BYTES):
                 numbers, _, endings = _hash_group(part)
                 out.append(numbers)
                 tails.append(endings)
@@ -134,7 +135,7 @@ def rolling_short(numbers: np.ndarray, words: int) -> np.ndarray:
     return mix(total)
 
 
-def slices(texts: list[bytes], limit: int = 4 * GROUP_BYTES) -> Iterator[tuple[int, int]]:
+def slices(texts: list[bytes], limit: int = 4 * HASH_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts that hold about so many bytes."""
     begin = size = 0
     for i, text in enumerate(texts):
@@ -161,8 +162,10 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
 def small(batches: Iterator, rows: int = 512) -> Iterator:
     """Arrow batches in parts of so many rows: long texts are held as Python objects a part at a time.
 
-    Behind the last one the task's freed memory goes back to the system, since Spark keeps its worker processes.
+    Before the first one, what an earlier task of the worker process left goes back to the system, and behind the last one
+    the task's own freed memory, since Spark keeps its worker processes.
     """
+    give_back()
     for batch in batches:
         for low in range(0, batch.num_rows, rows):
             yield batch.slice(low, rows)
