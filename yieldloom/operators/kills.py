@@ -2,6 +2,8 @@
 
 Kills are expected at one row per session and creature (``latest_by_key`` over captures gives that).
 Rates and contributions are added up as whole billionths, so results do not depend on row order.
+Joins by session or creature are dealt out by that key (``merge``): both sides grow with the input, and a side whose file
+is small is still large in memory, so none is gathered in the driver to be sent to all tasks.
 """
 
 from __future__ import annotations
@@ -42,8 +44,9 @@ def bracket_kills(kills: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def session_totals(kills: DataFrame) -> DataFrame:
-    """Kills of each session, summed before the shuffle."""
-    return kills.filter(F.col("killed") > 0).groupBy("hunt_id").agg(F.sum("killed").alias("total"))
+    """Kills with their session's ``total``. Rows that are dealt by session are not dealt again."""
+    total = F.sum("killed").over(Window.partitionBy("hunt_id"))
+    return kills.filter(F.col("killed") > 0).withColumn("total", total)
 
 
 def kill_share(kills: DataFrame) -> DataFrame:
@@ -67,10 +70,11 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
     keeps their order, the median's cut value is the same.
     """
     s = calibration.filter(F.col("loot_h") > 0).select(F.col("id").alias("hunt_id"), "loot_h", "minutes", "url")
-    # The long kill table is read once; the recent part of it is all the steps below need.
-    recent = save(kills.filter(F.col("killed") > 0).join(s, "hunt_id"), "recent-kills")
+    # The long kill table is read once; the recent part of it is all the steps below need. The join leaves it dealt by
+    # session, so a session's total is added up there and nothing is dealt again for it.
+    recent = save(session_totals(kills.join(s.hint("merge"), "hunt_id")), "recent-kills")
     worth = F.col("loot_h") * F.col("minutes") / (F.col("total") * 60.0)
-    seen = recent.join(session_totals(recent), "hunt_id").select(
+    seen = recent.select(
         "creature", "hunt_id", "url", worth.cast("bigint").alias("v"),
         share_weight(F.col("killed") / F.col("total")).alias("w"),
     )
@@ -83,7 +87,7 @@ def value_per_kill(calibration: DataFrame, kills: DataFrame) -> DataFrame:
         ["creature"], "url", "|", "sample_urls",
     )
     return (
-        middle.join(samples, "creature")
+        middle.join(samples.hint("merge"), "creature")
         .select(
             "creature", F.col("total_rows").alias("n_sessions"),
             F.col("half.value").alias("value_per_kill"),
@@ -100,7 +104,7 @@ def _rates(kills: DataFrame, sessions: DataFrame, keys: Sequence[str]) -> DataFr
         *keys, F.col("id").alias("hunt_id"), "minutes", "loot_h"
     )
     rate = F.round(F.col("killed") * (60.0 * _BILLION) / F.col("minutes"), 0).cast("decimal(18,0)")
-    return kills.filter(F.col("killed") > 0).join(s, "hunt_id").select(
+    return kills.filter(F.col("killed") > 0).join(s.hint("merge"), "hunt_id").select(
         *keys, "creature", "hunt_id", "loot_h", rate.alias("rate")
     )
 
@@ -123,7 +127,7 @@ def spawn_rates(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> Dat
     """Mean kill rate of each spawn, bracket and creature, with the value of a kill where it is known."""
     folded = _folded(_rates(kills, sessions, ["brackets", "spawn"]), ["brackets", "spawn"])
     per = _mean_rates(folded.withColumn("bracket", F.explode("brackets")), ["bracket", "spawn"])
-    return per.join(values.select("creature", "value_per_kill"), "creature", "left")
+    return per.join(values.select("creature", "value_per_kill").hint("merge"), "creature", "left")
 
 
 def missing_values(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> DataFrame:
@@ -162,7 +166,7 @@ def spawn_profit(sessions: DataFrame, kills: DataFrame, values: DataFrame) -> Da
 
     lists = listed.groupBy(*keys).agg(texts(True, ";").alias("valued"), texts(False, "|").alias("missing"))
     killing = kills.filter(F.col("killed") > 0).select(F.col("hunt_id").alias("id"))
-    hunts = sessions.filter(F.col("minutes") >= MIN_MINUTES).join(killing, "id", "left_semi")
+    hunts = sessions.filter(F.col("minutes") >= MIN_MINUTES).join(killing.hint("merge"), "id", "left_semi")
     hunts = hunts.select("spawn", "id", "loot_h", F.explode("brackets").alias("bracket"))
     counted = hunts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sessions"))
     measured = exact_median(hunts.filter(F.col("loot_h") != 0), keys, F.col("loot_h"), "measured_loot_h")

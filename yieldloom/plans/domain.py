@@ -126,11 +126,14 @@ class Domain:
         lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
         if sessions is not None:
             lines = lines.join(sessions.select(F.col("id").cast("bigint").alias("l_orderkey")), "l_orderkey", "left_semi")
-        # Dealt by session once: adding up per creature and windows over a session need nothing more.
+            parts = parts.hint("merge")  # few lines are left: dealing them out is less than sending all parts everywhere
+        # Dealt by session once: adding up per creature and windows over a session need nothing more. How many lines given
+        # sessions leave is not known before, so then tasks go by what was shuffled.
+        dealt = ["hunt_id"] if sessions is not None else [self.tasks("lineitem", 200_000), "hunt_id"]
         return (
             lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .select(_text(F.col("l_orderkey")).alias("hunt_id"), "creature", F.col("l_quantity").cast("bigint").alias("killed"))
-            .repartition(self.tasks("lineitem", 200_000), "hunt_id")
+            .repartition(*dealt)
             .groupBy("hunt_id", "creature")
             .agg(F.sum("killed").alias("killed"))
         )
