@@ -3,6 +3,7 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from yieldloom.operators import capture
 from yieldloom.sources.capture_store import CaptureStore
@@ -42,6 +43,28 @@ def test_append(spark, tmp_path):
     assert all("2026-01-02" in f for f in store.last("kills", 1).inputFiles())
 
 
+def test_children_dealt_by_parent_are_not_dealt_again(spark, tmp_path, monkeypatch):
+    """A parent's rows and its children's meet by plain equality, null keys too, and one count compares held and new rows."""
+    store = CaptureStore(spark, str(tmp_path / "store"), SCHEMAS)
+    new = tables(spark, [("a", 1), ("b", 2)], [("a", 1), ("a", 1)], [("a", "Rat", 5), ("z", "Orc", 9), (None, "Elf", 1)])
+    dealt = new | {"kills": new["kills"].repartition(7, "hunt_id").groupBy("hunt_id", "creature").agg(F.sum("killed").alias("killed"))}
+    plans, write = [], store._write
+    monkeypatch.setattr(store, "_write", lambda day, t: plans.append(t["kills"]._jdf.queryExecution().executedPlan().toString()) or write(day, t))
+    assert store.append("2026-01-01", dealt)
+    # One exchange is the caller's, the other that of the day's old rows, of which there are none yet.
+    assert plans[0].count("Exchange hashpartitioning(hunt_id") == 2 and "coalesce(hunt_id" not in plans[0]
+    assert rows(store, "kills") == [("a", "Rat", "5", "2026-01-01")]
+    # Null parents take their null children along; the same rows more or less often are a change.
+    nameless = tables(spark, [(None, 3)], [(None, 4)], [(None, "Elf", 1)])
+    assert store.append("2026-01-01", nameless) and not store.append("2026-01-01", nameless)
+    assert rows(store, "members") == [("None", "4", "2026-01-01"), ("a", "1", "2026-01-01"), ("a", "1", "2026-01-01")]
+    assert rows(store, "kills") == [("None", "Elf", "1", "2026-01-01"), ("a", "Rat", "5", "2026-01-01")]
+    assert not store.append("2026-01-01", new)
+    assert store.append("2026-01-01", tables(spark, [("a", 1)], [("a", 1)], [("a", "Rat", 5)]))
+    assert store.append("2026-01-01", tables(spark, [(None, 3)], [], []))
+    assert rows(store, "members") == [("a", "1", "2026-01-01")] and rows(store, "kills") == [("a", "Rat", "5", "2026-01-01")]
+
+
 def test_nothing_counts_without_its_marker(spark, tmp_path):
     store = CaptureStore(spark, str(tmp_path / "store"), SCHEMAS)
     store.append("2026-01-01", tables(spark, [("a", 1)], [], []))

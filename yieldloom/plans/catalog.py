@@ -144,9 +144,9 @@ def capture_merge(d):
     return latest.replace_rows(old, new, "id").select("id", "spawn", "loot_h", _day("capture_date"))
 
 
-def _captured(d: Domain, day: str, keep: Column, more: int) -> dict[str, DataFrame]:
-    """Sessions of a capture with their kills, numbers raised by ``more``."""
-    rows = d.session_captures().filter((F.col("capture_date") == "2026-01-01") & keep)
+def _captured(d: Domain, first: DataFrame, keep: Column, more: int) -> dict[str, DataFrame]:
+    """Sessions of a capture with their kills, numbers raised by ``more``. ``first``: all sessions as captured first."""
+    rows = first.filter(keep)
     kills = d.kills().select("hunt_id", "creature", (F.col("killed") + more).alias("killed"))
     if more:
         kills = kills.filter(F.length("creature") % 2 == 0)
@@ -162,9 +162,10 @@ def capture_append(d):
     tables = {"sessions": "id string, spawn string, loot_h bigint", "kills": "hunt_id string, creature string, killed bigint"}
     store = CaptureStore(d.spark, fresh_path(d.spark, "captures"), tables)
     number = F.col("id").cast("bigint")
-    store.append("2026-01-01", _captured(d, "2026-01-01", number % 3 == 0, 0))
-    store.append("2026-01-02", _captured(d, "2026-01-02", number % 2 == 0, 0))
-    later = {t: save(rows, "later-capture") for t, rows in _captured(d, "2026-01-02", number % 5 == 0, 7).items()}
+    first = save(d.session_captures().filter(F.col("capture_date") == "2026-01-01").select("id", "spawn", "loot_h"), "first-capture")
+    store.append("2026-01-01", _captured(d, first, number % 3 == 0, 0))
+    store.append("2026-01-02", _captured(d, first, number % 2 == 0, 0))
+    later = {t: save(rows, "later-capture") for t, rows in _captured(d, first, number % 5 == 0, 7).items()}
     for _ in range(2):
         store.append("2026-01-02", later)
     kills = store.read("kills").groupBy(F.col("hunt_id").alias("id"), "capture_date").agg(

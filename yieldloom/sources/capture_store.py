@@ -22,6 +22,12 @@ from ..operators.latest import CAPTURE
 GENERATION = "generation"
 
 
+def _differ(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables differ in a row or in how often they have it: one count over both."""
+    both = a.withColumn("__more", F.lit(1)).unionByName(b.withColumn("__more", F.lit(-1)))
+    return not both.groupBy(*a.columns).agg(F.sum("__more").alias("__more")).filter("__more <> 0").isEmpty()
+
+
 @dataclass
 class CaptureStore:
     """``schemas``: DDL of each table, the parents' first. Children name their parent in ``parent_key``."""
@@ -79,14 +85,21 @@ class CaptureStore:
         """
         new = {t: tables[t].select(*StructType.fromDDL(self.schemas[t]).fieldNames()) for t in self.schemas}
         ids = new[self.parents].select(F.col(self.key).alias("__parent")).distinct()
+        nameless = not ids.filter(F.col("__parent").isNull()).isEmpty()
         held, kept, ours = {}, {}, {}
         for table in self.schemas:
-            match = F.col(self.key_of(table)).eqNullSafe(F.col("__parent"))
+            key = F.col(self.key_of(table))
+
+            def of_new(rows: DataFrame) -> DataFrame:
+                # By plain equality, so that rows dealt out by this key are not dealt again; a null key is looked up apart.
+                found = rows.join(ids, key == F.col("__parent"), "left_semi")
+                return found.unionByName(rows.filter(key.isNull())) if nameless else found
+
             old = self.read(table, [day]).drop(CAPTURE)
-            kept[table] = old.join(ids, match, "left_anti")
-            held[table] = old.join(ids, match, "left_semi")
-            ours[table] = new[table] if table == self.parents else new[table].join(ids, match, "left_semi")
-        if day in self.committed() and all(held[t].exceptAll(ours[t]).isEmpty() and ours[t].exceptAll(held[t]).isEmpty() for t in self.schemas):
+            kept[table] = (old.filter(key.isNotNull()) if nameless else old).join(ids, key == F.col("__parent"), "left_anti")
+            held[table] = of_new(old)
+            ours[table] = new[table] if table == self.parents else of_new(new[table])
+        if day in self.committed() and not any(_differ(held[t], ours[t]) for t in self.schemas):
             return False
         self._write(day, {t: kept[t].unionByName(ours[t]) for t in self.schemas})
         return True
