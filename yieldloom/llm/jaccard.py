@@ -40,8 +40,10 @@ COSTLY_SHARE = 2.0**-20
 COSTLY_LEAST = 16
 #: Greatest l a document chooses: more gives fewer pairs to verify, but more common shingles to meet in.
 MOST_SHARED = 3
-#: So many document ids at most are sent to all tasks; beyond that texts are dealt out by id.
+#: So many pairs at most are sent to all tasks, by their document ids; beyond that texts are dealt out by id.
 SENT_IDS = 1_000_000
+#: A set is made from its text once for so many sets that it is compared with.
+LISTED = 1024
 #: Costly shingles in its prefix that make all shingles of a document count.
 COSTLY_SEVERAL = 4
 #: Rounds of comparisons with hubs, at most, and hubs that a document meets in later rounds. The result depends on neither:
@@ -58,6 +60,11 @@ def _overlap(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent) - 1e-9).cast("int")
 
 
+def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of these sizes can link at all."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
 def _set_number(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -174,28 +181,27 @@ def _signatures(docs: DataFrame, percent: int, costly: tuple[np.ndarray, np.ndar
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, node long, ell int, base int, heat int, prefix array<long>")
 
 
-def _whole_sets(docs: DataFrame, signatures: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows ``(node, n, shingles)`` for the nodes wanted, from one document of each."""
-    first = signatures.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = save(first.join(nodes, "node", "left_semi").select("doc_id").distinct(), "wanted")
-    if wanted.count() <= SENT_IDS:
-        wanted = F.broadcast(wanted)
+def _whole_sets(docs: DataFrame, nodes: DataFrame, few: bool) -> DataFrame:
+    """Rows ``(node, n, shingles, others)`` for rows ``(doc_id, node, others)``, from the documents of these ids."""
 
-    def of_sets(parts: list[np.ndarray]) -> pa.RecordBatch:
-        sizes = np.array([len(s) for s in parts], np.int32)
+    def of_sets(parts: list[tuple[np.ndarray, int, list[int]]]) -> pa.RecordBatch:
+        sets, numbers, others = zip(*parts)
+        sizes = np.array([len(s) for s in sets], np.int32)
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return pa.RecordBatch.from_pydict({
-            "node": pa.array([_set_number(s) for s in parts], pa.int64()), "n": pa.array(sizes),
-            "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts))),
+            "node": pa.array(numbers, pa.int64()), "n": pa.array(sizes),
+            "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets))),
+            "others": pa.array(others, pa.list_(pa.int64())),
         })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            parts: list[np.ndarray] = []
+            parts: list[tuple[np.ndarray, int, list[int]]] = []
             size = 0
-            for s in shingle_sets(byte_texts(batch.column(0))):
-                if len(s):
-                    parts.append(s)
+            numbers, others = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for s, node, to in zip(shingle_sets(byte_texts(batch.column(0))), numbers, others):
+                if len(s) and _set_number(s) == node:  # an id may have other texts
+                    parts.append((s, node, to))
                     size += len(s)
                 if size > 500_000:
                     yield of_sets(parts)
@@ -203,24 +209,27 @@ def _whole_sets(docs: DataFrame, signatures: DataFrame, nodes: DataFrame) -> Dat
             if parts:
                 yield of_sets(parts)
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("text")
-    return texts.mapInArrow(run, "node long, n int, shingles array<long>")
-
+    texts = docs.select("doc_id", "text").join(F.broadcast(nodes) if few else nodes, "doc_id").select("text", "node", "others")
+    return texts.mapInArrow(run, "node long, n int, shingles array<long>, others array<long>")
 
-def _with_sets(docs: DataFrame, signatures: DataFrame, pairs: DataFrame, sets: DataFrame | None) -> DataFrame:
-    """The whole sets of all nodes in the pairs; those at hand are not made again."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    if sets is None:
-        return save(_whole_sets(docs, signatures, nodes), "sets")
-    return sets.unionByName(save(_whole_sets(docs, signatures, nodes.join(sets, "node", "left_anti")), "sets"))
 
+def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs ``(a, b)`` whose whole sets reach the threshold.
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct pairs ``(a, b)`` whose whole sets reach the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    met = pairs.join(left, "a").join(right, "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    shared = met.select("a", "b", (F.col("na") + F.col("nb")).alias("both"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
+    The sets are made from the texts for this one use and not written: ``a``'s goes from the text to each ``b``, so only one
+    join deals out sets. ``first`` has rows ``(node, doc_id)``.
+    """
+    few = pairs.count() <= SENT_IDS
+    place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+    lists = pairs.withColumn("part", F.floor((place - 1) / LISTED)).groupBy(F.col("a").alias("node"), "part")
+    lists = lists.agg(F.collect_list("b").alias("others")).join(first, "node").select("doc_id", "node", "others")
+    ends = pairs.select(F.col("b").alias("node")).distinct().join(first, "node")
+    ends = ends.select("doc_id", "node", F.array().cast("array<long>").alias("others"))
+    left = _whole_sets(docs, lists, few)
+    left = left.select(F.col("node").alias("a"), F.explode("others").alias("b"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    right = _whole_sets(docs, ends, few)
+    right = right.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+    shared = left.join(right, "b").select("a", "b", (F.col("na") + F.col("nb")).alias("both"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return shared.filter(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * percent).select("a", "b").distinct()
 
 
@@ -246,8 +255,10 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     live = save(live.join(facts, "node"), "shared-prefixes")
     release(docs.sparkSession)
 
-    open_rows, links, sets = _contested(live, None), None, None
-    alike = F.col("pos") < F.col("n") - _overlap(F.col("n"), F.col("hub.n"), percent) + F.col("ell")
+    first = save(keyed.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "first-documents")
+    open_rows, links = _contested(live, None), None
+    alike = _sizes_fit(F.col("n"), F.col("hub.n"), percent)
+    alike &= F.col("pos") < F.col("n") - _overlap(F.col("n"), F.col("hub.n"), percent) + F.col("ell")
     for turn in range(HUB_ROUNDS):
         if turn:
             open_rows = save(_contested(open_rows, links), "open-prefixes")
@@ -263,14 +274,14 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "hub"))
         best = counts.withColumn("place", place).filter(F.col("place") <= (HUBS if turn else 1))
         pairs = save(best.select(F.col("node").alias("a"), F.col("hub").alias("b")), "hub-pairs")
-        sets = _with_sets(docs, signatures, pairs, sets)
-        found = save(_verified(pairs, sets, percent), "links")
+        release(docs.sparkSession)
+        found = save(_verified(docs, first, pairs, percent), "links")
         news = found.count()
         if not news:
             break
         links = found if links is None else links.unionByName(found)
         release(docs.sparkSession)
-        if news * 50 < pairs.count():
+        if news * 25 < pairs.count():
             break
     open_rows = _contested(open_rows, links)
 
@@ -285,15 +296,16 @@ def _links(docs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     ell = F.least("x.ell", "y.ell")
     met = x.join(y, F.col("x.shingle") == F.col("y.shingle")).filter(
         (F.col("x.root") != F.col("y.root"))
+        & _sizes_fit(F.col("x.n"), F.col("y.n"), percent)
         & ((F.col("y.root") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
         & (F.col("x.pos") < F.col("x.n") - need + ell) & (F.col("y.pos") < F.col("y.n") - need + ell)
     )
     low, high = F.least("x.node", "y.node"), F.greatest("x.node", "y.node")
     counts = met.groupBy(low.alias("a"), high.alias("b")).agg(F.count(F.lit(1)).alias("times"), F.first(ell).alias("ell"))
     pairs = save(counts.filter("times >= ell").select("a", "b"), "rest-pairs")
-    sets = _with_sets(docs, signatures, pairs, sets)
     release(docs.sparkSession)
-    found = save(_verified(pairs, sets, percent), "links")
+    found = save(_verified(docs, first, pairs, percent), "links")
+    release(docs.sparkSession)
     return found if links is None else links.unionByName(found)
 
 
